@@ -201,7 +201,9 @@ def bootstrap_returns(curve: DataFrame, sims: int = 1000, seed: int = 42) -> Dat
         "ticker", (F.row_number().over(bars_window()) - 1).alias("i"), F.col("equity_return").alias("r"),
         F.count(F.lit(1)).over(Window.partitionBy("ticker")).alias("n"),
     )
-    draws = r.select("ticker", F.explode(F.sequence(F.lit(0), F.lit(sims - 1))).alias("sim"), "i", "n")
+    # Every row becomes ``sims`` rows: the parts are fixed here so that a short series still spreads over all cores.
+    parts = int(curve.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    draws = r.repartition(parts, "ticker", "i").select("ticker", F.explode(F.sequence(F.lit(0), F.lit(sims - 1))).alias("sim"), "i", "n")
     draws = draws.select("ticker", "sim", draw_index(F.col("sim"), F.col("i"), F.col("n"), seed).alias("drawn"))
     hit = draws.join(r.select("ticker", F.col("i").cast("bigint").alias("drawn"), "r"), ["ticker", "drawn"])
     return hit.groupBy("ticker", "sim").agg((F.product(1 + F.col("r")) - 1).alias("sim_return"))

@@ -11,6 +11,7 @@ from itertools import combinations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions.rolling import bars_window
 from tickloom.functions.stats import clean_number, pearson, pearson_p_value
@@ -22,122 +23,153 @@ TEMPORAL = "temporal leakage"
 MULTI_COLLINEARITY = "multi-collinearity"
 SEVERITIES = ["CRITICAL", "HIGH", "MEDIUM", "LOW"]
 
-PAIRS_PER_PASS = 1500
+FINDINGS_PER_PASS = 1500
 
 
-def _issue(kind: str, severity: Column, description: Column, evidence: Column, columns: Column, advice: Column) -> list[Column]:
-    return [
-        F.lit(kind).alias("issue_type"), severity.alias("severity"), description.alias("description"),
-        evidence.alias("evidence"), columns.alias("affected_columns"), advice.alias("recommendation"),
-    ]
+def _finding(kind: str, value: Column, pairs: Column | None = None, a: str | None = None, b: str | None = None) -> Column:
+    return F.struct(
+        F.lit(kind).alias("kind"), F.lit(a).cast("string").alias("feature1"), F.lit(b).cast("string").alias("feature2"),
+        value.cast("double").alias("value"), (F.lit(None) if pairs is None else pairs).cast("bigint").alias("pairs"),
+    )
 
 
-def _per_feature(df: DataFrame, features: Sequence[str], target: Column) -> DataFrame:
-    """(feature, correlation with target, pairs) from one pass."""
+def _against(kind: str, features: Sequence[str], target: Column) -> list[Column]:
     y = clean_number(target)
-    rows = [
-        F.struct(
-            F.lit(f).alias("feature"), pearson(F.col(f), target).alias("correlation"),
-            F.count(F.when(clean_number(F.col(f)).isNotNull() & y.isNotNull(), 1)).alias("pairs"),
-        )
+    return [
+        _finding(kind, pearson(F.col(f), target), F.count(F.when(clean_number(F.col(f)).isNotNull() & y.isNotNull(), 1)), f)
         for f in features
     ]
-    return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
-
-
-def lookahead_correlations(df: DataFrame, target: str, features: Sequence[str], days: int = 1) -> DataFrame:
-    led = df.withColumn("__future", F.lead(target, days).over(bars_window()))
-    return _per_feature(led, features, F.col("__future"))
 
 
-def target_correlations(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
-    return _per_feature(df, features, F.col(target))
+def _among(features: Sequence[str]) -> list[Column]:
+    return [_finding(MULTI_COLLINEARITY, F.abs(pearson(F.col(a), F.col(b))), None, a, b) for a, b in combinations(features, 2)]
 
 
-def pair_correlations(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(feature1, feature2, correlation) of every pair, feature1 before feature2 in the given order."""
-    pairs = list(combinations(features, 2))
+def _measure(df: DataFrame, findings: Sequence[Column]) -> DataFrame:
+    """One row per finding from as few passes as their number allows (one, for common feature counts)."""
     out = None
-    for at in range(0, len(pairs), PAIRS_PER_PASS):
-        rows = [
-            F.struct(F.lit(a).alias("feature1"), F.lit(b).alias("feature2"),
-                     F.abs(pearson(F.col(a), F.col(b))).alias("correlation"))
-            for a, b in pairs[at:at + PAIRS_PER_PASS]
-        ]
-        part = df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
+    for at in range(0, len(findings), FINDINGS_PER_PASS):
+        part = df.agg(F.array(*findings[at:at + FINDINGS_PER_PASS]).alias("r")).select(F.inline("r"))
         out = part if out is None else out.unionByName(part)
     if out is None:
-        raise ValueError("two features are needed")
+        raise ValueError("nothing to measure")
     return out
 
 
-def detect_lookahead(df: DataFrame, target: str, features: Sequence[str], days: int = 1, threshold: float = 0.7) -> DataFrame:
-    r = F.col("correlation")
-    return lookahead_correlations(df, target, features, days).where(F.abs(r) > threshold).select(*_issue(
-        LOOKAHEAD, F.lit("CRITICAL"),
-        F.format_string(f"'%s' correlates %.3f with the target {days} day(s) ahead", "feature", r),
-        F.create_map(F.lit("correlation"), r, F.lit("future_days"), F.lit(float(days))),
-        F.array("feature"), F.format_string(f"Remove '%s' or lag it by {days} day(s)", "feature"),
-    ))
+def _led(df: DataFrame, target: str, days: int) -> DataFrame:
+    return df.withColumn("__future", F.lead(target, days).over(bars_window()))
+
+
+def _correlations(found: DataFrame) -> DataFrame:
+    return found.select(F.col("feature1").alias("feature"), F.col("value").alias("correlation"), "pairs")
 
 
-@F.pandas_udf("double")
+def lookahead_correlations(df: DataFrame, target: str, features: Sequence[str], days: int = 1) -> DataFrame:
+    """(feature, correlation with the target ``days`` rows ahead, pairs)."""
+    return _correlations(_measure(_led(df, target, days), _against(LOOKAHEAD, features, F.col("__future"))))
+
+
+def target_correlations(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
+    return _correlations(_measure(df, _against(TARGET_DEPENDENT, features, F.col(target))))
+
+
+def pair_correlations(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(feature1, feature2, correlation) of every pair, feature1 before feature2 in the given order."""
+    return _measure(df, _among(features)).select("feature1", "feature2", F.col("value").alias("correlation"))
+
+
+@F.pandas_udf(T.DoubleType())
 def _p_value(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for r, n in batches:
-        yield pd.Series([pearson_p_value(a, int(b)) for a, b in zip(r, n)], dtype="float64")
+        yield pd.Series([None if pd.isna(b) else pearson_p_value(a, int(b)) for a, b in zip(r, n)], dtype="float64")
+
+
+def _worded(found: DataFrame, column: str = "date", days: int = 1) -> DataFrame:
+    """Findings as issues: severity, text, evidence, columns, advice."""
+    kind, v, a, b = (F.col(c) for c in ("kind", "value", "feature1", "feature2"))
+    found = found.withColumn("p", _p_value("value", "pairs"))
+
+    def by_kind(ahead: Column, target: Column, time: Column, pair: Column) -> Column:
+        return F.when(kind == LOOKAHEAD, ahead).when(kind == TARGET_DEPENDENT, target).when(kind == TEMPORAL, time).otherwise(pair)
+
+    gap = F.lit("gap_days")
+    overlap = F.col("severity") == "CRITICAL"
+    return found.withColumn("severity", by_kind(
+        F.lit("CRITICAL"), F.when(F.abs(v) > 0.9, "HIGH").otherwise("MEDIUM"), F.when(a == "overlap", "CRITICAL").otherwise("HIGH"),
+        F.lit("MEDIUM"),
+    )).select(
+        kind.alias("issue_type"), "severity",
+        by_kind(
+            F.format_string(f"'%s' correlates %.3f with the target {days} day(s) ahead", a, v),
+            F.format_string("'%s' correlates %.3f with the target", a, v),
+            F.when(overlap, F.format_string("Validation starts %.0f days before training ends", -v))
+            .otherwise(F.format_string("No gap between training and validation (%.0f days)", v)),
+            F.format_string("'%s' and '%s' correlate %.3f", a, b, v),
+        ).alias("description"),
+        by_kind(
+            F.create_map(F.lit("correlation"), v, F.lit("future_days"), F.lit(float(days))),
+            F.create_map(F.lit("correlation"), v, F.lit("p_value"), F.col("p")),
+            F.when(overlap, F.create_map(gap, v, F.lit("overlap_days"), -v)).otherwise(F.create_map(gap, v)),
+            F.create_map(F.lit("correlation"), v),
+        ).alias("evidence"),
+        by_kind(F.array(a), F.array(a), F.array(F.lit(column)), F.array(a, b)).alias("affected_columns"),
+        by_kind(
+            F.format_string(f"Remove '%s' or lag it by {days} day(s)", a), F.format_string("Check how '%s' is derived from the target", a),
+            F.lit("Start validation at least one day after training ends"), F.format_string("Keep one of '%s' and '%s'", a, b),
+        ).alias("recommendation"),
+    )
+
+
+def _flagged(found: DataFrame, lookahead: float = 0.7, dependence: float = 0.8, collinear: float = 0.95) -> DataFrame:
+    kind, v = F.col("kind"), F.col("value")
+    return found.where(
+        ((kind == LOOKAHEAD) & (F.abs(v) > lookahead)) | ((kind == TARGET_DEPENDENT) & (F.abs(v) > dependence))
+        | ((kind == MULTI_COLLINEARITY) & (v > collinear)) | ((kind == TEMPORAL) & F.when(F.col("feature1") == "overlap", v <= 0).otherwise(v < 1))
+    )
+
+
+def detect_lookahead(df: DataFrame, target: str, features: Sequence[str], days: int = 1, threshold: float = 0.7) -> DataFrame:
+    found = _measure(_led(df, target, days), _against(LOOKAHEAD, features, F.col("__future")))
+    return _worded(_flagged(found, lookahead=threshold), days=days)
 
 
 def detect_target_dependence(df: DataFrame, target: str, features: Sequence[str], threshold: float = 0.8) -> DataFrame:
-    r = F.col("correlation")
-    flagged = target_correlations(df, target, features).where(F.abs(r) > threshold)
-    return flagged.withColumn("p", _p_value("correlation", "pairs")).select(*_issue(
-        TARGET_DEPENDENT, F.when(F.abs(r) > 0.9, "HIGH").otherwise("MEDIUM"),
-        F.format_string("'%s' correlates %.3f with the target", "feature", r),
-        F.create_map(F.lit("correlation"), r, F.lit("p_value"), F.col("p")),
-        F.array("feature"), F.format_string("Check how '%s' is derived from the target", "feature"),
-    ))
+    return _worded(_flagged(_measure(df, _against(TARGET_DEPENDENT, features, F.col(target))), dependence=threshold))
+
+
+def detect_collinearity(df: DataFrame, features: Sequence[str], threshold: float = 0.95) -> DataFrame:
+    return _worded(_flagged(_measure(df, _among(features)), collinear=threshold))
 
 
-def period_bounds(train: DataFrame, validation: DataFrame, column: str = "date") -> DataFrame:
-    """One row: last training date, first validation date, and the days between them."""
-    t = train.agg(F.max(column).cast("date").alias("train_max"), F.lit(None).cast("date").alias("val_min"))
-    v = validation.agg(F.lit(None).cast("date").alias("train_max"), F.min(column).cast("date").alias("val_min"))
-    both = t.unionByName(v).agg(F.max("train_max").alias("train_max"), F.max("val_min").alias("val_min"))
-    return both.withColumn("gap_days", F.datediff("val_min", "train_max"))
+def _gap_findings(train_max: Column, val_min: Column) -> list[Column]:
+    gap = F.datediff(val_min, train_max)
+    return [_finding(TEMPORAL, gap, a="overlap"), _finding(TEMPORAL, gap, a="gap")]
 
 
 def detect_temporal(train: DataFrame, validation: DataFrame, column: str = "date") -> DataFrame:
-    gap = F.col("gap_days")
-    days = F.create_map(F.lit("gap_days"), gap.cast("double"), F.lit("overlap_days"), (-gap).cast("double"))
-    bounds = period_bounds(train, validation, column)
-    overlap = bounds.where(gap <= 0).select(*_issue(
-        TEMPORAL, F.lit("CRITICAL"),
-        F.format_string("Validation starts %s, training ends %s", F.col("val_min").cast("string"), F.col("train_max").cast("string")),
-        days, F.array(F.lit(column)), F.lit("Keep validation strictly after training"),
-    ))
-    no_gap = bounds.where(gap < 1).select(*_issue(
-        TEMPORAL, F.lit("HIGH"), F.format_string("No gap between training and validation (%d days)", gap),
-        F.create_map(F.lit("gap_days"), gap.cast("double")), F.array(F.lit(column)), F.lit("Leave at least one day between them"),
-    ))
-    return overlap.unionByName(no_gap)
+    """CRITICAL when validation starts on or before the last training date, HIGH when the gap is under a day."""
+    bound = _bounds(train, "train", column).unionByName(_bounds(validation, "val", column))
+    first, last = F.min(F.when(F.col("part") == "val", F.col("d"))), F.max(F.when(F.col("part") == "train", F.col("d")))
+    return _worded(_flagged(_measure(bound, _gap_findings(last, first))), column)
 
 
-def detect_collinearity(df: DataFrame, features: Sequence[str], threshold: float = 0.95) -> DataFrame:
-    r = F.col("correlation")
-    return pair_correlations(df, features).where(r > threshold).select(*_issue(
-        MULTI_COLLINEARITY, F.lit("MEDIUM"), F.format_string("'%s' and '%s' correlate %.3f", "feature1", "feature2", r),
-        F.create_map(F.lit("correlation"), r), F.array("feature1", "feature2"),
-        F.format_string("Keep one of '%s' and '%s'", "feature1", "feature2"),
-    ))
+def _bounds(df: DataFrame, part: str, column: str) -> DataFrame:
+    return df.select(F.lit(part).alias("part"), F.col(column).cast("date").alias("d"))
 
 
 def all_issues(train: DataFrame, validation: DataFrame, target: str, features: Sequence[str], column: str = "date") -> DataFrame:
-    """Issues of every check; collinearity is checked in both periods."""
-    out = detect_lookahead(train, target, features).unionByName(detect_target_dependence(train, target, features))
-    out = out.unionByName(detect_temporal(train, validation, column))
+    """Issues of every check; collinearity is checked in both periods.
+
+    Training rows are read once for all of their correlations, validation rows once for theirs, and the two dates once more.
+    """
+    on_train = _against(LOOKAHEAD, features, F.col("__future")) + _against(TARGET_DEPENDENT, features, F.col(target)) + _among(features)
+    found = _measure(_led(train, target, 1), on_train)
     if len(features) > 1:
-        out = out.unionByName(detect_collinearity(train, features)).unionByName(detect_collinearity(validation, features))
-    return out
+        found = found.unionByName(_measure(validation, _among(features)))
+    bound = _bounds(train, "train", column).unionByName(_bounds(validation, "val", column))
+    first, last = F.min(F.when(F.col("part") == "val", F.col("d"))), F.max(F.when(F.col("part") == "train", F.col("d")))
+    found = found.unionByName(_measure(bound, _gap_findings(last, first)))
+    return _worded(_flagged(found), column)
 
 
 def summarize_issues(issues: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 VECTOR_SIZE = 30
 
@@ -105,7 +106,7 @@ def score_batch(df: DataFrame, layers: Sequence[Layer], features: str = "feature
     """
     model = df.sparkSession.sparkContext.broadcast([(np.asarray(w, float), np.asarray(b, float)) for w, b in layers])
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for vectors in batches:
             out = np.full(len(vectors), np.nan)

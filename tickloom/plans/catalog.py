@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickloom.plans import market_queries  # noqa: F401  (importing registers)
+from tickloom.plans import market_queries, model_queries  # noqa: F401  (importing registers)
 from tickloom.plans.registry import ORACLES, QUERIES, Query
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.operators.backtest import crossover_signals
 from tickloom.operators.indicators import technical_features
 from tickloom.operators.targets import target_table
+from tickloom.session import stored
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,6 +38,11 @@ def bars(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def bars_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Bars written once, for plans that read them in several branches; they are far fewer than the orders behind them."""
+    return stored(bars(spark, folder), "bars")
+
+
 def tick_bars(events: DataFrame) -> DataFrame:
     """Daily bars per event type from single values."""
     from tickloom.operators.ticks import bars_from_ticks

@@ -103,13 +103,13 @@ QUALITY_SQL = f"""r AS (SELECT *, close / lag(close) OVER w - 1 AS ret, date - l
 QUALITY_LIMITS = validate.BarLimits(outlier_sigmas=1.5, max_volume_spike=2.0)
 
 
-def _quality(spark, folder) -> DataFrame:
-    return validate.quality_metrics(datasets.bars(spark, folder), QUALITY_LIMITS, max_gap_days=10)
+def _quality(bars: DataFrame) -> DataFrame:
+    return validate.quality_metrics(bars, QUALITY_LIMITS, max_gap_days=10)
 
 
 @query("quality_metrics", f"{BARS}, {QUALITY_SQL} SELECT {KEY}, missing_ohlcv, price_outlier, volume_outlier, data_gap, quality_score FROM q")
 def quality_metrics(spark, folder):
-    return _quality(spark, folder).drop("validation_errors")
+    return _quality(datasets.bars(spark, folder)).drop("validation_errors")
 
 
 REPORT_SQL = f"""{BARS}, {QUALITY_SQL}, kept AS (SELECT * FROM q WHERE quality_score < 1)
@@ -120,14 +120,14 @@ REPORT_SQL = f"""{BARS}, {QUALITY_SQL}, kept AS (SELECT * FROM q WHERE quality_s
 
 @query("quality_report", REPORT_SQL)
 def quality_report(spark, folder):
-    kept = _quality(spark, folder).where(F.col("quality_score") < 1)
-    return validate.quality_report(datasets.bars(spark, folder), kept)
+    b = datasets.bars_table(spark, folder)
+    return validate.quality_report(b, _quality(b).where(F.col("quality_score") < 1))
 
 
 @query("quality_summary", f"""{BARS}, {QUALITY_SQL} SELECT count(*) AS total_records,
   count(*) FILTER (quality_score >= 0.9) AS high_quality_records, {rsql('avg(quality_score)', 6)} AS avg_quality_score FROM q""")
 def quality_summary(spark, folder):
-    return rounded(validate.quality_summary(_quality(spark, folder)), {"avg_quality_score": 6})
+    return rounded(validate.quality_summary(_quality(datasets.bars(spark, folder))), {"avg_quality_score": 6})
 
 
 @query("daily_quality", f"""SELECT n_name AS ticker, {day_sql('CAST(o_orderdate AS DATE)')} AS date, count(*) AS record_count,
@@ -315,7 +315,7 @@ CALENDAR_SQL = """span AS (SELECT ticker, min(date) AS lo, max(date) AS hi FROM
 @query("gap_fill", f"""{BARS}, {CALENDAR_SQL} {INNER} (SELECT ticker, date, last_value(close IGNORE NULLS) OVER w AS close,
   CASE WHEN close IS NULL THEN 'forward_fill' ELSE 'raw' END AS cleaning_method FROM full_rows {WINDOW_SQL})""")
 def gap_fill(spark, folder):
-    return clean.fill_gaps(datasets.bars(spark, folder), "forward_fill", 7).select("ticker", "date", "close", "cleaning_method")
+    return clean.fill_gaps(datasets.bars_table(spark, folder), "forward_fill", 7).select("ticker", "date", "close", "cleaning_method")
 
 
 AHEAD = "(PARTITION BY ticker ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
@@ -328,7 +328,7 @@ KNOWN_DAY = "CASE WHEN close IS NOT NULL THEN date END"
   SELECT {KEY}, {rsql('coalesce(close, c0 + (c1 - c0) * ((date - d0) / nullif(d1 - d0, 0)))', 4)} AS close,
   CASE WHEN close IS NULL THEN 'interpolation' ELSE 'raw' END AS cleaning_method FROM k""")
 def gap_interpolate(spark, folder):
-    out = clean.fill_gaps(datasets.bars(spark, folder), "interpolation", 7)
+    out = clean.fill_gaps(datasets.bars_table(spark, folder), "interpolation", 7)
     return rounded(out.select("ticker", "date", "close", "cleaning_method"), {"close": 4})
 
 
@@ -369,7 +369,7 @@ def _corr_sql(other: str) -> str:
   {INNER} (SELECT ticker, date, {rsql(_corr_sql('a'), 6)} AS correlation_sp500, {rsql(_corr_sql('b'), 6)} AS correlation_sector,
   {rsql(_corr_sql('c'), 6)} AS correlation_tech FROM j)""")
 def rolling_corr(spark, folder):
-    out = indicators.market_context(datasets.bars(spark, folder), "ASIA", 20)
+    out = indicators.market_context(datasets.bars_table(spark, folder), "ASIA", 20)
     return keyed(out, dict.fromkeys(["correlation_sp500", "correlation_sector", "correlation_tech"], 6))
 
 

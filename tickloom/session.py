@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tickloom", master: str | None = None, shuffle_partitions: int | None = None,
@@ -39,3 +39,15 @@ def work_folder(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         shared = tempfile.mkdtemp(prefix="tickloom-")
     return os.path.join(shared, f"{label}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    For a result that several branches of a plan use and that is much smaller than what it came from: the branches then
+    read it instead of scanning the raw data again, and a lost executor costs only a re-read.
+    """
+    spark = df.sparkSession
+    path = work_folder(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

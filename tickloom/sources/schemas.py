@@ -2,81 +2,81 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+TEXT, DAY, LONG, INT, FLAG, TIME = (
+    T.StringType(), T.DateType(), T.LongType(), T.IntegerType(), T.BooleanType(), T.TimestampNTZType())
+TEXTS = T.ArrayType(T.StringType())
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
 
+def _dec(precision: int, scale: int) -> T.DecimalType:
+    return T.DecimalType(precision, scale)
+
+
+def _struct(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in columns.items()])
+
+
+PRICE, RETURN, PERCENT, RATIO = _dec(10, 4), _dec(8, 6), _dec(5, 2), _dec(4, 3)
 
 RAW_BARS = _struct(
-    "ticker string, date date, open decimal(10,4), high decimal(10,4), low decimal(10,4), close decimal(10,4), "
-    "volume bigint, adj_close decimal(10,4), source string, ingested_at timestamp_ntz, updated_at timestamp_ntz"
+    ticker=TEXT, date=DAY, open=PRICE, high=PRICE, low=PRICE, close=PRICE, volume=LONG, adj_close=PRICE, source=TEXT,
+    ingested_at=TIME, updated_at=TIME,
 )
 
 QUALITY = _struct(
-    "ticker string, date date, missing_ohlcv boolean, price_outlier boolean, volume_outlier boolean, "
-    "data_gap boolean, quality_score decimal(3,2), validation_errors string, validated_at timestamp_ntz"
+    ticker=TEXT, date=DAY, missing_ohlcv=FLAG, price_outlier=FLAG, volume_outlier=FLAG, data_gap=FLAG,
+    quality_score=_dec(3, 2), validation_errors=TEXT, validated_at=TIME,
 )
 
 RUN_LOG = _struct(
-    "pipeline_name string, execution_start timestamp_ntz, execution_end timestamp_ntz, status string, "
-    "records_processed int, records_failed int, error_message string, dag_run_id string"
+    pipeline_name=TEXT, execution_start=TIME, execution_end=TIME, status=TEXT, records_processed=INT, records_failed=INT,
+    error_message=TEXT, dag_run_id=TEXT,
 )
 
 PROCESSED_BARS = _struct(
-    "ticker string, date date, open decimal(10,4), high decimal(10,4), low decimal(10,4), close decimal(10,4), "
-    "volume bigint, adj_close decimal(10,4), returns decimal(8,6), log_returns decimal(8,6), "
-    "cleaning_method string, processed_at timestamp_ntz, processed_version int"
+    ticker=TEXT, date=DAY, open=PRICE, high=PRICE, low=PRICE, close=PRICE, volume=LONG, adj_close=PRICE, returns=RETURN,
+    log_returns=RETURN, cleaning_method=TEXT, processed_at=TIME, processed_version=INT,
 )
 
 TECHNICAL = _struct(
-    "ticker string, date date, rsi_14 decimal(5,2), macd_line decimal(8,6), macd_signal decimal(8,6), "
-    "macd_histogram decimal(8,6), sma_20 decimal(10,4), sma_50 decimal(10,4), sma_200 decimal(10,4), "
-    "ema_12 decimal(10,4), ema_26 decimal(10,4), atr_14 decimal(8,4), bollinger_upper decimal(10,4), "
-    "bollinger_middle decimal(10,4), bollinger_lower decimal(10,4), obv bigint, volume_sma bigint, "
-    "price_range decimal(8,4), price_range_pct decimal(5,2), upper_shadow decimal(5,2), lower_shadow decimal(5,2), "
-    "computed_at timestamp_ntz, feature_version int"
+    ticker=TEXT, date=DAY, rsi_14=PERCENT, macd_line=RETURN, macd_signal=RETURN, macd_histogram=RETURN, sma_20=PRICE,
+    sma_50=PRICE, sma_200=PRICE, ema_12=PRICE, ema_26=PRICE, atr_14=_dec(8, 4), bollinger_upper=PRICE,
+    bollinger_middle=PRICE, bollinger_lower=PRICE, obv=LONG, volume_sma=LONG, price_range=_dec(8, 4),
+    price_range_pct=PERCENT, upper_shadow=PERCENT, lower_shadow=PERCENT, computed_at=TIME, feature_version=INT,
 )
 
 MARKET_CONTEXT = _struct(
-    "ticker string, date date, market_sentiment string, sector_momentum decimal(8,6), sector_volatility decimal(5,2), "
-    "correlation_sp500 decimal(4,3), correlation_sector decimal(4,3), correlation_tech decimal(4,3), "
-    "market_volatility decimal(5,2), market_trend string, market_trend_strength decimal(4,3), "
-    "computed_at timestamp_ntz, feature_version int"
+    ticker=TEXT, date=DAY, market_sentiment=TEXT, sector_momentum=RETURN, sector_volatility=PERCENT, correlation_sp500=RATIO,
+    correlation_sector=RATIO, correlation_tech=RATIO, market_volatility=PERCENT, market_trend=TEXT,
+    market_trend_strength=RATIO, computed_at=TIME, feature_version=INT,
 )
 
 TARGETS = _struct(
-    "ticker string, date date, target_return decimal(8,6), target_binary int, target_direction string, "
-    "confidence decimal(3,2), computed_at timestamp_ntz"
+    ticker=TEXT, date=DAY, target_return=RETURN, target_binary=INT, target_direction=TEXT, confidence=_dec(3, 2), computed_at=TIME,
 )
 
 DATASET_SNAPSHOT = _struct(
-    "dataset_id string, dataset_name string, version int, start_date date, end_date date, tickers array<string>, "
-    "total_records bigint, train_records bigint, validation_records bigint, test_records bigint, feature_count int, "
-    "features_used array<string>, preprocessing_steps string, data_split_method string"
+    dataset_id=TEXT, dataset_name=TEXT, version=INT, start_date=DAY, end_date=DAY, tickers=TEXTS, total_records=LONG,
+    train_records=LONG, validation_records=LONG, test_records=LONG, feature_count=INT, features_used=TEXTS,
+    preprocessing_steps=TEXT, data_split_method=TEXT,
 )
 
-FEATURE_IMPORTANCE = _struct(
-    "model_version string, feature_name string, importance_score decimal(8,6), importance_type string"
-)
+FEATURE_IMPORTANCE = _struct(model_version=TEXT, feature_name=TEXT, importance_score=RETURN, importance_type=TEXT)
 
 LINEAGE = _struct(
-    "source_table string, target_table string, transformation_name string, successful boolean, records_input bigint, "
-    "records_output bigint, execution_time_ms bigint, executed_by string, executed_at timestamp_ntz, lineage_details string"
+    source_table=TEXT, target_table=TEXT, transformation_name=TEXT, successful=FLAG, records_input=LONG, records_output=LONG,
+    execution_time_ms=LONG, executed_by=TEXT, executed_at=TIME, lineage_details=TEXT,
 )
 
-# Text form of a bar file before coercion; values that do not parse become null later.
-RAW_BAR_TEXT = _struct("date string, open string, high string, low string, close string, adj_close string, volume string")
-
 OHLCV = ["open", "high", "low", "close", "volume"]
 REQUIRED = ["date", *OHLCV]
 
 
-def conform(df, schema: T.StructType):
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast to a table schema at its edge; columns the frame lacks become null."""
-    from pyspark.sql import functions as F
-
     return df.select(*[
         (F.col(f.name) if f.name in df.columns else F.lit(None)).try_cast(f.dataType).alias(f.name) for f in schema
     ])
