@@ -182,30 +182,41 @@ DRAW_MODULUS = 2147483647
 DRAW_MULTIPLIER = 48271
 
 
-def draw_index(sim: Column, i: Column, n: Column, seed: int) -> Column:
-    """Index in 0..n-1 drawn for step ``i`` of simulation ``sim``: a fixed function, so a lost task redraws the same."""
-    m = F.lit(DRAW_MODULUS).cast("bigint")
-    h = (sim.cast("bigint") * DRAW_MULTIPLIER + i.cast("bigint") * 69621 + seed) % m
+def with_draw(df: DataFrame, name: str, seed: int) -> DataFrame:
+    """Index in 0..n-1 drawn for step ``i`` of simulation ``sim``: a fixed function, so a lost task redraws the same.
+
+    The steps are separate columns because each uses the one before it twice.
+    """
+    sim, i, m = F.col("sim").cast("bigint"), F.col("i").cast("bigint"), F.lit(DRAW_MODULUS).cast("bigint")
+    out = df.withColumn("__h", (sim * DRAW_MULTIPLIER + i * 69621 + seed) % m)
+    h = F.col("__h")
     for k in (40692, 16807, 39373):
-        h = (h * h + h * k + i.cast("bigint") + sim.cast("bigint")) % m
-    return h % n
+        out = out.withColumn("__h", (h * h + h * k + i + sim) % m)
+    return out.withColumn(name, F.coalesce(h % F.col("n"), F.lit(0).cast("bigint"))).drop("__h")
+
+
+# Rows of returns up to which they are sent to every task.
+BROADCAST_ROWS = 500_000
 
 
 def bootstrap_returns(curve: DataFrame, sims: int = 1000, seed: int = 42) -> DataFrame:
     """Compounded return of each (ticker, sim): as many draws with replacement as there are returns.
 
     Draws meet the drawn returns in an equi-join on (ticker, row number) and are multiplied with map-side combination,
-    so neither a series nor a simulation has to fit in one task.
+    so neither a series nor a simulation has to fit in one task. The returns are broadcast when a count shows that they
+    are few; otherwise both sides are shuffled and merged. Give a stored table, as it is read more than once.
     """
     r = curve.where(F.col("equity_return").isNotNull()).select(
-        "ticker", (F.row_number().over(bars_window()) - 1).alias("i"), F.col("equity_return").alias("r"),
+        "ticker", (F.row_number().over(bars_window()) - 1).cast("bigint").alias("i"), F.col("equity_return").alias("r"),
         F.count(F.lit(1)).over(Window.partitionBy("ticker")).alias("n"),
     )
     # Every row becomes ``sims`` rows: the parts are fixed here so that a short series still spreads over all cores.
     parts = int(curve.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    draws = r.repartition(parts, "ticker", "i").select("ticker", F.explode(F.sequence(F.lit(0), F.lit(sims - 1))).alias("sim"), "i", "n")
-    draws = draws.select("ticker", "sim", draw_index(F.col("sim"), F.col("i"), F.col("n"), seed).alias("drawn"))
-    hit = draws.join(r.select("ticker", F.col("i").cast("bigint").alias("drawn"), "r"), ["ticker", "drawn"])
+    draws = r.drop("r").repartition(parts, "ticker", "i").withColumn("sim", F.explode(F.sequence(F.lit(0), F.lit(sims - 1))))
+    drawn = with_draw(draws, "drawn", seed).select("ticker", "sim", "drawn")
+    returns = r.select("ticker", F.col("i").alias("drawn"), "r")
+    few = curve.select("ticker").limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    hit = drawn.join(F.broadcast(returns) if few else returns.hint("merge"), ["ticker", "drawn"])
     return hit.groupBy("ticker", "sim").agg((F.product(1 + F.col("r")) - 1).alias("sim_return"))
 
 

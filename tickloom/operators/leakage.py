@@ -23,37 +23,37 @@ TEMPORAL = "temporal leakage"
 MULTI_COLLINEARITY = "multi-collinearity"
 SEVERITIES = ["CRITICAL", "HIGH", "MEDIUM", "LOW"]
 
-FINDINGS_PER_PASS = 1500
 
+Pair = tuple[str, str, str | None, Column, Column]
 
-def _finding(kind: str, value: Column, pairs: Column | None = None, a: str | None = None, b: str | None = None) -> Column:
-    return F.struct(
-        F.lit(kind).alias("kind"), F.lit(a).cast("string").alias("feature1"), F.lit(b).cast("string").alias("feature2"),
-        value.cast("double").alias("value"), (F.lit(None) if pairs is None else pairs).cast("bigint").alias("pairs"),
-    )
 
+def _against(kind: str, features: Sequence[str], target: Column) -> list[Pair]:
+    return [(kind, f, None, F.col(f), target) for f in features]
 
-def _against(kind: str, features: Sequence[str], target: Column) -> list[Column]:
-    y = clean_number(target)
-    return [
-        _finding(kind, pearson(F.col(f), target), F.count(F.when(clean_number(F.col(f)).isNotNull() & y.isNotNull(), 1)), f)
-        for f in features
-    ]
 
+def _among(features: Sequence[str]) -> list[Pair]:
+    return [(MULTI_COLLINEARITY, a, b, F.col(a), F.col(b)) for a, b in combinations(features, 2)]
 
-def _among(features: Sequence[str]) -> list[Column]:
-    return [_finding(MULTI_COLLINEARITY, F.abs(pearson(F.col(a), F.col(b))), None, a, b) for a, b in combinations(features, 2)]
 
+def _measure(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
+    """(kind, feature1, feature2, value, pairs): the correlation of every listed pair of columns from one scan.
 
-def _measure(df: DataFrame, findings: Sequence[Column]) -> DataFrame:
-    """One row per finding from as few passes as their number allows (one, for common feature counts)."""
-    out = None
-    for at in range(0, len(findings), FINDINGS_PER_PASS):
-        part = df.agg(F.array(*findings[at:at + FINDINGS_PER_PASS]).alias("r")).select(F.inline("r"))
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+    A row is unfolded into its (pair number, x, y) and reduced at once by pair number on the map side: what is shuffled
+    is one short row per pair and task, and the plan stays small however many features there are. Rows in which
+    either side is missing count for the other pairs only.
+    """
+    if not pairs:
         raise ValueError("nothing to measure")
-    return out
+    values = F.array(*[F.struct(clean_number(x).alias("x"), clean_number(y).alias("y")) for *_, x, y in pairs])
+    rows = df.select(F.posexplode(values).alias("at", "v")).select("at", "v.x", "v.y")
+    rows = rows.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    found = rows.groupBy("at").agg(pearson(F.col("x"), F.col("y")).alias("value"), F.count("*").alias("pairs"))
+
+    def name(part: int) -> Column:
+        return F.get(F.array(*[F.lit(p[part]).cast("string") for p in pairs]), F.col("at"))
+
+    value = F.when(F.col("kind") == MULTI_COLLINEARITY, F.abs("value")).otherwise(F.col("value"))
+    return found.select(name(0).alias("kind"), name(1).alias("feature1"), name(2).alias("feature2"), "value", "pairs").withColumn("value", value)
 
 
 def _led(df: DataFrame, target: str, days: int) -> DataFrame:
@@ -74,7 +74,7 @@ def target_correlations(df: DataFrame, target: str, features: Sequence[str]) ->
 
 
 def pair_correlations(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(feature1, feature2, correlation) of every pair, feature1 before feature2 in the given order."""
+    """(feature1, feature2, absolute correlation) of every pair, feature1 before feature2 in the given order."""
     return _measure(df, _among(features)).select("feature1", "feature2", F.col("value").alias("correlation"))
 
 
@@ -141,20 +141,24 @@ def detect_collinearity(df: DataFrame, features: Sequence[str], threshold: float
     return _worded(_flagged(_measure(df, _among(features)), collinear=threshold))
 
 
-def _gap_findings(train_max: Column, val_min: Column) -> list[Column]:
-    gap = F.datediff(val_min, train_max)
-    return [_finding(TEMPORAL, gap, a="overlap"), _finding(TEMPORAL, gap, a="gap")]
+def _gap(train: DataFrame, validation: DataFrame, column: str) -> DataFrame:
+    """The two conditions on the days between the last training date and the first validation date."""
 
+    def dated(df: DataFrame, part: str) -> DataFrame:
+        return df.select(F.lit(part).alias("part"), F.col(column).cast("date").alias("d"))
 
-def detect_temporal(train: DataFrame, validation: DataFrame, column: str = "date") -> DataFrame:
-    """CRITICAL when validation starts on or before the last training date, HIGH when the gap is under a day."""
-    bound = _bounds(train, "train", column).unionByName(_bounds(validation, "val", column))
+    both = dated(train, "train").unionByName(dated(validation, "val"))
     first, last = F.min(F.when(F.col("part") == "val", F.col("d"))), F.max(F.when(F.col("part") == "train", F.col("d")))
-    return _worded(_flagged(_measure(bound, _gap_findings(last, first))), column)
+    days = both.agg(F.datediff(first, last).cast("double").alias("value"))
+    return days.select(
+        F.lit(TEMPORAL).alias("kind"), F.explode(F.array(F.lit("overlap"), F.lit("gap"))).alias("feature1"),
+        F.lit(None).cast("string").alias("feature2"), "value", F.lit(None).cast("bigint").alias("pairs"),
+    )
 
 
-def _bounds(df: DataFrame, part: str, column: str) -> DataFrame:
-    return df.select(F.lit(part).alias("part"), F.col(column).cast("date").alias("d"))
+def detect_temporal(train: DataFrame, validation: DataFrame, column: str = "date") -> DataFrame:
+    """CRITICAL when validation starts on or before the last training date, HIGH when the gap is under a day."""
+    return _worded(_flagged(_gap(train, validation, column)), column)
 
 
 def all_issues(train: DataFrame, validation: DataFrame, target: str, features: Sequence[str], column: str = "date") -> DataFrame:
@@ -166,10 +170,7 @@ def all_issues(train: DataFrame, validation: DataFrame, target: str, features: S
     found = _measure(_led(train, target, 1), on_train)
     if len(features) > 1:
         found = found.unionByName(_measure(validation, _among(features)))
-    bound = _bounds(train, "train", column).unionByName(_bounds(validation, "val", column))
-    first, last = F.min(F.when(F.col("part") == "val", F.col("d"))), F.max(F.when(F.col("part") == "train", F.col("d")))
-    found = found.unionByName(_measure(bound, _gap_findings(last, first)))
-    return _worded(_flagged(found), column)
+    return _worded(_flagged(found.unionByName(_gap(train, validation, column))), column)
 
 
 def summarize_issues(issues: DataFrame) -> DataFrame:
