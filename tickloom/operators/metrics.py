@@ -86,13 +86,20 @@ def bucket_rows(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def bucket_quantile(buckets: Column, q: float) -> Column:
-    """Quantile estimated from cumulative buckets: linear inside a bucket; in the top one its lower bound."""
+    """Quantile estimated from cumulative buckets: linear inside a bucket; in the top one its lower bound.
+
+    Give the buckets as a column of the frame, since they are read more than once.
+    """
     total = F.element_at(buckets, -1)["count"]
     rank = F.lit(float(q)) * total
-    hit = F.filter(buckets, lambda b: b["count"] >= rank)[0]
-    share = F.try_divide(rank - hit["below"], (hit["count"] - hit["below"]).cast("double"))
-    inside = F.when(hit["le"] <= 0, hit["le"]).otherwise(hit["lower"] + (hit["le"] - hit["lower"]) * share)
-    return F.when(total > 0, F.when(hit["le"] == float("inf"), hit["lower"]).otherwise(inside))
+
+    def inside(hit: Column) -> Column:
+        share = F.try_divide(rank - hit["below"], (hit["count"] - hit["below"]).cast("double"))
+        between = hit["lower"] + (hit["le"] - hit["lower"]) * share
+        return F.when(hit["le"] == float("inf"), hit["lower"]).when(hit["le"] <= 0, hit["le"]).otherwise(between)
+
+    reached = F.slice(F.filter(buckets, lambda b: b["count"] >= rank), 1, 1)
+    return F.when(total > 0, F.get(F.transform(reached, inside), F.lit(0)))
 
 
 def latency_stats(df: DataFrame, keys: Sequence[str], duration: str, failed: Column, order: Sequence[str],
@@ -162,8 +169,8 @@ def windowed_quantiles(df: DataFrame, keys: Sequence[str], bounds: Sequence[floa
     """Bucket quantiles over a sliding window."""
     names = [f"__b{i}" for i in range(len(bounds) + 1)]
     out = sliding(df, keys, seconds, step, dict(zip(names, _bucket_counts(value, bounds))), {n: F.sum(n) for n in names}, ts)
-    buckets = bucket_array([F.col(n) for n in names], bounds)
-    return out.select(*keys, "eval_ts", *[bucket_quantile(buckets, q).alias(n) for n, q in quantiles.items()])
+    out = out.withColumn("__buckets", bucket_array([F.col(n) for n in names], bounds))
+    return out.select(*keys, "eval_ts", *[bucket_quantile(F.col("__buckets"), q).alias(n) for n, q in quantiles.items()])
 
 
 def ratio_in_one_pass(df: DataFrame, keys: Sequence[str], top: Column, bottom: Column, seconds: int, step: int, ts: str = "ts") -> DataFrame:
