@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import backtest, clean, feature_store, indicators, leakage, modeling, scoring, splits, targets, validate
 from tickloom.plans import datasets
-from tickloom.plans.market_queries import ATR_SQL, BARS, CALENDAR_SQL, INNER, RETURNS_SQL, RSI_B, TARGET_SQL, keyed
+from tickloom.plans.market_queries import ATR_SQL, BARS, CALENDAR_SQL, EMA_SQL, INNER, RETURNS_SQL, RSI_A, RSI_B, TARGET_SQL, keyed
 from tickloom.plans.registry import BARS_SQL, WINDOW_SQL, day_sql, query, rolling_sql, rounded, rsql, second_sql
 from tickloom.session import stored
 from tickloom.sources import sinks
@@ -618,3 +618,27 @@ def retention(spark, folder):
     kept, expired = sinks.split_by_age(datasets.bars_table(spark, folder), date(2001, 6, 30), sinks.RAW_KEEP_DAYS)
     both = kept.select("ticker", F.lit(True).alias("keep")).unionByName(expired.select("ticker", F.lit(False).alias("keep")))
     return both.groupBy("ticker").agg(F.count_if("keep").alias("kept"), F.count_if(~F.col("keep")).alias("expired"))
+
+
+# ---- the file pipeline on derived bars
+
+PROCESSED_DIGITS = {
+    "returns": 6, "sma_20": 5, "ema_12": 3, "ema_26": 3, "macd_signal": 3, "rsi_14": 5, "bb_upper": 3, "volume_change": 6,
+    "volatility_10": 5, "target_return": 6,
+}
+PROCESSED_SQL = f"""{EMA_SQL}, {RSI_A}, pr AS (SELECT *, close / lag(close) OVER w - 1 AS returns, volume / lag(volume) OVER w - 1 AS volume_change,
+    (lead(close) OVER w - close) / close AS target_return FROM bars {WINDOW_SQL}),
+  px AS (SELECT *, {rolling_sql('avg', 'close', 20)} AS sma_20, {rolling_sql('stddev_samp', 'close', 20)} AS dev, {rolling_sql('stddev_samp', 'returns', 10)} AS volatility_10 FROM pr),
+  pc AS (SELECT px.ticker, px.date, returns, sma_20, ema_12, ema_26, macd_signal, rsi_14, sma_20 + 2 * dev AS bb_upper, volume_change, volatility_10, target_return
+    FROM px JOIN macd ON px.ticker = macd.ticker AND px.date = macd.date JOIN rsi ON px.ticker = rsi.ticker AND px.date = rsi.date),
+  po AS (SELECT * FROM pc WHERE COLUMNS(*) IS NOT NULL),
+  pn AS (SELECT *, row_number() OVER w - 1 AS rn, count(*) OVER (PARTITION BY ticker) AS n FROM po {WINDOW_SQL})"""
+
+
+@query("processed_dataset", f"""{BARS}, {PROCESSED_SQL} SELECT ticker, {day_sql('date')} AS date, {', '.join(f'{rsql(c, n)} AS {c}' for c, n in PROCESSED_DIGITS.items())},
+  CASE WHEN rn < floor(n * 0.7::DOUBLE) THEN 'train' WHEN rn < floor(n * (0.7::DOUBLE + 0.15::DOUBLE)) THEN 'validation' ELSE 'test' END AS split FROM pn""")
+def processed_dataset(spark, folder):
+    from tickloom.plans.process import process_bars
+
+    out = process_bars(datasets.bars(spark, folder))
+    return rounded(out.select("ticker", "date", *PROCESSED_DIGITS, "split"), PROCESSED_DIGITS)

@@ -44,8 +44,8 @@ def stream_quantiles(spark, folder):
     return rounded(jobs.run_to_table(out, "stream-quantiles"), {"p50": 4, "p95": 4, "p99": 4})
 
 
-@query("stream_alerts", f"""WITH t AS (SELECT event_type AS series, make_timestamp(CAST((floor(epoch_us(ts) / 3600e6) + 1) * 3600 * 1000000 AS BIGINT)) AS tick, avg(value) > 20 AS active
-    FROM events GROUP BY ALL HAVING tick <= {MARK.format(delay='10 MINUTE')}),
+@query("stream_alerts", f"""WITH t0 AS (SELECT event_type AS series, make_timestamp(CAST((floor(epoch_us(ts) / 3600e6) + 1) * 3600 * 1000000 AS BIGINT)) AS tick, avg(value) > 20 AS active
+    FROM events GROUP BY 1, 2), t AS (SELECT * FROM t0 WHERE tick <= {MARK.format(delay='10 MINUTE')}),
   a AS (SELECT *, CASE WHEN tick - lag(tick) OVER w <= INTERVAL 1 HOUR THEN 0 ELSE 1 END AS fresh FROM t WHERE active WINDOW w AS (PARTITION BY series ORDER BY tick)),
   i AS (SELECT *, sum(fresh) OVER (PARTITION BY series ORDER BY tick) AS island FROM a)
   SELECT series, 'FIRING' AS state, {second_sql('min(tick)')} AS since, {second_sql('min(tick) + INTERVAL 2 HOUR')} AS at FROM i GROUP BY series, island HAVING max(tick) - min(tick) >= INTERVAL 2 HOUR""")
@@ -54,8 +54,8 @@ def stream_alerts(spark, folder):
     return jobs.run_to_table(out, "stream-alerts").where(F.col("state") == "FIRING")
 
 
-@query("stream_absence", f"""WITH m AS (SELECT event_type AS series, make_timestamp(CAST((floor(epoch_us(ts) / 60e6) + 1) * 60 * 1000000 AS BIGINT)) AS tick, min(ts) AS first, max(ts) AS last
-    FROM events GROUP BY ALL HAVING tick <= {MARK.format(delay='10 MINUTE')}),
+@query("stream_absence", f"""WITH m0 AS (SELECT event_type AS series, make_timestamp(CAST((floor(epoch_us(ts) / 60e6) + 1) * 60 * 1000000 AS BIGINT)) AS tick, min(ts) AS first, max(ts) AS last
+    FROM events GROUP BY 1, 2), m AS (SELECT * FROM m0 WHERE tick <= {MARK.format(delay='10 MINUTE')}),
   g AS (SELECT series, last AS since, lead(first) OVER (PARTITION BY series ORDER BY tick) AS next FROM m)
   SELECT series, 'FIRING' AS state, {second_sql('since')} AS since, {second_sql('since + INTERVAL 1500 SECOND')} AS at FROM g
   WHERE coalesce(next, {MARK.format(delay='10 MINUTE')}) - since >= INTERVAL 1500 SECOND""")
