@@ -23,13 +23,12 @@ def coerce_bars(df: DataFrame, numeric: Sequence[str] = OHLCV) -> DataFrame:
 def keep_first(df: DataFrame, keys: Sequence[str] = ("ticker", "date"), order: Sequence[str] | None = None) -> DataFrame:
     """First row of each key along ``order`` (all other columns by default).
 
-    Written as an aggregate: copies of a key are reduced before the shuffle, so a key with many copies does
-    not gather in one task.
+    Spark keeps one row per key on the map side already (a window group limit), so a key with many copies does not
+    gather in one task.
     """
-    rest = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*(order or rest))
-    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), ordering).alias("__first"))
-    return first.select(*keys, "__first.*").select(*df.columns)
+    rest = list(order or [c for c in df.columns if c not in keys])
+    w = Window.partitionBy(*keys).orderBy(*rest)
+    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
 def drop_incomplete(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:

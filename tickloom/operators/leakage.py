@@ -24,28 +24,31 @@ MULTI_COLLINEARITY = "multi-collinearity"
 SEVERITIES = ["CRITICAL", "HIGH", "MEDIUM", "LOW"]
 
 
-Pair = tuple[str, str, str | None, Column, Column]
+Pair = tuple[str, str, str | None, str, str]
 
 
-def _against(kind: str, features: Sequence[str], target: Column) -> list[Pair]:
-    return [(kind, f, None, F.col(f), target) for f in features]
+def _against(kind: str, features: Sequence[str], target: str) -> list[Pair]:
+    return [(kind, f, None, f, target) for f in features]
 
 
 def _among(features: Sequence[str]) -> list[Pair]:
-    return [(MULTI_COLLINEARITY, a, b, F.col(a), F.col(b)) for a, b in combinations(features, 2)]
+    return [(MULTI_COLLINEARITY, a, b, a, b) for a, b in combinations(features, 2)]
 
 
 def _measure(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
     """(kind, feature1, feature2, value, pairs): the correlation of every listed pair of columns from one scan.
 
-    A row is unfolded into its (pair number, x, y) and reduced at once by pair number on the map side: what is shuffled
-    is one short row per pair and task, and the plan stays small however many features there are. Rows in which
-    either side is missing count for the other pairs only.
+    A row is unfolded into (pair number, x, y) by a fixed list of column numbers and reduced at once by pair number on the
+    map side: what is shuffled is one short row per pair and task, and the generated code stays small however many
+    features there are. Rows in which either side is missing count for the other pairs only.
     """
     if not pairs:
         raise ValueError("nothing to measure")
-    values = F.array(*[F.struct(clean_number(x).alias("x"), clean_number(y).alias("y")) for *_, x, y in pairs])
-    rows = df.select(F.posexplode(values).alias("at", "v")).select("at", "v.x", "v.y")
+    columns = list(dict.fromkeys(c for p in pairs for c in p[3:]))
+    picks = F.array(*[F.struct(F.lit(columns.index(x)).alias("i"), F.lit(columns.index(y)).alias("j")) for *_, x, y in pairs])
+    values = df.select(F.array(*[clean_number(F.col(c)) for c in columns]).alias("v"))
+    rows = values.select(F.posexplode(picks).alias("at", "p"), "v")
+    rows = rows.select("at", F.get("v", F.col("p.i")).alias("x"), F.get("v", F.col("p.j")).alias("y"))
     rows = rows.where(F.col("x").isNotNull() & F.col("y").isNotNull())
     found = rows.groupBy("at").agg(pearson(F.col("x"), F.col("y")).alias("value"), F.count("*").alias("pairs"))
 
@@ -66,11 +69,11 @@ def _correlations(found: DataFrame) -> DataFrame:
 
 def lookahead_correlations(df: DataFrame, target: str, features: Sequence[str], days: int = 1) -> DataFrame:
     """(feature, correlation with the target ``days`` rows ahead, pairs)."""
-    return _correlations(_measure(_led(df, target, days), _against(LOOKAHEAD, features, F.col("__future"))))
+    return _correlations(_measure(_led(df, target, days), _against(LOOKAHEAD, features, "__future")))
 
 
 def target_correlations(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
-    return _correlations(_measure(df, _against(TARGET_DEPENDENT, features, F.col(target))))
+    return _correlations(_measure(df, _against(TARGET_DEPENDENT, features, target)))
 
 
 def pair_correlations(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -129,12 +132,12 @@ def _flagged(found: DataFrame, lookahead: float = 0.7, dependence: float = 0.8,
 
 
 def detect_lookahead(df: DataFrame, target: str, features: Sequence[str], days: int = 1, threshold: float = 0.7) -> DataFrame:
-    found = _measure(_led(df, target, days), _against(LOOKAHEAD, features, F.col("__future")))
+    found = _measure(_led(df, target, days), _against(LOOKAHEAD, features, "__future"))
     return _worded(_flagged(found, lookahead=threshold), days=days)
 
 
 def detect_target_dependence(df: DataFrame, target: str, features: Sequence[str], threshold: float = 0.8) -> DataFrame:
-    return _worded(_flagged(_measure(df, _against(TARGET_DEPENDENT, features, F.col(target))), dependence=threshold))
+    return _worded(_flagged(_measure(df, _against(TARGET_DEPENDENT, features, target)), dependence=threshold))
 
 
 def detect_collinearity(df: DataFrame, features: Sequence[str], threshold: float = 0.95) -> DataFrame:
@@ -166,7 +169,7 @@ def all_issues(train: DataFrame, validation: DataFrame, target: str, features: S
 
     Training rows are read once for all of their correlations, validation rows once for theirs, and the two dates once more.
     """
-    on_train = _against(LOOKAHEAD, features, F.col("__future")) + _against(TARGET_DEPENDENT, features, F.col(target)) + _among(features)
+    on_train = _against(LOOKAHEAD, features, "__future") + _against(TARGET_DEPENDENT, features, target) + _among(features)
     found = _measure(_led(train, target, 1), on_train)
     if len(features) > 1:
         found = found.unionByName(_measure(validation, _among(features)))

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions.rolling import bars_window
 
@@ -28,12 +29,13 @@ class BarLimits:
     outlier_sigmas: float = 3.0
 
 
-def bar_error(columns: list[str], limits: BarLimits = BarLimits()) -> Column:
+def bar_error(bars: DataFrame, limits: BarLimits = BarLimits()) -> Column:
     """Message of the first rule a bar breaks, or null. Rules in order: missing field, type, price range,
-    high below low, close outside the bar, volume, width of the bar."""
+    high below low, close outside the bar, volume, width of the bar. Prices are compared as decimals."""
+    columns = bars.columns
 
     def number(c: str) -> Column:
-        return F.col(c).cast("string").try_cast(EXACT)
+        return F.col(c).try_cast(EXACT)
 
     missing = F.lit(None).cast("string")
     for f in reversed(CHECKED_FIELDS):
@@ -44,7 +46,8 @@ def bar_error(columns: list[str], limits: BarLimits = BarLimits()) -> Column:
         return missing
 
     close, high, low = number("close"), number("high"), number("low")
-    volume = F.col("volume").cast("string").try_cast("double").try_cast("bigint")
+    text_volume = isinstance(bars.schema["volume"].dataType, T.StringType)
+    volume = (F.col("volume").try_cast("double") if text_volume else F.col("volume")).try_cast("bigint")
     bad_type = F.lit(None).cast("string")
     for f, parsed in reversed([(c, number(c)) for c in ("close", "high", "low", "open")] + [("volume", volume)]):
         text = F.concat(F.lit("Type error: "), F.lit(f), F.lit("="), F.col(f).cast("string"))
@@ -69,7 +72,7 @@ def bar_error(columns: list[str], limits: BarLimits = BarLimits()) -> Column:
 
 
 def validate_bars(bars: DataFrame, limits: BarLimits = BarLimits()) -> DataFrame:
-    return bars.withColumn("validation_error", bar_error(bars.columns, limits))
+    return bars.withColumn("validation_error", bar_error(bars, limits))
 
 
 def split_valid(bars: DataFrame, limits: BarLimits = BarLimits()) -> tuple[DataFrame, DataFrame]:
@@ -174,10 +177,13 @@ def quality_gate(summary: DataFrame, inserted: int | None = None, threshold: flo
 
 
 def latest_per_ticker(bars: DataFrame, columns: list[str] | None = None, ties: list[str] | None = None) -> DataFrame:
-    """Newest row of each ticker; ties on date fall to the greatest of ``ties``."""
+    """Newest row of each ticker. Bars of several sources can share a date; ties then fall to the greatest of ``ties``
+    (the source by default). With one row per date each column is an aggregate of its own, which Spark hashes."""
     cols = columns or [c for c in bars.columns if c != "ticker"]
-    order = F.struct("date", *[c for c in (ties or (["source"] if "source" in bars.columns else []))])
-    newest = bars.groupBy("ticker").agg(F.max_by(F.struct(*cols), order).alias("__newest"))
+    ties = ties if ties is not None else [c for c in ("source",) if c in bars.columns]
+    if not ties:
+        return bars.groupBy("ticker").agg(*[(F.max(c) if c == "date" else F.max_by(c, "date")).alias(c) for c in cols])
+    newest = bars.groupBy("ticker").agg(F.max_by(F.struct(*cols), F.struct("date", *ties)).alias("__newest"))
     return newest.select("ticker", "__newest.*")
 
 

@@ -435,10 +435,11 @@ def inference_set(spark, folder):
   l AS (SELECT DISTINCT ON (ticker) * FROM tech ORDER BY ticker, known DESC)
   SELECT req.ticker, {_round_tech()} FROM req LEFT JOIN l ON req.ticker = l.ticker""")
 def latest_features(spark, folder):
-    b = datasets.bars_table(spark, folder)
+    b = datasets.bars(spark, folder)
     asked = datasets.table(spark, folder, "nation").select(F.col("n_name").alias("ticker")).union(
         datasets.table(spark, folder, "region").select("r_name"))
-    service = feature_store.FeatureService("inference_features", [_technical_view(b)])
+    view = feature_store.FeatureView("technical_indicators", datasets.technical_rows(b), TECH, 180)
+    service = feature_store.FeatureService("inference_features", [view])
     return rounded(feature_store.online_features(asked, service), TECH_DIGITS)
 
 
