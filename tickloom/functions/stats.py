@@ -49,14 +49,16 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
 
 def pearson_p_value(r: float | None, n: int) -> float | None:
     """Two-sided p-value of a correlation ``r`` seen on ``n`` pairs (Student t with n-2 degrees)."""
-    if r is None or n < 3:
+    if r is None or r != r or n < 3:
         return None
     if abs(r) >= 1.0:
         return 0.0
+    if r * r == 0.0:
+        return 1.0
     df = n - 2
     x = 1.0 - r * r  # equals df / (df + t^2)
     a, b = df / 2.0, 0.5
-    front = exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * log(x) + b * log(1.0 - x))
+    front = exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * log(x) + b * log(r * r))
     if x < (a + 1.0) / (a + b + 2.0):
         return front * _beta_fraction(a, b, x) / a
     return 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b

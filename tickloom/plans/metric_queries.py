@@ -85,11 +85,11 @@ def latency_index_all(spark, folder):
 
 
 @query("service_stats", f"""SELECT user_id, count(*) AS requests, count(*) FILTER (event_type = 'error') AS errors,
-  {rsql("(epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6", 5)} AS uptime_seconds, {rsql("count(*) FILTER (event_type = 'error')::DOUBLE / count(*)", 8)} AS error_rate,
+  {rsql("(epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6", 6)} AS uptime_seconds, {rsql("count(*) FILTER (event_type = 'error')::DOUBLE / count(*)", 8)} AS error_rate,
   {rsql("coalesce(count(*) / nullif((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 0), 0)", 8)} AS request_rate FROM events GROUP BY user_id""")
 def service_stats(spark, folder):
     out = metrics.service_stats(events(spark, folder), ["user_id"], F.col("event_type") == "error")
-    return rounded(out, {"uptime_seconds": 5, "error_rate": 8, "request_rate": 8})
+    return rounded(out, {"uptime_seconds": 6, "error_rate": 8, "request_rate": 8})
 
 
 INCREASE_SQL = """inc AS (SELECT event_type, ts, event_id, CASE WHEN p IS NULL THEN 0 WHEN value < p THEN value ELSE value - p END AS increase
@@ -144,10 +144,10 @@ RULE = alerts.AlertRule("SlowErrors", alerts.average_of("error", 3600), ">", 30,
   a AS (SELECT *, CASE WHEN tick - lag(tick) OVER (ORDER BY tick) <= INTERVAL 600 SECOND THEN 0 ELSE 1 END AS fresh FROM c WHERE v > 30),
   i AS (SELECT *, sum(fresh) OVER (ORDER BY tick) AS island FROM a)
   SELECT 'SlowErrors' AS rule, 'warning' AS severity, {second_sql('min(tick)')} AS active_since, {second_sql('max(tick)')} AS active_until,
-  {rsql('arg_max(v, tick)', 5)} AS last_value, {second_sql("min(tick) + INTERVAL 1800 SECOND")} AS firing_since FROM i GROUP BY island HAVING max(tick) - min(tick) >= INTERVAL 1800 SECOND""")
+  {rsql('arg_max(v, tick)', 9)} AS last_value, {second_sql("min(tick) + INTERVAL 1800 SECOND")} AS firing_since FROM i GROUP BY island HAVING max(tick) - min(tick) >= INTERVAL 1800 SECOND""")
 def sustained_alerts(spark, folder):
     out = alerts.evaluate([RULE], alerts.sample_table(datasets.metric_samples(spark, folder)))
-    return rounded(out.drop("labels"), {"last_value": 5})
+    return rounded(out.drop("labels"), {"last_value": 9})
 
 
 HIGH_VALUE = alerts.AlertRule("HighValue", alerts.instant("purchase"), ">", 60, 120, "info", 60)

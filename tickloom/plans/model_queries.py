@@ -276,9 +276,9 @@ def equity_marked(spark, folder):
     return rounded(out.select("ticker", "date", "signal", "equity"), {"equity": 5})
 
 
-@query("drawdown", f"{BARS}, {EQUITY_SQL} SELECT ticker, {day_sql('date')} AS date, {rsql('drawdown', 6)} AS drawdown FROM dd")
+@query("drawdown", f"{BARS}, {EQUITY_SQL} SELECT ticker, {day_sql('date')} AS date, {rsql('drawdown', 4)} AS drawdown FROM dd")
 def drawdown(spark, folder):
-    return keyed(backtest.drawdown(backtest.equity_curve(_runs(spark, folder))), {"drawdown": 6})
+    return keyed(backtest.drawdown(backtest.equity_curve(_runs(spark, folder))), {"drawdown": 4})
 
 
 def _risk_sql(r: str) -> str:
