@@ -34,7 +34,7 @@ def label_set(labels: Column) -> Column:
 
 def label(labels: Column, name: str) -> Column:
     """Value of one label of a ``label_set``."""
-    return F.filter(labels, lambda e: e["key"] == name)[0]["value"]
+    return F.get(F.filter(labels, lambda e: e["key"] == name), F.lit(0))["value"]
 
 
 def matches(labels: Column, equal: Mapping[str, str] | None = None, regex: Mapping[str, str] | None = None) -> Column:

@@ -54,8 +54,8 @@ def process_file(spark: SparkSession, source: str, target: str, config: ProcessC
     out = out.observe(rows_out, F.count(F.lit(1)).alias("n"))
     sinks.write_splits(out, target, fmt)
     metadata = {
-        "input_path": source, "output_path": target, "ticker": config.ticker, "rows_in": rows_in.get["n"],
-        "rows_out": rows_out.get["n"], "prediction_horizon": config.horizon,
+        "input_path": source, "output_path": target, "ticker": config.ticker, "rows_in": sinks.observed(rows_in, "n"),
+        "rows_out": sinks.observed(rows_out, "n"), "prediction_horizon": config.horizon,
         "feature_columns": [c for c in feature_columns(out) if c != "split"], "target_columns": TARGET_COLUMNS,
         "split_paths": {s: f"{target}/split={s}" for s in ("train", "validation", "test")},
     }

@@ -6,6 +6,7 @@ import json
 from collections.abc import Sequence
 from datetime import date, datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,15 @@ def _touched_months(df: DataFrame, column: str) -> list[str]:
     return [r[0] for r in df.select(F.date_format(column, "yyyy-MM")).distinct().collect()]
 
 
+def observed(seen: Observation, name: str) -> int:
+    """A count seen by a finished write. A write that adaptive execution found to be empty runs no observed step and
+    leaves no row to read; its count is zero."""
+    try:
+        return seen.get.get(name, 0)
+    except Py4JJavaError:
+        return 0
+
+
 def append_if_absent(spark: SparkSession, new: DataFrame, path: str, schema: T.StructType = schemas.RAW_BARS,
                      keys: tuple[str, ...] = BAR_KEY) -> int:
     """Insert rows whose key is not stored; returns how many were inserted. A second run inserts none."""
@@ -60,7 +70,7 @@ def append_if_absent(spark: SparkSession, new: DataFrame, path: str, schema: T.S
     seen = Observation("inserted")
     rows = insert_candidates(schemas.conform(new, schema), existing, keys).observe(seen, F.count(F.lit(1)).alias("n"))
     write_by_month(rows, path)
-    return seen.get["n"]
+    return observed(seen, "n")
 
 
 def upsert(spark: SparkSession, new: DataFrame, path: str, schema: T.StructType, keys: tuple[str, ...] = ("ticker", "date"),

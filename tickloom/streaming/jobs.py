@@ -91,6 +91,7 @@ def approximate_quantiles(events: DataFrame, keys: Sequence[str], ts: str, value
 def once_per_period(requests: DataFrame, key: Sequence[str], ts: str, period: str = "1 hour", salts: int = 16) -> DataFrame:
     """First request of each key within ``period``; repeats are served from that result.
 
+    A key is forgotten at the first batch after the watermark has passed its period, so it may be remembered for longer.
     A busy key is first reduced in salted parts, so that its repeats do not meet in one task.
     """
     salted = requests.withWatermark(ts, period).withColumn("__salt", F.pmod(F.xxhash64(ts), F.lit(salts)))
