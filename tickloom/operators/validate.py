@@ -217,5 +217,5 @@ def rank_importance(scores: DataFrame) -> DataFrame:
 
     A model has one score per feature, so a group is as large as one feature list.
     """
-    w = Window.partitionBy("model_version", "importance_type").orderBy(F.col("importance_score").desc())
+    w = Window.partitionBy("model_version", "importance_type").orderBy(F.col("importance_score").desc_nulls_last())
     return scores.withColumn("rank", F.rank().over(w))

@@ -325,11 +325,11 @@ KNOWN_DAY = "CASE WHEN close IS NOT NULL THEN date END"
 @query("gap_interpolate", f"""{BARS}, {CALENDAR_SQL}, k AS (SELECT ticker, date, close, last_value(close IGNORE NULLS) OVER w AS c0,
   last_value({KNOWN_DAY} IGNORE NULLS) OVER w AS d0, first_value(close IGNORE NULLS) OVER {AHEAD} AS c1,
   first_value({KNOWN_DAY} IGNORE NULLS) OVER {AHEAD} AS d1 FROM full_rows {WINDOW_SQL})
-  SELECT {KEY}, {rsql('coalesce(close, c0 + (c1 - c0) * ((date - d0) / nullif(d1 - d0, 0)))', 4)} AS close,
+  SELECT {KEY}, {rsql('coalesce(close, c0 + (c1 - c0) * ((date - d0) / nullif(d1 - d0, 0)))', 8)} AS close,
   CASE WHEN close IS NULL THEN 'interpolation' ELSE 'raw' END AS cleaning_method FROM k""")
 def gap_interpolate(spark, folder):
     out = clean.fill_gaps(datasets.bars_table(spark, folder), "interpolation", 7)
-    return rounded(out.select("ticker", "date", "close", "cleaning_method"), {"close": 4})
+    return rounded(out.select("ticker", "date", "close", "cleaning_method"), {"close": 8})
 
 
 @query("sector_context", f"""{BARS}, {RETURNS_SQL} SELECT sector, {day_sql('date')} AS date, {rsql('avg(returns)', 6)} AS sector_momentum,
@@ -375,12 +375,12 @@ def rolling_corr(spark, folder):
 
 SCORE_FEATURES = ["open", "high", "low", "volume"]
 SCORE_SQL = " UNION ALL ".join(
-    f"SELECT ticker AS model_version, '{f}' AS feature_name, 'correlation' AS importance_type, {rsql(f'abs(corr({f}, close))', 6)} AS importance_score FROM bars GROUP BY ticker"
+    f"SELECT ticker AS model_version, '{f}' AS feature_name, 'correlation' AS importance_type, {rsql(f'CASE WHEN isfinite(corr({f}, close)) THEN abs(corr({f}, close)) END', 6)} AS importance_score FROM bars GROUP BY ticker"
     for f in SCORE_FEATURES)
 
 
 @query("importance_rank", f"""{BARS}, sc AS ({SCORE_SQL})
-  SELECT *, CAST(rank() OVER (PARTITION BY model_version, importance_type ORDER BY importance_score DESC) AS INTEGER) AS rank FROM sc""")
+  SELECT *, CAST(rank() OVER (PARTITION BY model_version, importance_type ORDER BY importance_score DESC NULLS LAST) AS INTEGER) AS rank FROM sc""")
 def importance_rank(spark, folder):
     from tickloom.functions.stats import pearson
 
