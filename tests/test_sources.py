@@ -138,3 +138,10 @@ def test_daily_run(spark, bars, tmp_path):
 
 def test_shared_folder(spark):
     assert work_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_concat(spark, bars):
+    from tickloom.operators.clean import concat
+
+    out = concat([bars.select("ticker", "close").limit(2), bars.select("ticker", "volume").limit(3)])
+    assert out.columns == ["ticker", "close", "volume"] and out.where("close is null").count() == 3

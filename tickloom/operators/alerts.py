@@ -34,9 +34,10 @@ def instant(metric: str, equal: Mapping[str, str] | None = None, regex: Mapping[
     """Last value not older than five minutes."""
 
     def run(samples: DataFrame, step: int) -> DataFrame:
-        last = F.max(F.struct("ts", "value"))
-        out = sliding(_select(samples, metric, equal, regex), ["labels"], STALENESS, step, {"l": last}, {"l": F.max("l")})
-        return out.select("labels", "eval_ts", F.col("l.value").alias("value"))
+        return sliding(
+            _select(samples, metric, equal, regex), ["labels"], STALENESS, step,
+            {"t": F.max("ts"), "v": F.max_by("value", "ts")}, {"value": F.max_by("v", "t")},
+        ).select("labels", "eval_ts", "value")
 
     return run
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +32,11 @@ def keep_first(df: DataFrame, keys: Sequence[str] = ("ticker", "date"), order: S
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
+def concat(frames: Iterable[DataFrame]) -> DataFrame:
+    """Bag union by column name; a column that a frame lacks is null there."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def drop_incomplete(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
     """Drop rows with a null or NaN anywhere outside ``ignore``."""
     return df.na.drop(subset=[c for c in df.columns if c not in ignore])

@@ -52,9 +52,8 @@ def counters(df: DataFrame, keys: Sequence[str], value: str = "value") -> DataFr
 
 
 def gauges(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value") -> DataFrame:
-    """Last value of each series."""
-    newest = df.groupBy(*keys).agg(F.max(F.struct(ts, value)).alias("g"))
-    return newest.select(*keys, F.col("g")[ts].alias("last_seen"), F.col("g")[value].alias("value"))
+    """Last value of each series. Both parts have fixed width, so Spark hashes them and need not sort the samples."""
+    return df.groupBy(*keys).agg(F.max(ts).alias("last_seen"), F.max_by(value, ts).alias("value"))
 
 
 def _bucket_counts(value: str, bounds: Sequence[float]) -> list[Column]:
@@ -107,15 +106,20 @@ def latency_stats(df: DataFrame, keys: Sequence[str], duration: str, failed: Col
     """Requests, errors and latency points per key.
 
     Totals cover all requests. Latencies cover the ``keep`` newest ones (all of them with ``keep=None``); a point is the
-    sorted value at index floor(n * q), without interpolation.
+    sorted value at index floor(n * q), without interpolation. The kept requests of a key fit one sorted array; without
+    that bound the points come from ranks over value slices.
     """
+    keys = list(keys)
     totals = df.groupBy(*keys).agg(F.count("*").alias("total_requests"), F.count_if(failed).alias("error_count"))
     totals = totals.withColumn("error_rate", F.try_divide(F.col("error_count").cast("double"), F.col("total_requests").cast("double")))
-    kept = df if keep is None else newest_rows(df.select(*dict.fromkeys([*keys, duration, *order])), keys, order, keep)
-    spread = kept.groupBy(*keys).agg(
-        F.min(duration).alias("min_latency"), F.max(duration).alias("max_latency"), F.avg(duration).alias("mean_latency"))
-    points = order_statistics(kept, keys, duration, LATENCY_POINTS)
-    return totals.join(spread, list(keys)).join(points, list(keys))
+    spread = [F.min(duration).alias("min_latency"), F.max(duration).alias("max_latency"), F.avg(duration).alias("mean_latency")]
+    if keep is None:
+        return totals.join(df.groupBy(*keys).agg(*spread), keys).join(order_statistics(df, keys, duration, LATENCY_POINTS), keys)
+    kept = newest_rows(df.select(*dict.fromkeys([*keys, duration, *order])), keys, order, keep)
+    points = kept.groupBy(*keys).agg(*spread, F.array_sort(F.collect_list(duration)).alias("__sorted"))
+    index = {n: F.floor(F.size("__sorted") * F.lit(q)).cast("int") for n, q in LATENCY_POINTS.items()}
+    points = points.select(*keys, "min_latency", "max_latency", "mean_latency", *[F.get("__sorted", i).alias(n) for n, i in index.items()])
+    return totals.join(points, keys)
 
 
 def service_stats(df: DataFrame, keys: Sequence[str], failed: Column, ts: str = "ts") -> DataFrame:

@@ -122,24 +122,26 @@ def validate_stream(bars: DataFrame, path: str, limits: BarLimits = BarLimits())
 def running_counters(events: DataFrame, keys: Sequence[str], ts: str, value: str, path: str) -> DataFrame:
     """Totals, counts and last values per label set in update mode; returns the newest totals of every key."""
     totals = events.groupBy(*keys).agg(
-        F.count("*").alias("samples"), F.sum(value).alias("total"), F.max(F.struct(ts, value)).alias("last"))
+        F.count("*").alias("samples"), F.sum(value).alias("total"), F.max_by(value, ts).alias("value"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
 
     run_batches(totals, "counters", sink, "update")
     written = events.sparkSession.read.parquet(path)
-    newest = written.groupBy(*keys).agg(F.max_by(F.struct("samples", "total", "last"), "batch_id").alias("r"))
-    return newest.select(*keys, "r.samples", "r.total", F.col("r.last")[value].alias("value"))
+    newest = written.groupBy(*keys).agg(F.max_by(F.struct("samples", "total", "value"), "batch_id").alias("r"))
+    return newest.select(*keys, "r.*")
 
 
 def push_latest(rows: DataFrame, keys: Sequence[str], ts: str, path: str) -> DataFrame:
     """Latest-value table fed by a stream: the newest row per key by event time wins, older rows change nothing.
 
-    Each batch writes a new version of the table from the version before it, so a repeated batch gives the same version.
-    The table has one row per key.
+    Rows without an event time count as arriving now. Each batch writes a new version of the table from the version before
+    it, so a repeated batch gives the same version. The table has one row per key.
     """
     spark, seen = rows.sparkSession, []
+    now = F.current_timestamp()
+    rows = rows.withColumn(ts, F.coalesce(F.col(ts), now) if ts in rows.columns else now)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         newest = batch.groupBy(*keys).agg(F.max(F.struct(ts, *[c for c in batch.columns if c not in (ts, *keys)])).alias("r")).select(*keys, "r.*")
