@@ -34,53 +34,76 @@ def suggest_slice_seconds(df: DataFrame, keys: Sequence[str], ts: str, rows_per_
     return max(1, int(rows_per_slice / busiest["rate"])) if busiest and busiest["rate"] else DEFAULT_SLICE_SECONDS
 
 
-def with_carry(df: DataFrame, keys: Sequence[str], summary: Mapping[str, Column],
+def with_carry(ordered: DataFrame, source: DataFrame, keys: Sequence[str], summary: Mapping[str, Column],
                carry: Mapping[str, Callable[[WindowSpec], Column]]) -> DataFrame:
-    """Add to every row the state left behind by the earlier slices of its key.
+    """Add to every row of ``ordered`` the state left behind by the earlier slices of its key in ``source``.
 
-    ``summary`` holds the aggregates of a slice, ``carry`` builds each carried column from them over the
-    window of all earlier slices.
+    ``summary`` holds the aggregates of a slice, ``carry`` builds each carried column from them over the window of all
+    earlier slices. ``ordered`` should already hold its windows inside a slice: the join then finds the rows sorted by
+    (key, slice) and adds no sort of its own.
     """
-    per_slice = df.groupBy(*keys, SLICE).agg(*[c.alias(n) for n, c in summary.items()])
+    per_slice = source.groupBy(SLICE, *keys).agg(*[c.alias(n) for n, c in summary.items()])
     earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carried = per_slice.select(*keys, SLICE, *[f(earlier).alias(n) for n, f in carry.items()])
-    return df.join(carried, [*keys, SLICE])
+    return ordered.join(carried, [SLICE, *keys])
 
 
 def in_slice(keys: Sequence[str], *order: Column) -> WindowSpec:
-    return Window.partitionBy(*keys, SLICE).orderBy(*order)
+    """Rows of one slice in order. The slice number comes first, as a number sorts faster than a text key."""
+    return Window.partitionBy(SLICE, *keys).orderBy(*order)
+
+
+def order_value(df: DataFrame, ts: str, ties: Sequence[str]) -> Column:
+    """One value that sorts like (ts, ties). Of fixed width where possible, so that an aggregate over it is hashed."""
+    if not ties:
+        return F.col(ts)
+    if len(ties) == 1 and isinstance(df.schema[ties[0]].dataType, (T.LongType, T.IntegerType)):
+        micros = F.unix_micros(F.col(ts).cast("timestamp")).cast("decimal(18,0)")
+        apart = F.lit(str(2 * 10**19)).cast("decimal(20,0)")  # wider than the range of a bigint
+        return (micros * apart).cast("decimal(38,0)") + F.col(ties[0]).cast("decimal(19,0)")
+    return F.struct(ts, *ties)
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], ts: str, column: str, name: str, ties: Sequence[str] = (),
                   seconds: int = DEFAULT_SLICE_SECONDS) -> DataFrame:
     """``lag(column)`` along (ts, ties) for each key."""
-    order = [F.col(c) for c in (ts, *ties)]
+    sliced = df.withColumn(SLICE, slice_number(df, ts, seconds))
+    w = in_slice(keys, *[F.col(c) for c in (ts, *ties)])
+    ordered = sliced.withColumns({"__here": F.lag(column).over(w), "__first": F.row_number().over(w) == 1})
     out = with_carry(
-        df.withColumn(SLICE, slice_number(df, ts, seconds)), keys,
-        {"__last": F.max_by(F.struct(F.col(column).alias("v")), F.struct(*order))},
-        {"__prev": lambda w: F.last("__last", ignorenulls=True).over(w)},
+        ordered, sliced, keys, {"__last": F.max_by(column, order_value(df, ts, ties))},
+        {"__prev": lambda earlier: F.last("__last").over(earlier)},
     )
-    here = F.lag(F.struct(F.col(column).alias("v"))).over(in_slice(keys, *order))
-    return out.withColumn(name, F.coalesce(here, F.col("__prev"))["v"]).drop(SLICE, "__prev")
+    value = F.when(F.col("__first"), F.col("__prev")).otherwise(F.col("__here"))
+    return out.withColumn(name, value).drop(SLICE, "__prev", "__here", "__first")
 
 
 def with_running_sum(df: DataFrame, keys: Sequence[str], ts: str, column: str, name: str, ties: Sequence[str] = (),
                      seconds: int = DEFAULT_SLICE_SECONDS) -> DataFrame:
     """Sum of ``column`` over all rows up to this one along (ts, ties), for each key."""
+    sliced = df.withColumn(SLICE, slice_number(df, ts, seconds))
+    w = in_slice(keys, *[F.col(c) for c in (ts, *ties)]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = with_carry(
-        df.withColumn(SLICE, slice_number(df, ts, seconds)), keys,
-        {"__sum": F.sum(column)},
-        {"__before": lambda w: F.coalesce(F.sum("__sum").over(w), F.lit(0))},
+        sliced.withColumn("__here", F.sum(column).over(w)), sliced, keys, {"__sum": F.sum(column)},
+        {"__before": lambda earlier: F.sum("__sum").over(earlier)},
     )
-    w = in_slice(keys, *[F.col(c) for c in (ts, *ties)]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return out.withColumn(name, F.col("__before") + F.coalesce(F.sum(column).over(w), F.lit(0))).drop(SLICE, "__before")
+    zero = F.lit(0)
+    return out.withColumn(name, F.coalesce("__before", zero) + F.coalesce("__here", zero)).drop(SLICE, "__before", "__here")
 
 
-def newest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int, salts: int = 64) -> DataFrame:
+def newest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int, salts: int = 64,
+                seconds: int = DEFAULT_SLICE_SECONDS) -> DataFrame:
     """The ``k`` newest rows of each key along ``order`` (the reference keeps the last 1000 requests).
 
-    Every key is first cut into salted parts, so that the last step sees at most ``k * salts`` rows of it.
+    Where the order starts with a time, counts per (key, slice) first tell which slices can hold them, and only those are
+    ordered. Every key is then cut into salted parts, so that the last step sees at most ``k * salts`` rows of it.
     """
+    if isinstance(df.schema[order[0]].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        df = df.withColumn(SLICE, slice_number(df, order[0], seconds))
+        counts = df.groupBy(*keys, SLICE).agg(F.count("*").alias("__n"))
+        newer = Window.partitionBy(*keys).orderBy(F.col(SLICE).desc()).rowsBetween(Window.unboundedPreceding, -1)
+        near = counts.withColumn("__newer", F.coalesce(F.sum("__n").over(newer), F.lit(0))).where(F.col("__newer") < k)
+        df = df.join(near.select(*keys, SLICE), [*keys, SLICE], "left_semi").drop(SLICE)
     newest = [F.col(c).desc() for c in order]
     salted = df.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
     part = Window.partitionBy(*keys, "__salt").orderBy(*newest)

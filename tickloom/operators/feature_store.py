@@ -79,11 +79,11 @@ def point_in_time(spine: DataFrame, views: Sequence[FeatureView], spine_ts: str
     stacked = stacked.withColumn(SLICE, slice_number(stacked, "__ts", slice_seconds))
     left_behind = {f"{s}_last": F.max(s) for s in slots}
     carry = {f"{s}_carry": (lambda w, s=s: F.last(f"{s}_last", ignorenulls=True).over(w)) for s in slots}
-    out = with_carry(stacked, keys, left_behind, carry)
     w = in_slice(keys, F.col("__ts"), F.col("__side"), *[F.col(s) for s in slots])
     w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = {s: F.coalesce(F.last(s, ignorenulls=True).over(w), F.col(f"{s}_carry")) for s in slots}
-    out = out.withColumns(seen).where(F.col("__side") == 1)
+    ordered = stacked.withColumns({s: F.last(s, ignorenulls=True).over(w) for s in slots}).where(F.col("__side") == 1)
+    out = with_carry(ordered, stacked, keys, left_behind, carry)
+    out = out.withColumns({s: F.coalesce(F.col(s), F.col(f"{s}_carry")) for s in slots})
     columns = []
     for slot, v in zip(slots, views):
         age = F.unix_micros("__ts") - F.unix_micros(F.col(slot)["__at"])

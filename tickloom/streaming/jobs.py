@@ -22,10 +22,13 @@ BAR_DELAY = "2 days"
 
 
 def file_stream(spark: SparkSession, folder: str, name: str, ts: str | None = None, files_per_batch: int = 1000) -> DataFrame:
-    """Parquet files of one table as a stream; ``ts`` becomes a zoned timestamp so that it can carry a watermark."""
-    pattern = f"{name}.parquet"
-    schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+    """A parquet table, one file or a folder of files, as a stream.
+
+    ``ts`` becomes a zoned timestamp so that it can carry a watermark. The path is written as a pattern because a stream
+    accepts a single file only that way.
+    """
+    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{folder}/{name}[.]parquet")
     return stream if ts is None else stream.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
