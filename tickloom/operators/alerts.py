@@ -12,9 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.operators.metrics import (
-    BUCKETS, counter_increases, label, label_set, matches, rate, sliding, windowed_quantiles,
-)
+from tickloom.operators.metrics import BUCKETS, counter_increases, label_set, matches, rate, sliding, windowed_quantiles
 
 Expression = Callable[[DataFrame, int], DataFrame]
 STALENESS = 300

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.operators import backtest, clean, feature_store, indicators, leakage, modeling, scoring, splits, targets, validate
 from tickloom.plans import datasets
 from tickloom.plans.market_queries import ATR_SQL, BARS, CALENDAR_SQL, EMA_SQL, INNER, RETURNS_SQL, RSI_A, RSI_B, TARGET_SQL, keyed
-from tickloom.plans.registry import BARS_SQL, WINDOW_SQL, day_sql, query, rolling_sql, rounded, rsql, second_sql
+from tickloom.plans.registry import WINDOW_SQL, day_sql, query, rolling_sql, rounded, rsql
 from tickloom.session import stored
 from tickloom.sources import sinks
 
