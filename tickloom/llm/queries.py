@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from tickloom.llm.bpe import op2_byte_bpe
+from tickloom.llm.linechunks import OP8_SQL, op8_line_chunks
 from tickloom.llm.pii import op6_personal_data
 from tickloom.llm.secrets import op3_secrets
+from tickloom.llm.spotsigs import op7_spot_signatures
+from tickloom.llm.toxicity import op5_toxicity
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_secrets": op3_secrets,
+    "op5_toxicity": op5_toxicity,
     "op6_personal_data": op6_personal_data,
+    "op7_spot_signatures": op7_spot_signatures,
+    "op8_line_chunks": op8_line_chunks,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_line_chunks": OP8_SQL}
