@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tickloom.llm.bpe import op2_byte_bpe
+from tickloom.llm.embeddings import op9_embedding_near_dedup
 from tickloom.llm.linechunks import OP8_SQL, op8_line_chunks
 from tickloom.llm.pii import op6_personal_data
 from tickloom.llm.secrets import op3_secrets
@@ -16,6 +17,7 @@ QUERIES = {
     "op6_personal_data": op6_personal_data,
     "op7_spot_signatures": op7_spot_signatures,
     "op8_line_chunks": op8_line_chunks,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
 }
 
 ORACLES: dict[str, str] = {"op8_line_chunks": OP8_SQL}
