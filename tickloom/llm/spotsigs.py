@@ -108,7 +108,8 @@ def with_next(docs: DataFrame, id_column: str, values: list[str]) -> DataFrame:
     ends = heads.select("__of", F.lag("__of").over(down).alias("__above"), F.min("__of").over(Window.partitionBy()).alias("__bottom"))
     copies = ends.select("__of", F.coalesce("__above", "__bottom").alias("__to"))
     first = heads.join(copies, "__of").select("__head", "__to", "__of")
-    own = placed.join(first, (placed["__range"] == first["__of"]) & placed[id_column].eqNullSafe(first["__head"]), "left").drop("__head", "__of")
+    # At most max(4096, rows / 100,000) rows of three numbers, so they may be broadcast: the texts are shuffled once only.
+    own = placed.join(F.broadcast(first), (placed["__range"] == first["__of"]) & placed[id_column].eqNullSafe(first["__head"]), "left").drop("__head", "__of")
     targets = F.when(F.col("__to").isNull(), F.array(F.struct(F.col("__range").alias("at"), F.lit(False).alias("copy")))).otherwise(
         F.array(F.struct(F.col("__range").alias("at"), F.lit(False).alias("copy")), F.struct(F.col("__to").alias("at"), F.lit(True).alias("copy"))))
     spread = own.withColumn("__place", F.explode(targets)).select(*docs.columns, F.col("__place.at").alias("__at"), F.col("__place.copy").alias("__copy"))
