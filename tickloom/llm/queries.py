@@ -5,6 +5,7 @@ from __future__ import annotations
 from tickloom.llm.bpe import op2_byte_bpe
 from tickloom.llm.embeddings import op9_embedding_near_dedup
 from tickloom.llm.linechunks import OP8_SQL, op8_line_chunks
+from tickloom.llm.minmax import op10_min_max
 from tickloom.llm.pii import op6_personal_data
 from tickloom.llm.secrets import op3_secrets
 from tickloom.llm.spotsigs import op7_spot_signatures
@@ -18,6 +19,7 @@ QUERIES = {
     "op7_spot_signatures": op7_spot_signatures,
     "op8_line_chunks": op8_line_chunks,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
+    "op10_min_max": op10_min_max,
 }
 
 ORACLES: dict[str, str] = {"op8_line_chunks": OP8_SQL}
