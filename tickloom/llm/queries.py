@@ -6,6 +6,7 @@ from tickloom.llm.bpe import op2_byte_bpe
 from tickloom.llm.embeddings import op9_embedding_near_dedup
 from tickloom.llm.linechunks import OP8_SQL, op8_line_chunks
 from tickloom.llm.minmax import op10_min_max
+from tickloom.llm.packing import op4_best_fit_packing
 from tickloom.llm.pii import op6_personal_data
 from tickloom.llm.secrets import op3_secrets
 from tickloom.llm.spotsigs import op7_spot_signatures
@@ -14,6 +15,7 @@ from tickloom.llm.toxicity import op5_toxicity
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_secrets": op3_secrets,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op5_toxicity": op5_toxicity,
     "op6_personal_data": op6_personal_data,
     "op7_spot_signatures": op7_spot_signatures,
