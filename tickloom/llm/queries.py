@@ -10,9 +10,11 @@ from tickloom.llm.packing import op4_best_fit_packing
 from tickloom.llm.pii import op6_personal_data
 from tickloom.llm.secrets import op3_secrets
 from tickloom.llm.spotsigs import op7_spot_signatures
+from tickloom.llm.suffixes import op1_suffix_dedup
 from tickloom.llm.toxicity import op5_toxicity
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_secrets": op3_secrets,
     "op4_best_fit_packing": op4_best_fit_packing,
