@@ -10,15 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def picked(df: DataFrame, *names: str) -> DataFrame:
-    """The first column of each name, spelled exactly so if there is one, else in any case.
+def place_of(df: DataFrame, name: str) -> int:
+    """Place of the first column of a name, spelled exactly so if there is one, else in any case."""
+    return df.columns.index(name) if name in df.columns else [c.lower() for c in df.columns].index(name.lower())
 
-    Other columns are left out, whatever they are called and however often: they cannot make a name ambiguous.
-    """
-    lower = [c.lower() for c in df.columns]
-    at = [df.columns.index(n) if n in df.columns else lower.index(n.lower()) for n in names]
-    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    return plain.select(*[F.col(f"c{i}").alias(n) for i, n in zip(at, names, strict=True)])
+
+def numbered(df: DataFrame) -> DataFrame:
+    """The same columns called c0, c1, ...: no name can be ambiguous or clash with an added one."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def picked(df: DataFrame, *names: str) -> DataFrame:
+    """The first column of each name. Other columns are left out, whatever they are called and however often."""
+    return numbered(df).select(*[F.col(f"c{place_of(df, n)}").alias(n) for n in names])
 
 
 def texts_of(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -70,10 +74,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_new_text(docs: DataFrame, change: Callable[[str], str]) -> DataFrame:
-    """All rows and columns of ``docs`` with ``text`` changed and ``n_chars`` counted anew; a null text stays null."""
-    schema = docs.schema
-    at = schema.names.index("text")
-    count = schema.names.index("n_chars") if "n_chars" in schema.names else None
+    """All rows and columns of ``docs`` with ``text`` changed and ``n_chars``, if there, counted anew; a null text stays null."""
+    plain, at = numbered(docs), place_of(docs, "text")
+    count = place_of(docs, "n_chars") if "n_chars" in [c.lower() for c in docs.columns] else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,4 +87,4 @@ def with_new_text(docs: DataFrame, change: Callable[[str], str]) -> DataFrame:
                 columns[count] = pa.array([None if t is None else len(t) for t in new], columns[count].type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

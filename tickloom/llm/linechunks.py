@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import picked
+from tickloom.llm.common import numbered, picked, place_of
 
 
 def chunk_starts(lines: list[str]) -> list[int]:
@@ -84,24 +84,33 @@ def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     Adds ``n_lines`` and ``n_removed``. A null text stays null and has no lines; an empty text has one line. Rows that
     share a doc_id count as one document read once per row: a chunk is kept at its smallest place, in every such row.
-    An empty table gives an empty one.
+    Rows with a null id lose nothing. An empty table gives an empty one. Other columns stay as they are, whatever their names.
     """
-    removed = repeated_chunks(docs, id_column, text_column).withColumnRenamed("doc_id", "__id").withColumnRenamed("chunks", "__chunks")
-    joined = docs.join(removed, docs[id_column].cast("long") == F.col("__id"), "left").drop("__id")
-    schema = joined.drop("__chunks").withColumns({"n_lines": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long")}).schema
-    at, chunks_at = joined.columns.index(text_column), joined.columns.index("__chunks")
+    removed = repeated_chunks(docs, id_column, text_column).toDF("gone_id", "gone")
+    plain = numbered(docs)
+    joined = plain.join(removed, F.col(f"c{place_of(docs, id_column)}").cast("long") == F.col("gone_id"), "left").drop("gone_id")
+    schema = joined.drop("gone").withColumns({"n_lines": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long")}).schema
+    at, gone_at = place_of(docs, text_column), len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, gone = batch.column(at).to_pylist(), batch.column(chunks_at).to_pylist()
+            texts, gone = batch.column(at).to_pylist(), batch.column(gone_at).to_pylist()
             made = [(t, 0) if t is None or not c else without_chunks(t, c) for t, c in zip(texts, gone)]
-            columns = [c for i, c in enumerate(batch.columns) if i != chunks_at]
+            columns = list(batch.columns[:gone_at])
             columns[at] = pa.array([t for t, _ in made], columns[at].type)
             lines = [0 if t is None else t.count("\n") + 1 for t in texts]
             columns += [pa.array(lines, pa.int64()), pa.array([n for _, n in made], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema).toDF(*docs.columns, "n_lines", "n_removed")
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """The same rows and columns with repeated chunks removed, and ``n_chars`` counted anew."""
+    plain = numbered(deduplicated(docs))
+    text = F.col(f"c{place_of(docs, 'text')}")
+    counts = {f"c{i}": F.length(text).cast(docs.schema[i].dataType) for i, c in enumerate(docs.columns) if c.lower() == "n_chars"}
+    return plain.withColumns(counts).select(*[f"c{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
 
 
 def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

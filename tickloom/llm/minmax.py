@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import picked, written
+from tickloom.llm.common import numbered, picked, place_of, written
 from tickloom.llm.components import components
 
 PERMUTATIONS = 100
@@ -203,8 +203,9 @@ def near_documents(docs: DataFrame, words: int = 5, percent: int = PERCENT, coun
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents that are kept, with all their columns: one of each group, the one of least id."""
-    gone = near_documents(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("__gone"), "left_anti")
+    gone = near_documents(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
+    own_id = F.col(f"c{place_of(docs, 'doc_id')}").cast("long")
+    return numbered(docs).join(gone, own_id == F.col("gone_id"), "left_anti").toDF(*docs.columns)
 
 
 def op10_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import picked, written
+from tickloom.llm.common import numbered, picked, place_of, written
 
 TRAINING_ROWS = 20_000
 LEXICON_TERMS = 400
@@ -199,7 +199,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> D
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not rejected, with all their columns."""
-    return fit(docs, labels).scored(docs).where(F.col("__score") < REJECT_AT).select(*docs.columns)
+    scored = fit(docs, labels).scored(numbered(docs), f"c{place_of(docs, 'text')}")
+    return scored.where(F.col("__score") < REJECT_AT).drop("__score").toDF(*docs.columns)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
