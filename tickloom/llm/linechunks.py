@@ -70,7 +70,7 @@ def repeated_chunks(docs: DataFrame, id_column: str = "doc_id", text_column: str
     Rows are grouped by the bytes themselves, combined before the shuffle, so equality is that of the bytes. The short
     keys only carry the answer back; two different chunks of one key would both be left alone.
     """
-    texts = picked(docs, id_column, text_column).toDF("doc_id", "text").where(F.instr("text", "\n") > 0)
+    texts = picked(docs, id_column, text_column).toDF("doc_id", "text").where(F.col("doc_id").isNotNull() & (F.instr("text", "\n") > 0))
     texts = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     place = F.struct("doc_id", "chunk")
     by_bytes = chunk_table(texts, True).groupBy("bytes").agg(F.min(place).alias("first"), F.count("*").alias("uses"), F.first("key").alias("key"))
@@ -84,7 +84,7 @@ def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     Adds ``n_lines`` and ``n_removed``. A null text stays null and has no lines; an empty text has one line. Rows that
     share a doc_id count as one document read once per row: a chunk is kept at its smallest place, in every such row.
-    Rows with a null id lose nothing. An empty table gives an empty one. Other columns stay as they are, whatever their names.
+    Rows with a null id lose nothing and make no other row lose a chunk. An empty table gives an empty one. Other columns stay as they are, whatever their names.
     """
     removed = repeated_chunks(docs, id_column, text_column).toDF("gone_id", "gone")
     plain = numbered(docs)

@@ -220,21 +220,24 @@ def ask_grams(buckets: int):
     return run
 
 
-def answer_grams(key: tuple, table: pa.Table) -> pa.Table:
-    """For each anchor of each batch: 0 if no other document has it, 1 if one has, 2 if very many have."""
-    own = parts_by(table, GRAMS)
-    rows = {b: np.frombuffer(d, np.uint8).reshape(-1, 6) for b, d in own.items()}
-    whole = np.concatenate(list(rows.values()))
-    low = np.zeros((len(whole), 8), np.uint8)
-    low[:, :5] = whole[:, :5]
-    _, group = np.unique(low.view("<u8").ravel(), return_inverse=True)
-    uses = np.bincount(group, weights=whole[:, 5])[group]
-    codes = np.where(uses > FREQUENT, 2, np.where(uses > 1, 1, 0)).astype(np.uint8)
-    out, at = [], 0
-    for b, r in rows.items():
-        out.append((b, CODES, -1 - key[0].as_py(), codes[at : at + len(r)].tobytes()))
-        at += len(r)
-    return messages(out)
+def answer_grams(frequent: int):
+    """For each anchor of each batch: 0 if no other document has it, 1 if one has, 2 if more than ``frequent`` have."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        rows = {b: np.frombuffer(d, np.uint8).reshape(-1, 6) for b, d in parts_by(table, GRAMS).items()}
+        whole = np.concatenate(list(rows.values()))
+        low = np.zeros((len(whole), 8), np.uint8)
+        low[:, :5] = whole[:, :5]
+        _, group = np.unique(low.view("<u8").ravel(), return_inverse=True)
+        uses = np.bincount(group, weights=whole[:, 5])[group]
+        codes = np.where(uses > frequent, 2, np.where(uses > 1, 1, 0)).astype(np.uint8)
+        out, at = [], 0
+        for b, r in rows.items():
+            out.append((b, CODES, -1 - key[0].as_py(), codes[at : at + len(r)].tobytes()))
+            at += len(r)
+        return messages(out)
+
+    return run
 
 
 def survivors(parts: list[Anchors], gram: np.ndarray, codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -484,13 +487,14 @@ def cut_texts(keep_text: bool):
     return run
 
 
-def repeated_bytes(docs: DataFrame, keep_text: bool = False, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def repeated_bytes(docs: DataFrame, keep_text: bool = False, frequent: int = FREQUENT, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept]): bytes covered by a 50-byte string that starts in a smaller document too are removed.
 
     ``kept`` is the rest as text, a cut character shown as a replacement. A null text is an empty one; nothing is removed
     from texts under 50 bytes. Rows without an id neither lose bytes nor make others lose them; rows that share an id
     are one document for the comparison with others, and each loses what any of them loses. An empty table gives an
-    empty one; other columns are left out.
+    empty one; other columns are left out. Anchors of more than ``frequent`` documents are not sorted but asked for
+    string by string; the result is the same.
     """
     own = texts_of(docs, id_column, text_column)
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -500,7 +504,7 @@ def repeated_bytes(docs: DataFrame, keep_text: bool = False, id_column: str = "d
     dealt = own.withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches))).repartition("batch")
     by_batch = dealt.groupBy("batch")
     grams = by_batch.applyInArrow(ask_grams(buckets), MESSAGE)
-    codes = grams.groupBy("target").applyInArrow(answer_grams, MESSAGE)
+    codes = grams.groupBy("target").applyInArrow(answer_grams(frequent), MESSAGE)
     asked = by_batch.cogroup(codes.groupBy("target")).applyInArrow(ask_contexts(buckets), MESSAGE)
     answers = asked.groupBy("target").applyInArrow(answer_contexts, MESSAGE)
     records = by_batch.cogroup(answers.groupBy("target")).applyInArrow(send_records(buckets), MESSAGE)
