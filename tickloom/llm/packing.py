@@ -11,8 +11,9 @@ numbered by Spark, and each finds its place from its rank.
 
 from __future__ import annotations
 
+import json
+import unicodedata
 import zlib
-from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
@@ -20,6 +21,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,52 +30,91 @@ from tickloom.llm.common import texts_of, written
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
 END_ID = 0
-CACHED_CHUNKS = 300_000
-#: Never part of a chunk that goes through the cache; it parts the chunks that are encoded in one call.
-PARTING = "\x1c"
+CACHED_CHUNKS = 250_000
+CACHED_WORDS = 400_000
+#: Python parts a text at these, the tokenizer doesn't.
 UNUSUAL = "\x1c\x1d\x1e\x1f"
+# Fixed value: the pattern by which the vocabulary's tokenizer splits a text in lower case.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
+
+class Cache:
+    """A bounded mapping of two generations, so that what is in use stays."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """Keys that are not known; what was known in the older generation is moved to the younger."""
+        gone = keys.difference(self.young)
+        moved = gone.intersection(self.old)
+        if moved:
+            self.young.update((k, self.old[k]) for k in moved)
+        return gone - moved
+
+    def learn(self, found: dict[str, bytes], in_use: set[str]) -> None:
+        self.young.update(found)
+        if len(self.young) > self.size:
+            self.old, self.young = self.young, {k: self.young[k] for k in in_use}
 
 
 class Tokens:
-    """Ids of texts. Tokens never cross white space, so the ids of each chunk between spaces are kept in a bounded cache."""
+    """Ids of texts as little-endian 32-bit integers.
+
+    Tokens never cross white space, so the ids of each chunk between spaces are kept in a bounded cache, and those of its
+    words in lower case in another. New words are merged together by the tokenizer's model; a word's last token is marked.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.part = np.array(self.whole.encode(PARTING, add_special_tokens=False).ids, np.uint32)
-        self.young: dict[str, array] = {}
-        self.old: dict[str, array] = {}
-
-    def learn(self, chunks: list[str]) -> dict[str, array]:
-        """Ids of chunks met for the first time, encoded together."""
-        ids = np.array(self.whole.encode(f" {PARTING} ".join(chunks), add_special_tokens=False).ids, np.uint32)
-        cuts = np.flatnonzero(ids == self.part[0])
-        if len(self.part) != 1 or len(cuts) != len(chunks) - 1:
-            return {c: array("I", self.whole.encode(c, add_special_tokens=False).ids) for c in chunks}
-        values, begin, out = ids.tolist(), 0, {}
-        for chunk, cut in zip(chunks, [*cuts.tolist(), len(values)]):
-            out[chunk] = values[begin:cut]
-            begin = cut + 1
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        level = parts["pre_tokenizer"]["pretokenizers"][-1]
+        plain = parts | {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, level]}}
+        self.words = Tokenizer.from_str(json.dumps(plain))
+        suffix = parts["model"]["end_of_word_suffix"]
+        self.last = np.zeros(max(parts["model"]["vocab"].values()) + 1, bool)
+        self.last[[i for t, i in parts["model"]["vocab"].items() if t.endswith(suffix)]] = True
+        self.chunk_cache, self.word_cache = Cache(CACHED_CHUNKS), Cache(CACHED_WORDS)
+
+    def directly(self, text: str) -> bytes:
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def merged(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words in lower case, merged in one call."""
+        ids = np.array(self.words.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(words):
+            return {w: self.directly(w) for w in words}
+        data, out, begin = ids.tobytes(), {}, 0
+        for word, end in zip(words, (ends * 4).tolist()):
+            out[word] = data[begin:end]
+            begin = end
         return out
 
-    def encode(self, texts: list[str]) -> list[array]:
+    def learned(self, chunks: set[str]) -> dict[str, bytes]:
+        split = {}
+        for chunk in chunks:
+            low = chunk.lower() if chunk.isascii() else "".join(c.lower() for c in unicodedata.normalize("NFC", chunk))
+            split[chunk] = PIECES.findall(low)
+        needed = set(chain.from_iterable(split.values()))
+        fresh, found = list(self.word_cache.missing(needed)), {}
+        for i in range(0, len(fresh), 20_000):
+            found |= self.merged(fresh[i : i + 20_000])
+        self.word_cache.learn(found, needed)
+        get = self.word_cache.young.__getitem__
+        return {c: b"".join(map(get, words)) for c, words in split.items()}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if any(c in t for c in UNUSUAL) else t.split() for t in texts]
         needed = set(chain.from_iterable(s for s in split if s is not None))
-        known = self.young
-        missing = needed.difference(known)
-        moved = missing.intersection(self.old)
-        found = {c: self.old[c] for c in moved}
-        fresh = list(missing - moved)
-        for i in range(0, len(fresh), 20_000):
-            found |= self.learn(fresh[i : i + 20_000])
-        if len(known) + len(found) > CACHED_CHUNKS:
-            self.old, self.young = known, {}
-            found |= {c: known[c] for c in needed.intersection(known)}
-        self.young.update(found)
-        get = self.young.__getitem__
-        return [array("I", self.whole.encode(t, add_special_tokens=False).ids if s is None else chain.from_iterable(map(get, s))) for t, s in zip(texts, split)]
+        if fresh := self.chunk_cache.missing(needed):
+            self.chunk_cache.learn(self.learned(fresh), needed)
+        get = self.chunk_cache.young.__getitem__
+        return [self.directly(t) if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
 
 
 @lru_cache(2)
@@ -101,10 +142,10 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
                     size += len(own[-1])
                 rows: list[tuple] = []
                 for key, ids in zip(keys[at:], tokens(vocabulary).encode(own)):
-                    ids.append(END_ID)
-                    for k, start in enumerate(range(0, len(ids), capacity)):
-                        part = np.asarray(ids[start : start + capacity], "<u4")
-                        rows.append((key, k, start, len(part), zlib.crc32(part.tobytes()), part.astype(np.int32).tolist() if keep_ids else None))
+                    ids += END_ID.to_bytes(4, "little")
+                    for k, start in enumerate(range(0, len(ids) // 4, capacity)):
+                        part = ids[4 * start : 4 * (start + capacity)]
+                        rows.append((key, k, start, len(part) // 4, zlib.crc32(part), np.frombuffer(part, "<i4").tolist() if keep_ids else None))
                 at += len(own)
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(len(names))], names)
 
