@@ -30,8 +30,8 @@ from tickloom.llm.common import texts_of, written
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
 END_ID = 0
-CACHED_CHUNKS = 250_000
-CACHED_WORDS = 400_000
+CACHED_CHUNKS = 500_000
+CACHED_WORDS = 500_000
 #: Python parts a text at these, the tokenizer doesn't.
 UNUSUAL = "\x1c\x1d\x1e\x1f"
 # Fixed value: the pattern by which the vocabulary's tokenizer splits a text in lower case.
@@ -55,7 +55,7 @@ class Cache:
     def learn(self, found: dict[str, bytes], in_use: set[str]) -> None:
         self.young.update(found)
         if len(self.young) > self.size:
-            self.old, self.young = self.young, {k: self.young[k] for k in in_use}
+            self.old, self.young = self.young, {k: self.young[k] for k in in_use}  # what was looked up before stays reachable
 
 
 class Tokens:
@@ -85,7 +85,7 @@ class Tokens:
 
     def merged(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words in lower case, merged in one call."""
-        ids = np.array(self.words.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ids = np.array(self.words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) != len(words):
             return {w: self.directly(w) for w in words}
@@ -98,8 +98,17 @@ class Tokens:
     def learned(self, chunks: set[str]) -> dict[str, bytes]:
         split = {}
         for chunk in chunks:
-            low = chunk.lower() if chunk.isascii() else "".join(c.lower() for c in unicodedata.normalize("NFC", chunk))
-            split[chunk] = PIECES.findall(low)
+            if chunk.isascii():
+                low = chunk.lower()
+            else:
+                whole = chunk if unicodedata.is_normalized("NFC", chunk) else unicodedata.normalize("NFC", chunk)
+                low = whole.lower() if "\u03a3" not in whole else "".join(c.lower() for c in whole)  # the last sigma of a word
+            if low.isalpha():
+                split[chunk] = (low,)
+            elif low[-1] in ".,!?;:" and low[:-1].isalpha():
+                split[chunk] = (low[:-1], low[-1])
+            else:
+                split[chunk] = PIECES.findall(low)
         needed = set(chain.from_iterable(split.values()))
         fresh, found = list(self.word_cache.missing(needed)), {}
         for i in range(0, len(fresh), 20_000):
@@ -110,11 +119,16 @@ class Tokens:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if any(c in t for c in UNUSUAL) else t.split() for t in texts]
-        needed = set(chain.from_iterable(s for s in split if s is not None))
-        if fresh := self.chunk_cache.missing(needed):
-            self.chunk_cache.learn(self.learned(fresh), needed)
-        get = self.chunk_cache.young.__getitem__
-        return [self.directly(t) if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
+        get = self.chunk_cache.young.get
+        known = [None if s is None else list(map(get, s)) for s in split]
+        unknown = {c for s, k in zip(split, known) if k is not None and None in k for c, i in zip(s, k) if i is None}
+        if unknown:
+            fresh = self.chunk_cache.missing(unknown)
+            found = self.learned(fresh)
+            found |= {c: self.chunk_cache.young[c] for c in unknown - fresh}
+            self.chunk_cache.learn(found, unknown)
+            known = [k if k is None or None not in k else [found[c] if i is None else i for c, i in zip(s, k)] for s, k in zip(split, known)]
+        return [self.directly(t) if k is None else b"".join(k) for t, k in zip(texts, known)]
 
 
 @lru_cache(2)
@@ -198,7 +212,8 @@ def packed(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
     A null or empty text is one piece of the end id alone. Repeated rows are packed each; a null id stays null; an
     empty table gives an empty one; other columns are left out.
     """
-    made = pieces(docs, vocabulary, capacity, keep_ids, id_column, text_column)
+    # Written first, as a range partitioning reads its input twice, once for a sample.
+    made = written(pieces(docs, vocabulary, capacity, keep_ids, id_column, text_column), "unplaced-pieces")
     ordered = made.repartitionByRange(F.desc("length"), F.xxhash64("doc_id", "piece")).sortWithinPartitions(F.desc("length"), F.xxhash64("doc_id", "piece"), "doc_id", "piece")
     placed = written(ordered.withColumn("__row", F.monotonically_increasing_id()), "pieces")
     counts = {r["length"]: r["n"] for r in placed.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
