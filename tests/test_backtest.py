@@ -101,9 +101,7 @@ def draws(sims, n, seed):
     return (h % n).astype(int)
 
 
-@pytest.mark.parametrize("limit", [500_000, 0])
-def test_monte_carlo(random_case, monkeypatch, limit):
-    monkeypatch.setattr(backtest, "BROADCAST_ROWS", limit)
+def test_monte_carlo(random_case):
     curve = backtest.equity_curve(random_case[2])
     r = np.array([x["equity_return"] for x in curve.orderBy("date").collect()][1:], float)
     s = np.prod(1 + r[draws(200, len(r), 7)], axis=1) - 1

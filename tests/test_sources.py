@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import price_series
 from tickloom.operators import modeling, splits, validate
+from tickloom.plans import daily
 from tickloom.plans.daily import DailyConfig, run_daily
 from tickloom.plans.process import ProcessConfig, process_bars, process_file
 from tickloom.session import work_folder
@@ -134,6 +135,15 @@ def test_daily_run(spark, bars, tmp_path):
     assert features.count() == features.select("ticker", "date").distinct().count() > 300
     assert spark.read.parquet(config.table("training_dataset_metadata")).first()["total_records"] == features.count()
     assert spark.read.parquet(config.table("data_lineage")).count() == 2
+    assert spark.read.parquet(config.table("quarantine")).count() == 1
+    before = {(r["ticker"], r["date"]): (r["sma_200"], r["ema_26"]) for r in features.collect()}
+    later = date(2020, 8, 20)
+    daily.indicators(spark, config, later)
+    after = {(r["ticker"], r["date"]): (r["sma_200"], r["ema_26"]) for r in sinks.read_table(spark, config.table("feature_technical_indicators"), schemas.TECHNICAL).collect()}
+    assert len(after) > len(before) and all(after[k] == v for k, v in before.items()) and after["AAPL", later][0] is not None
+    raw = sinks.read_table(spark, config.table("raw_market_data"), schemas.RAW_BARS)
+    plan = readers.recent(raw, later, 30)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan
 
 
 def test_shared_folder(spark):

@@ -57,16 +57,19 @@ def test_silence_resolves(batches):
     assert [(r["state"], (r["at"] - START).seconds) for r in rows] == [("FIRING", 900), ("RESOLVED", 3000)]
 
 
-def test_once_per_period(batches):
-    first = [(i, "hot", i, 0) for i in range(50)] + [(100, "b", 0, 0)]
-    again = [(200, "hot", 600, 0), (201, "b", 700, 0)]
-    later, quiet = [(300, "x", 20000, 0)], [(301, "x", 20001, 0)]
-    after = [(400, "hot", 21000, 0)]
-    kept = jobs.run_to_table(jobs.once_per_period(batches(first, again, later, quiet, after), ["key"], "ts", "1 hour"), "t")
-    got = kept.groupBy("key").count().collect()
-    assert {r["key"]: r["count"] for r in got} == {"hot": 2, "b": 1, "x": 1}
-    everything = kept.sparkSession.range(56)
-    assert abs(jobs.hit_ratio(kept, everything).first()["hit_ratio"] - (1 - 4 / 56)) < 1e-12
+@pytest.mark.parametrize("cut", [1, 4])
+def test_once_per_period(spark, batches, cut):
+    rows = [(i, "hot", 97 * i, 0) for i in range(200)] + [(500 + i, "b", 3600 * i, 0) for i in range(6)]
+    rows.sort(key=lambda r: r[2])
+    parts = [rows[k * len(rows) // cut : (k + 1) * len(rows) // cut] for k in range(cut)]
+    kept = jobs.run_to_table(stateful.once_per_period(batches(*parts), ["key"], "ts", 3600), "t")
+    expected, last = [], {}
+    for i, k, s, _ in rows:
+        if k not in last or s - last[k] > 3600:
+            expected.append(i)
+            last[k] = s
+    assert sorted(r["id"] for r in kept.collect()) == sorted(expected)
+    assert abs(jobs.hit_ratio(kept, spark.range(len(rows))).first()["hit_ratio"] - (1 - len(expected) / len(rows))) < 1e-12
 
 
 def test_push_ignores_older_rows(batches, tmp_path):

@@ -195,16 +195,12 @@ def with_draw(df: DataFrame, name: str, seed: int) -> DataFrame:
     return out.withColumn(name, F.coalesce(h % F.col("n"), F.lit(0).cast("bigint"))).drop("__h")
 
 
-# Rows of returns up to which they are sent to every task.
-BROADCAST_ROWS = 500_000
-
-
 def bootstrap_returns(curve: DataFrame, sims: int = 1000, seed: int = 42) -> DataFrame:
     """Compounded return of each (ticker, sim): as many draws with replacement as there are returns.
 
     Draws meet the drawn returns in an equi-join on (ticker, row number) and are multiplied with map-side combination,
-    so neither a series nor a simulation has to fit in one task. The returns are broadcast when a count shows that they
-    are few; otherwise both sides are shuffled and merged. Give a stored table, as it is read more than once.
+    so neither a series nor a simulation has to fit in one task. How the two sides meet is left to Spark's own size
+    checks and to adaptive execution. Give a stored table, as it is read more than once.
     """
     r = curve.where(F.col("equity_return").isNotNull()).select(
         "ticker", (F.row_number().over(bars_window()) - 1).cast("bigint").alias("i"), F.col("equity_return").alias("r"),
@@ -215,8 +211,7 @@ def bootstrap_returns(curve: DataFrame, sims: int = 1000, seed: int = 42) -> Dat
     draws = r.drop("r").repartition(parts, "ticker", "i").withColumn("sim", F.explode(F.sequence(F.lit(0), F.lit(sims - 1))))
     drawn = with_draw(draws, "drawn", seed).select("ticker", "sim", "drawn")
     returns = r.select("ticker", F.col("i").alias("drawn"), "r")
-    few = curve.select("ticker").limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    hit = drawn.join(F.broadcast(returns) if few else returns.hint("merge"), ["ticker", "drawn"])
+    hit = drawn.join(returns, ["ticker", "drawn"])
     return hit.groupBy("ticker", "sim").agg((F.product(1 + F.col("r")) - 1).alias("sim_return"))
 
 

@@ -184,13 +184,18 @@ def ratio_in_one_pass(df: DataFrame, keys: Sequence[str], top: Column, bottom: C
     return out.withColumn("ratio", F.try_divide(F.col("top").cast("double"), F.col("bottom").cast("double")))
 
 
-def absence_periods(df: DataFrame, keys: Sequence[str], quiet: int, hold: int, ts: str = "ts", ties: Sequence[str] = ()) -> DataFrame:
-    """Gaps in which no sample came for ``quiet`` seconds and stayed away for ``hold`` more."""
+def absence_periods(df: DataFrame, keys: Sequence[str], quiet: int, hold: int, ts: str = "ts", ties: Sequence[str] = (), as_of: Column | None = None) -> DataFrame:
+    """Silences: no sample came for ``quiet`` seconds, and none for ``hold`` more.
+
+    A series that is still silent at ``as_of`` (the latest sample of the table by default) has an open one, with null in
+    ``resolved_at``; also a series of a single sample.
+    """
     slim = df.select(*keys, *ties, F.col(ts).cast("timestamp").alias(ts))
-    gaps = with_previous(slim, keys, ts, ts, "last_seen", ties)
-    micros = F.unix_micros(ts) - F.unix_micros("last_seen")
-    return gaps.where(micros >= (quiet + hold) * 1000000).select(
+    gaps = with_previous(slim, keys, ts, ts, "last_seen", ties).select(*keys, "last_seen", F.col(ts).alias("resolved_at"), F.col(ts).alias("until"))
+    now = slim.agg(F.max(ts).alias("now")) if as_of is None else slim.agg(as_of.cast("timestamp").alias("now"))
+    tails = slim.groupBy(*keys).agg(F.max(ts).alias("last_seen")).select(*keys, "last_seen", F.lit(None).cast("timestamp").alias("resolved_at"), now.scalar().alias("until"))
+    silent = gaps.union(tails).where(F.unix_micros("until") - F.unix_micros("last_seen") >= (quiet + hold) * 1000000)
+    return silent.select(
         *keys, "last_seen", (F.col("last_seen") + F.make_dt_interval(secs=F.lit(float(quiet)))).alias("pending_at"),
-        (F.col("last_seen") + F.make_dt_interval(secs=F.lit(float(quiet + hold)))).alias("firing_at"),
-        F.col(ts).alias("resolved_at"),
+        (F.col("last_seen") + F.make_dt_interval(secs=F.lit(float(quiet + hold)))).alias("firing_at"), "resolved_at",
     )

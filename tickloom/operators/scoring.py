@@ -22,35 +22,49 @@ def vector_mean(a: Column) -> Column:
 
 
 def vector_std(a: Column) -> Column:
-    """Population deviation."""
-    m = vector_mean(a)
-    return F.sqrt(F.try_divide(_sum(F.transform(a, lambda x: (x - m) * (x - m))), F.size(a).cast("double")))
+    """Population deviation in one pass over (count, sum, sum of squares) of the distances from the first value.
+
+    Nothing but the element itself is used inside the lambda, except the first value: an aggregate there would be
+    evaluated again for each element.
+    """
+    first = F.coalesce(F.get(a, F.lit(0)), F.lit(0.0))
+    zero = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("q"))
+
+    def add(t: Column, x: Column) -> Column:
+        d = x - first
+        return F.struct((t["n"] + 1.0).alias("n"), (t["s"] + d).alias("s"), (t["q"] + d * d).alias("q"))
+
+    def finish(t: Column) -> Column:
+        mean = F.try_divide(t["s"], t["n"])
+        return F.sqrt(F.greatest(F.lit(0.0), F.try_divide(t["q"], t["n"]) - mean * mean))
+
+    return F.aggregate(a, zero, add, finish)
 
 
 def _infinite(x: Column) -> Column:
     return F.abs(x) == F.lit(float("inf"))
 
 
-def request_error(ticker: str = "ticker", features: str = "features") -> Column:
-    """What is wrong with a request, or null."""
+def request_error(ticker: str = "ticker", features: str = "features", size: int = VECTOR_SIZE) -> Column:
+    """What is wrong with a request, or null. ``size`` is the length that the model expects."""
     t, f = F.col(ticker), F.col(features)
     bad_range = F.exists(f, lambda x: x.isNull() | F.isnan(x) | ~((x > -1e6) & (x < 1e6)))
     return (
         F.when(t.isNull() | (F.length(t) == 0) | (F.length(t) > 10), F.lit("Invalid ticker format"))
-        .when(f.isNull() | (F.size(f) != VECTOR_SIZE), F.lit(f"Must provide exactly {VECTOR_SIZE} features"))
+        .when(f.isNull() | (F.size(f) != size), F.lit(f"Must provide exactly {size} features"))
         .when(bad_range, F.lit("Feature values out of acceptable range"))
     )
 
 
-def check_requests(df: DataFrame) -> DataFrame:
-    return df.withColumns({"error": request_error(), "ticker": F.upper("ticker")})
+def check_requests(df: DataFrame, size: int = VECTOR_SIZE) -> DataFrame:
+    return df.withColumns({"error": request_error(size=size), "ticker": F.upper("ticker")})
 
 
-def vector_report(df: DataFrame, features: str = "features") -> DataFrame:
+def vector_report(df: DataFrame, features: str = "features", size: int = VECTOR_SIZE) -> DataFrame:
     """Issues, warnings and statistics of each vector, as one struct column ``report``."""
     f = F.col(features)
     issues = F.array_compact(F.array(
-        F.when(F.size(f) != VECTOR_SIZE, F.format_string(f"Expected {VECTOR_SIZE} features, got %d", F.size(f))),
+        F.when(F.size(f) != size, F.format_string(f"Expected {size} features, got %d", F.size(f))),
         F.when(F.exists(f, lambda x: F.isnan(x)), F.lit("Features contain NaN values")),
         F.when(F.exists(f, _infinite), F.lit("Features contain Inf values")),
     ))
@@ -68,9 +82,9 @@ def clip_vector(f: Column, bound: float = 1e5) -> Column:
     return F.transform(f, lambda x: F.greatest(F.lit(-bound), F.least(F.lit(bound), x)))
 
 
-def model_input_error(f: Column) -> Column:
+def model_input_error(f: Column, size: int = VECTOR_SIZE) -> Column:
     return (
-        F.when(F.size(f) != VECTOR_SIZE, F.format_string(f"Expected {VECTOR_SIZE} features, got %d", F.size(f)))
+        F.when(F.size(f) != size, F.format_string(f"Expected {size} features, got %d", F.size(f)))
         .when(F.exists(f, lambda x: x.isNull() | F.isnan(x) | _infinite(x)), F.lit("Features contain NaN or Inf values"))
     )
 
@@ -82,9 +96,9 @@ def confidence(f: Column, prediction: Column) -> Column:
 
 
 def request_key(ticker: str = "ticker", features: str = "features") -> Column:
-    """Ticker and a hash of the features rounded to four places."""
-    rounded = F.transform(F.col(features), lambda x: F.round(x, 4))
-    return F.concat_ws("_", F.upper(ticker), F.xxhash64(rounded).cast("string"))
+    """Ticker and a hash of the features rounded to four places, as whole ten-thousandths so that the text form is one."""
+    rounded = F.transform(F.col(features), lambda x: F.round(x * 10000).cast("bigint").cast("string"))
+    return F.concat_ws("_", F.upper(ticker), F.md5(F.array_join(rounded, ",").cast("binary")))
 
 
 Layer = tuple[np.ndarray, np.ndarray]
@@ -102,8 +116,10 @@ def forward(x: np.ndarray, layers: Sequence[Layer]) -> np.ndarray:
 def score_batch(df: DataFrame, layers: Sequence[Layer], features: str = "features") -> DataFrame:
     """Predicted price and confidence of each row; a row that cannot be scored carries its ``error`` instead.
 
-    ``layers`` are the weights of a model the caller trained, read once per task from a Spark broadcast.
+    ``layers`` are the weights of a model the caller trained, read once per task from a Spark broadcast; the first one
+    has as many rows as a vector must have entries.
     """
+    size = len(layers[0][0])
     model = df.sparkSession.sparkContext.broadcast([(np.asarray(w, float), np.asarray(b, float)) for w, b in layers])
 
     @F.pandas_udf(T.DoubleType())
@@ -116,7 +132,7 @@ def score_batch(df: DataFrame, layers: Sequence[Layer], features: str = "feature
             yield pd.Series(out)
 
     f = F.col(features)
-    checked = df.withColumn("error", model_input_error(f))
+    checked = df.withColumn("error", model_input_error(f, size))
     usable = F.when(F.col("error").isNull(), clip_vector(f))
     scored = checked.withColumn("predicted_price", predict(usable))
     scored = scored.withColumn("predicted_price", F.when(F.col("error").isNull(), F.col("predicted_price")))

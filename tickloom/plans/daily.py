@@ -24,6 +24,7 @@ class DailyConfig:
     pipeline: str = "daily_bars"
     quality_threshold: float = 0.85
     lookback_days: int = 200
+    warm_up_days: int = 500
     limits: validate.BarLimits = validate.BarLimits()
 
     def table(self, name: str) -> str:
@@ -36,7 +37,7 @@ def ingest(spark: SparkSession, config: DailyConfig, landed: DataFrame, tickers:
     checked = stored(validate.validate_bars(fill_defaults(picked), config.limits), "checked")
     bad = F.col("validation_error").isNotNull()
     inserted = sinks.append_if_absent(spark, checked.where(~bad).drop("validation_error"), config.table("raw_market_data"))
-    checked.where(bad).write.mode("append").parquet(config.table("quarantine"))
+    sinks.append_new_rows(spark, checked.where(bad), config.table("quarantine"))
     stats = validate.ingestion_stats(checked).first().asDict()
     return {**stats, "inserted_records": inserted}
 
@@ -52,12 +53,18 @@ def judge(spark: SparkSession, config: DailyConfig, day: date, inserted: int | N
 
 
 def indicators(spark: SparkSession, config: DailyConfig, day: date) -> DataFrame:
-    """Indicators of the recent bars into the feature table."""
+    """Indicators of the bars after the stored ones into the feature table.
+
+    Stored rows stay as they are. The bars read go back ``warm_up_days`` before the first new date, so that the longest
+    window is full and the exponential averages have forgotten where they began.
+    """
     raw = sinks.read_table(spark, config.table("raw_market_data"), schemas.RAW_BARS)
-    bars = validate.newest_wins(raw.limit(0).drop(sinks.MONTH), readers.recent(raw, day, config.lookback_days).drop(sinks.MONTH),
-                                ("ticker", "date"), "source")
-    rows = technical_features(bars).withColumns({"computed_at": F.current_timestamp().cast("timestamp_ntz"), "feature_version": F.lit(1)})
-    sinks.upsert(spark, rows, config.table("feature_technical_indicators"), schemas.TECHNICAL)
+    kept = sinks.read_table(spark, config.table("feature_technical_indicators"), schemas.TECHNICAL)
+    span = config.lookback_days + config.warm_up_days
+    bars = validate.newest_wins(raw.limit(0).drop(sinks.MONTH), readers.recent(raw, day, span).drop(sinks.MONTH), ("ticker", "date"), "source")
+    rows = readers.recent(technical_features(bars), day, config.lookback_days).join(kept.select("ticker", "date"), ["ticker", "date"], "left_anti")
+    stamped = rows.withColumns({"computed_at": F.current_timestamp().cast("timestamp_ntz"), "feature_version": F.lit(1)})
+    sinks.upsert(spark, stamped, config.table("feature_technical_indicators"), schemas.TECHNICAL)
     return sinks.read_table(spark, config.table("feature_technical_indicators"), schemas.TECHNICAL)
 
 
@@ -80,7 +87,7 @@ def run_daily(spark: SparkSession, config: DailyConfig, landed: DataFrame, day:
         describe(spark, config, features)
         return stats
     except Exception as e:
-        error = str(e)[:1000]
+        error = str(e)
         raise
     finally:
         end = datetime.now()

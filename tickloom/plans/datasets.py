@@ -74,12 +74,3 @@ def technical_rows(b: DataFrame) -> DataFrame:
 
 def target_rows(b: DataFrame) -> DataFrame:
     return known_next_day(target_table(b))
-
-
-def vectors(spark: SparkSession, folder: str) -> DataFrame:
-    """Embeddings cut to the model's 30 inputs; the label names the ticker."""
-    e = table(spark, folder, "embeddings")
-    return e.select(
-        "vec_id", F.col("label").cast("string").alias("ticker"),
-        F.slice("embedding", 1, 30).cast("array<double>").alias("features"),
-    )

@@ -165,8 +165,19 @@ def gauge_alerts(spark, folder):
     return out.select(metrics.label(F.col("labels"), "user").alias("user"), "active_since", "active_until", "last_value")
 
 
-@query("absence_alerts", f"""WITH g AS (SELECT event_type, lag(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS last_seen, ts FROM events)
-  SELECT event_type, {second_sql('last_seen')} AS last_seen, {second_sql('last_seen + INTERVAL 600 SECOND')} AS pending_at,
-  {second_sql('last_seen + INTERVAL 1500 SECOND')} AS firing_at, {second_sql('ts')} AS resolved_at FROM g WHERE ts - last_seen >= INTERVAL 1500 SECOND""")
+def _silence_sql(key: str, quiet: int, total: int) -> str:
+    return f"""WITH g AS (SELECT {key}, lag(ts) OVER (PARTITION BY {key} ORDER BY ts, event_id) AS last_seen, ts, ts AS until FROM events
+    UNION ALL SELECT {key}, max(ts), NULL, (SELECT max(ts) FROM events) FROM events GROUP BY {key})
+  SELECT {key}, {second_sql('last_seen')} AS last_seen, {second_sql(f'last_seen + INTERVAL {quiet} SECOND')} AS pending_at,
+  {second_sql(f'last_seen + INTERVAL {total} SECOND')} AS firing_at, {second_sql('ts')} AS resolved_at FROM g WHERE until - last_seen >= INTERVAL {total} SECOND"""
+
+
+@query("absence_alerts", _silence_sql("event_type", 600, 1500))
 def absence_alerts(spark, folder):
     return metrics.absence_periods(events(spark, folder), ["event_type"], 600, 900, ties=["event_id"])
+
+
+@query("absence_of_users", _silence_sql("user_id", 86400, 172800))
+def absence_of_users(spark, folder):
+    """Silences of two days, those that are still open included."""
+    return metrics.absence_periods(events(spark, folder), ["user_id"], 86400, 86400, ties=["event_id"])

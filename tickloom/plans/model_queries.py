@@ -307,9 +307,9 @@ def backtest_metrics(spark, folder):
 
 
 @query("backtest_ranking", f"""{BACKTEST_SQL} SELECT ticker, {rsql('total_return', 9)} AS total_return, {rsql('annual_return', 4)} AS annual_return, volatility,
-  sharpe_ratio, sortino_ratio, max_drawdown, {rsql('win_rate', 6)} AS win_rate, total_trades FROM res ORDER BY sharpe_ratio DESC, ticker LIMIT 10""")
+  sharpe_ratio, sortino_ratio, max_drawdown, {rsql('win_rate', 6)} AS win_rate, total_trades FROM res ORDER BY sharpe_ratio DESC, ticker""")
 def backtest_ranking(spark, folder):
-    return rounded(backtest.compare(backtest.backtest_metrics(_runs(spark, folder)), 10), METRIC_DIGITS)
+    return rounded(backtest.compare(backtest.backtest_metrics(_runs(spark, folder)), None), METRIC_DIGITS)
 
 
 @query("trade_stats", f"""{BARS}, {TRADES_SQL} SELECT ticker, count(*) AS total_trades, count(*) FILTER (pnl > 0) AS profitable_trades,
@@ -347,31 +347,40 @@ def _draw_sql() -> str:
     return ",\n  ".join(steps)
 
 
-@query("monte_carlo", f"""{BARS}, {RETURNS_SQL}, r AS (SELECT ticker, row_number() OVER w - 1 AS i, returns / 100 AS r, count(*) OVER (PARTITION BY ticker) AS n FROM rets
+@query("monte_carlo", f"""{BARS}, {RETURNS_SQL}, r AS (SELECT ticker, row_number() OVER w - 1 AS i, returns AS r, count(*) OVER (PARTITION BY ticker) AS n FROM rets
     WHERE returns IS NOT NULL {WINDOW_SQL}),
   draws AS (SELECT ticker, sim, i, n FROM r, (SELECT unnest(range({SIMS})) AS sim)),
   {_draw_sql()},
   s AS (SELECT d3.ticker, sim, product(1 + r.r) - 1 AS x FROM d3 JOIN r ON d3.ticker = r.ticker AND d3.h % d3.n = r.i GROUP BY d3.ticker, sim),
   v AS (SELECT ticker, quantile_cont(x, 1 - 0.95::DOUBLE) AS var FROM s GROUP BY ticker)
-  SELECT s.ticker, {rsql('avg(x)', 6)} AS mean_return, {rsql('stddev_pop(x)', 6)} AS std_return, {rsql('min(x)', 6)} AS min_return, {rsql('max(x)', 6)} AS max_return,
+  SELECT s.ticker, {rsql('ln(2 + avg(x))', 6)} AS log_mean, {rsql('ln(2 + stddev_pop(x))', 6)} AS log_std, {rsql('min(x)', 6)} AS min_return, {rsql('ln(2 + max(x))', 6)} AS log_max,
   {rsql('any_value(var)', 6)} AS var, {rsql('avg(x) FILTER (x <= var)', 6)} AS cvar FROM s JOIN v ON s.ticker = v.ticker GROUP BY s.ticker""")
 def monte_carlo(spark, folder):
-    # Returns of weekly prices swing by whole multiples; a hundredth of them keeps the compounded values within range.
-    r = indicators.with_returns(datasets.bars(spark, folder)).select("ticker", "date", (F.col("returns") / 100).alias("equity_return"))
+    # Returns of weekly prices swing by whole multiples: the compounded values are compared on a logarithmic scale.
+    r = indicators.with_returns(datasets.bars(spark, folder)).select("ticker", "date", F.col("returns").alias("equity_return"))
     out = backtest.monte_carlo(stored(r, "returns"), SIMS)
-    return rounded(out, dict.fromkeys(["mean_return", "std_return", "min_return", "max_return", "var", "cvar"], 6))
+    logs = {f"log_{c}": F.log(2 + F.col(f"{c}_return")) for c in ("mean", "std", "max")}
+    return rounded(out.select("ticker", *[c.alias(n) for n, c in logs.items()], "min_return", "var", "cvar"), dict.fromkeys([*logs, "min_return", "var", "cvar"], 6))
 
 
 # ---- features
 
-SPINE_START, SPINE_END = date(1996, 1, 1), date(1997, 12, 31)
-SPINE_SQL = "spine AS (SELECT ticker, unnest(generate_series(TIMESTAMP '1996-01-01', TIMESTAMP '1997-12-31', INTERVAL 1 DAY)) AS ts FROM (SELECT DISTINCT ticker FROM bars))"
+SPINE_SQL = """spine AS (SELECT ticker, unnest(generate_series((SELECT min(date) FROM bars)::TIMESTAMP, (SELECT max(date) FROM bars)::TIMESTAMP, INTERVAL 1 DAY)) AS ts
+  FROM (SELECT DISTINCT ticker FROM bars))"""
+
+
+def _dates(b):
+    """First and last date of the bars."""
+    return tuple(b.agg(F.min("date"), F.max("date")).first())
+
+
 KNOWN = "CAST(date + 1 AS TIMESTAMP) AS known"
 
 
 @query("date_spine", f"{BARS}, {SPINE_SQL} SELECT ticker, {day_sql('CAST(ts AS DATE)')} AS event_timestamp FROM spine")
 def date_spine(spark, folder):
-    return feature_store.date_spine(datasets.bars(spark, folder), SPINE_START, SPINE_END)
+    b = datasets.bars_table(spark, folder)
+    return feature_store.date_spine(b, *_dates(b))
 
 
 @query("asof_features", f"""{BARS}, {SPINE_SQL}, f AS (SELECT ticker, close, volume, {KNOWN} FROM bars)
@@ -381,7 +390,7 @@ def date_spine(spark, folder):
 def asof_features(spark, folder):
     b = datasets.bars_table(spark, folder)
     view = feature_store.FeatureView("bar", datasets.known_next_day(b), ["close", "volume"], 8)
-    return feature_store.point_in_time(feature_store.date_spine(b, SPINE_START, SPINE_END), [view])
+    return feature_store.point_in_time(feature_store.date_spine(b, *_dates(b)), [view])
 
 
 TECH_SQL = f"""{RSI_B}, {ATR_SQL}, sma AS (SELECT ticker, date, {rolling_sql('avg', 'close', 20)} AS sma_20, {rolling_sql('avg', 'close', 50)} AS sma_50 FROM bars),
@@ -414,7 +423,7 @@ def training_set(spark, folder):
     service = feature_store.FeatureService("training_features", [
         _technical_view(b), feature_store.FeatureView("market_context", ctx, ["sector_momentum"], 365),
         feature_store.FeatureView("target_next_day", datasets.target_rows(b), ["target_return"], 365)])
-    out = feature_store.historical_features(feature_store.date_spine(b, SPINE_START, SPINE_END), service)
+    out = feature_store.historical_features(feature_store.date_spine(b, *_dates(b)), service)
     return rounded(out, {**TECH_DIGITS, "sector_momentum": 6, "target_return": 6})
 
 
@@ -457,14 +466,15 @@ def flagship(spark, folder):
 
 # ---- vectors and scoring
 
+VECTOR = 64
 REQUESTS_SQL = """req AS (SELECT vec_id, CAST(label AS VARCHAR) AS ticker,
-  list_transform(list_slice(embedding, 1, CASE WHEN label = 3 THEN 29 ELSE 30 END), lambda x: CAST(x AS DOUBLE) * CASE WHEN label = 5 THEN 10000000.0::DOUBLE WHEN label = 6 THEN 0.01::DOUBLE ELSE 1.0::DOUBLE END) AS f FROM embeddings)"""
+  list_transform(list_slice(embedding, 1, CASE WHEN label = 3 THEN len(embedding) - 1 ELSE len(embedding) END), lambda x: CAST(x AS DOUBLE) * CASE WHEN label = 5 THEN 10000000.0::DOUBLE WHEN label = 6 THEN 0.01::DOUBLE ELSE 1.0::DOUBLE END) AS f FROM embeddings)"""
 
 
 def requests(spark, folder):
-    """Vectors with defects by label: one group is short, one is far out of range, one is flat."""
+    """Whole vectors with defects by label: one group lacks its last entry, one is far out of range, one is flat."""
     e = datasets.table(spark, folder, "embeddings")
-    size = F.when(F.col("label") == 3, 29).otherwise(30)
+    size = F.when(F.col("label") == 3, F.size("embedding") - 1).otherwise(F.size("embedding"))
     scale = F.when(F.col("label") == 5, 10000000.0).when(F.col("label") == 6, 0.01).otherwise(1.0)
     values = F.slice("embedding", F.lit(1), size).cast("array<double>")
     return e.select("vec_id", F.col("label").cast("string").alias("ticker"), values.alias("v"), scale.alias("s")).select(
@@ -474,18 +484,18 @@ def requests(spark, folder):
 STD_SQL = "sqrt(list_avg(list_transform(f, lambda x: (x - list_avg(f)) * (x - list_avg(f)))))"
 
 
-@query("request_check", f"""WITH {REQUESTS_SQL} SELECT vec_id, ticker, CASE WHEN len(f) <> 30 THEN 'Must provide exactly 30 features'
+@query("request_check", f"""WITH {REQUESTS_SQL} SELECT vec_id, ticker, CASE WHEN len(f) <> 64 THEN 'Must provide exactly 64 features'
   WHEN len(list_filter(f, lambda x: NOT (x > -1e6 AND x < 1e6))) > 0 THEN 'Feature values out of acceptable range' END AS error FROM req""")
 def request_check(spark, folder):
-    return scoring.check_requests(requests(spark, folder)).select("vec_id", "ticker", "error")
+    return scoring.check_requests(requests(spark, folder), VECTOR).select("vec_id", "ticker", "error")
 
 
-@query("vector_report", f"""WITH {REQUESTS_SQL} SELECT vec_id, len(f) = 30 AS valid, CASE WHEN len(f) <> 30 THEN 'Expected 30 features, got ' || len(f) ELSE '' END AS issues,
+@query("vector_report", f"""WITH {REQUESTS_SQL} SELECT vec_id, len(f) = 64 AS valid, CASE WHEN len(f) <> 64 THEN 'Expected 64 features, got ' || len(f) ELSE '' END AS issues,
   concat_ws('; ', CASE WHEN len(list_filter(f, lambda x: abs(x) > 1e5)) > 0 THEN 'Some features are very large (>1e5)' END,
     CASE WHEN {STD_SQL} < 0.01 THEN 'Features have very low variance' END) AS warnings,
   {rsql('list_avg(f)', 5)} AS mean, {rsql(STD_SQL, 5)} AS std, {rsql('list_min(f)', 5)} AS min, {rsql('list_max(f)', 5)} AS max FROM req""")
 def vector_report(spark, folder):
-    r = scoring.vector_report(requests(spark, folder)).select("vec_id", "report.*")
+    r = scoring.vector_report(requests(spark, folder), size=VECTOR).select("vec_id", "report.*")
     text = {c: F.concat_ws("; ", c) for c in ("issues", "warnings")}
     return rounded(r.withColumns(text), dict.fromkeys(["mean", "std", "min", "max"], 5))
 
@@ -498,7 +508,7 @@ def vector_confidence(spark, folder):
     return rounded(r.select("vec_id", scoring.confidence(F.col("features"), total).alias("confidence")), {"confidence": 4})
 
 
-def rule_layers(sizes=(30, 64, 32, 1)):
+def rule_layers(sizes=(64, 64, 32, 1)):
     """Weights by rule: sin((i + 1)(j + 1)) and biases cos(j + 1) / 10."""
     return [
         (np.sin(np.outer(np.arange(1, a + 1), np.arange(1, b + 1))), np.cos(np.arange(1, b + 1)) / 10)
@@ -512,19 +522,20 @@ def _layer_sql(x: str, a: int, b: int, relu: bool) -> str:
 
 
 @query("score_batch", f"""WITH {REQUESTS_SQL}, c AS (SELECT vec_id, ticker, f AS raw, list_transform(f, lambda x: greatest(-1e5, least(1e5, x))) AS f FROM req),
-  h1 AS (SELECT *, {_layer_sql('f', 30, 64, True)} AS a FROM c WHERE len(f) = 30), h2 AS (SELECT *, {_layer_sql('a', 64, 32, True)} AS b FROM h1),
+  h1 AS (SELECT *, {_layer_sql('f', 64, 64, True)} AS a FROM c WHERE len(f) = 64), h2 AS (SELECT *, {_layer_sql('a', 64, 32, True)} AS b FROM h1),
   o AS (SELECT *, {_layer_sql('b', 32, 1, False)}[1] AS p FROM h2)
   SELECT vec_id, ticker, NULL AS error, {rsql('p', 3)} AS predicted_price,
   {rsql(f'greatest(0.5::DOUBLE, least(0.95::DOUBLE, 0.85::DOUBLE - CASE WHEN {STD_SQL} < 0.1 THEN 0.10::DOUBLE ELSE 0 END - CASE WHEN abs(p) > 10000 THEN 0.05::DOUBLE ELSE 0 END))', 4)} AS confidence FROM o
-  UNION ALL SELECT vec_id, ticker, 'Expected 30 features, got ' || len(f), NULL, NULL FROM c WHERE len(f) <> 30""")
+  UNION ALL SELECT vec_id, ticker, 'Expected 64 features, got ' || len(f), NULL, NULL FROM c WHERE len(f) <> 64""")
 def score_batch(spark, folder):
     out = scoring.score_batch(requests(spark, folder), rule_layers())
     return rounded(out.select("vec_id", "ticker", "error", "predicted_price", "confidence"), {"predicted_price": 3, "confidence": 4})
 
 
-@query("request_keys")
+@query("request_keys", f"""WITH {REQUESTS_SQL} SELECT upper(ticker) || '_' || md5(array_to_string(list_transform(f, lambda x: CAST(CAST(round(x * 10000) AS BIGINT) AS VARCHAR)), ',')) AS request_key,
+  count(*) AS requests FROM req GROUP BY 1""")
 def request_keys(spark, folder):
-    """Rows per request key; the hash function is Spark's own."""
+    """Rows per request key."""
     r = requests(spark, folder)
     return r.groupBy(scoring.request_key().alias("request_key")).agg(F.count("*").alias("requests"))
 

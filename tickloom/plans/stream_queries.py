@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickloom.operators.validate import BarLimits
+from tickloom.plans import datasets
 from tickloom.plans.metric_queries import BOUNDS, COUNTS_SQL, _quantile_sql
 from tickloom.plans.registry import day_sql, query, rounded, rsql, second_sql
 from tickloom.session import work_folder
@@ -19,56 +20,72 @@ def _events(spark, folder):
 
 
 @query("stream_bars", f"""SELECT event_type AS ticker, {day_sql('CAST(ts AS DATE)')} AS date, arg_min(value, ts) AS open, max(value) AS high, min(value) AS low,
-  arg_max(value, ts) AS close, count(*) AS volume FROM events GROUP BY event_type, CAST(ts AS DATE)
-  HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= {MARK.format(delay='2 DAY')}""")
+  arg_max(value, ts) AS close, count(*) AS volume FROM events GROUP BY event_type, CAST(ts AS DATE)""")
 def stream_bars(spark, folder):
-    return jobs.run_to_table(jobs.bars_from_stream(_events(spark, folder), "event_type", "ts", "value"), "stream-bars")
+    return jobs.run_to_latest(jobs.bars_from_stream(_events(spark, folder), "event_type", "ts", "value"), ["ticker", "date"], "stream-bars")
 
 
 def _sliding_sql(seconds: int, step: int) -> str:
     return f"""win AS (SELECT *, make_timestamp(CAST((floor(epoch_us(ts) / {step}e6) + 1 + k) * {step} * 1000000 AS BIGINT)) AS tick
-    FROM events, (SELECT unnest(range({seconds // step})) AS k)), closed AS (SELECT * FROM win WHERE tick <= {MARK.format(delay='10 MINUTE')})"""
+    FROM events, (SELECT unnest(range({seconds // step})) AS k)), closed AS (SELECT * FROM win)"""
 
 
 @query("stream_rate", f"""WITH {_sliding_sql(300, 60)} SELECT event_type, {second_sql('tick')} AS window_end, count(*) AS increase, {rsql('count(*) / 300', 8)} AS rate
   FROM closed GROUP BY event_type, tick""")
 def stream_rate(spark, folder):
     out = jobs.sliding_rate(_events(spark, folder), ["event_type"], "ts", F.lit(1).cast("bigint"), "5 minutes", "1 minute")
-    return rounded(jobs.run_to_table(out, "stream-rate"), {"rate": 8})
+    return rounded(jobs.run_to_latest(out, ["event_type", "window_end"], "stream-rate"), {"rate": 8})
 
 
 @query("stream_quantiles", f"""WITH {_sliding_sql(3600, 900)}, c AS (SELECT event_type, tick, {COUNTS_SQL} FROM closed GROUP BY event_type, tick)
   SELECT event_type, {second_sql('tick')} AS window_end, """ + ", ".join(f"{rsql(_quantile_sql(q), 4)} AS p{round(q * 100)}" for q in (0.5, 0.95, 0.99)) + " FROM c")
 def stream_quantiles(spark, folder):
     out = jobs.sliding_quantiles(_events(spark, folder), ["event_type"], "ts", "value", BOUNDS, {"p50": 0.5, "p95": 0.95, "p99": 0.99}, "1 hour", "15 minutes")
-    return rounded(jobs.run_to_table(out, "stream-quantiles"), {"p50": 4, "p95": 4, "p99": 4})
+    return rounded(jobs.run_to_latest(out, ["event_type", "window_end"], "stream-quantiles"), {"p50": 4, "p95": 4, "p99": 4})
 
 
 @query("stream_alerts", f"""WITH t0 AS (SELECT event_type AS series, make_timestamp(CAST((floor(epoch_us(ts) / 3600e6) + 1) * 3600 * 1000000 AS BIGINT)) AS tick, avg(value) > 20 AS active
     FROM events GROUP BY 1, 2), t AS (SELECT * FROM t0 WHERE tick <= {MARK.format(delay='10 MINUTE')}),
   a AS (SELECT *, CASE WHEN tick - lag(tick) OVER w <= INTERVAL 1 HOUR THEN 0 ELSE 1 END AS fresh FROM t WHERE active WINDOW w AS (PARTITION BY series ORDER BY tick)),
-  i AS (SELECT *, sum(fresh) OVER (PARTITION BY series ORDER BY tick) AS island FROM a)
-  SELECT series, 'FIRING' AS state, {second_sql('min(tick)')} AS since, {second_sql('min(tick) + INTERVAL 2 HOUR')} AS at FROM i GROUP BY series, island HAVING max(tick) - min(tick) >= INTERVAL 2 HOUR""")
+  i AS (SELECT *, sum(fresh) OVER (PARTITION BY series ORDER BY tick) AS island FROM a),
+  f AS (SELECT series, min(tick) AS first, max(tick) AS last, max(tick) - min(tick) >= INTERVAL 2 HOUR AS fired, (SELECT max(tick) FROM t WHERE t.series = i.series) AS newest FROM i GROUP BY series, island)
+  SELECT series, 'PENDING' AS state, {second_sql('first')} AS since, {second_sql('first')} AS at FROM f
+  UNION ALL SELECT series, 'FIRING', {second_sql('first')}, {second_sql('first + INTERVAL 2 HOUR')} FROM f WHERE fired
+  UNION ALL SELECT series, 'RESOLVED', {second_sql('first')}, {second_sql('last + INTERVAL 1 HOUR')} FROM f WHERE fired AND newest > last""")
 def stream_alerts(spark, folder):
     out = stateful.sustained_alerts(_events(spark, folder), F.col("event_type"), "ts", F.avg("value") > 20, 7200, 3600)
-    return jobs.run_to_table(out, "stream-alerts").where(F.col("state") == "FIRING")
+    return jobs.run_to_table(out, "stream-alerts")
 
 
 @query("stream_absence", f"""WITH m0 AS (SELECT event_type AS series, make_timestamp(CAST((floor(epoch_us(ts) / 60e6) + 1) * 60 * 1000000 AS BIGINT)) AS tick, min(ts) AS first, max(ts) AS last
     FROM events GROUP BY 1, 2), m AS (SELECT * FROM m0 WHERE tick <= {MARK.format(delay='10 MINUTE')}),
   g AS (SELECT series, last AS since, lead(first) OVER (PARTITION BY series ORDER BY tick) AS next FROM m)
   SELECT series, 'FIRING' AS state, {second_sql('since')} AS since, {second_sql('since + INTERVAL 1500 SECOND')} AS at FROM g
-  WHERE coalesce(next, {MARK.format(delay='10 MINUTE')}) - since >= INTERVAL 1500 SECOND""")
+  WHERE coalesce(next, {MARK.format(delay='10 MINUTE')}) - since >= INTERVAL 1500 SECOND
+  UNION ALL SELECT series, 'RESOLVED', {second_sql('since')}, {second_sql('next')} FROM g WHERE next - since >= INTERVAL 1500 SECOND""")
 def stream_absence(spark, folder):
     out = stateful.silence_alerts(_events(spark, folder), F.col("event_type"), "ts", 1500)
-    return jobs.run_to_table(out, "stream-absence").where(F.col("state") == "FIRING")
+    return jobs.run_to_table(out, "stream-absence")
 
 
-@query("stream_dedup", "SELECT event_type, user_id, 1::BIGINT AS kept FROM events GROUP BY event_type, user_id")
+KEPT_SQL = """kept AS (SELECT event_type, user_id, min(ts) AS ts FROM events GROUP BY ALL
+  UNION ALL SELECT e.event_type, e.user_id, min(e.ts) AS ts FROM kept k JOIN events e ON e.event_type = k.event_type AND e.user_id = k.user_id AND e.ts > k.ts + INTERVAL 1 HOUR
+  GROUP BY e.event_type, e.user_id)"""
+
+
+def _kept(spark, folder):
+    return jobs.run_to_table(stateful.once_per_period(_events(spark, folder), ["event_type", "user_id"], "ts", 3600, ["event_id"]), "stream-dedup")
+
+
+@query("stream_dedup", f"WITH RECURSIVE {KEPT_SQL} SELECT event_type, user_id, {second_sql('ts')} AS ts FROM kept")
 def stream_dedup(spark, folder):
-    """Exact for one micro-batch; across batches a key returns after its period."""
-    kept = jobs.run_to_table(jobs.once_per_period(_events(spark, folder), ["event_type", "user_id"], "ts"), "stream-dedup")
-    return kept.groupBy("event_type", "user_id").agg(F.count("*").alias("kept"))
+    """Times at which a request of a key was not answered by a result of the hour before."""
+    return _kept(spark, folder).select("event_type", "user_id", "ts")
+
+
+@query("stream_hit_ratio", f"WITH RECURSIVE {KEPT_SQL} SELECT count(*) AS kept, {rsql('1 - count(*) / (SELECT count(*) FROM events)', 9)} AS hit_ratio FROM kept")
+def stream_hit_ratio(spark, folder):
+    return rounded(jobs.hit_ratio(_kept(spark, folder), datasets.table(spark, folder, "events")), {"hit_ratio": 9})
 
 
 @query("stream_counters", f"""SELECT event_type, user_id, count(*) AS samples, {rsql('sum(value)', 4)} AS total, arg_max(value, ts) AS value FROM events GROUP BY event_type, user_id""")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,14 +29,10 @@ def build_session(app: str = "tickloom", master: str | None = None, shuffle_part
 def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder for written intermediate tables and stream checkpoints.
 
-    It lies in the shared folder named by ``spark.checkpoint.dir``. Only a local session may fall
-    back to a temporary folder, because other machines could not read it.
+    It lies in the shared folder named by ``spark.checkpoint.dir``, or where that is unset in the warehouse: both
+    can be reached by every executor.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        shared = tempfile.mkdtemp(prefix="tickloom-")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "work")
     return os.path.join(shared, f"{label}-{uuid.uuid4().hex}")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Mapping, Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,9 +121,13 @@ def read_ticker_files(spark: SparkSession, folder: str, tickers: Sequence[str] |
     return normalize_provider(raw, stem_ticker(F.col("source_file")), source)
 
 
-def recent(df: DataFrame, as_of: date, days: int = 200, date_column: str = "date") -> DataFrame:
-    """Rows of the last ``days`` days before ``as_of``; the bound reaches the scan and prunes partitions."""
-    return df.where(F.col(date_column) >= F.date_sub(F.lit(as_of), days))
+def recent(df: DataFrame, as_of: date, days: int = 200, date_column: str = "date", month_column: str = "month") -> DataFrame:
+    """Rows of the last ``days`` days up to ``as_of``. In a table stored by month, months outside are not read."""
+    first = as_of - timedelta(days=days)
+    rows = df.where((F.col(date_column) >= F.lit(first)) & (F.col(date_column) <= F.lit(as_of)))
+    if month_column not in df.columns:
+        return rows
+    return rows.where((F.col(month_column) >= f"{first:%Y-%m}") & (F.col(month_column) <= f"{as_of:%Y-%m}"))
 
 
 def for_ticker_date(spark: SparkSession, table: DataFrame, ticker: str, day: date) -> DataFrame:

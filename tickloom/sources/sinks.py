@@ -73,6 +73,19 @@ def append_if_absent(spark: SparkSession, new: DataFrame, path: str, schema: T.S
     return observed(seen, "n")
 
 
+def append_new_rows(spark: SparkSession, new: DataFrame, path: str) -> None:
+    """Append the rows of which no equal one is stored, so that a repeated run adds nothing."""
+    digest = F.sha2(F.to_json(F.struct(*sorted(new.columns))), 256)
+    try:
+        known = spark.read.schema(new.schema).parquet(path).select(digest.alias("__known")).distinct()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in (e.getCondition() or ""):
+            raise
+        known = spark.createDataFrame([], "__known string")
+    fresh = new.withColumn("__own", digest).join(known, F.col("__own") == F.col("__known"), "left_anti").drop("__own")
+    fresh.write.mode("append").parquet(path)
+
+
 def upsert(spark: SparkSession, new: DataFrame, path: str, schema: T.StructType, keys: tuple[str, ...] = ("ticker", "date"),
            version: str = "computed_at") -> None:
     """Insert or replace by key, the greatest ``version`` winning. Only the months of the batch are rewritten.
@@ -136,4 +149,3 @@ def archive_expired(df: DataFrame, archive: str, as_of: date, keep_days: int, co
 
 
 RAW_KEEP_DAYS = 730
-PROCESSED_KEEP_DAYS = 1825

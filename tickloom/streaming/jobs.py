@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tickloom.operators.metrics import _bucket_counts, bucket_array, bucket_quantile
 from tickloom.operators.validate import BarLimits, newest_wins, split_valid
@@ -44,6 +45,20 @@ def run_to_table(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{root}/table")
 
 
+def run_to_latest(stream: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+    """The same in update mode: the newest row of each key, windows that are still open included."""
+    spark, root = stream.sparkSession, work_folder(stream.sparkSession, label)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(_batch_folder(f"{root}/table", batch_id))
+
+    run_batches(stream, label, sink, "update")
+    rest = [c for c in stream.columns if c not in keys]
+    full = StructType([*stream.schema.fields, StructField("batch_id", LongType())])
+    written = spark.read.schema(full).parquet(f"{root}/table")
+    return written.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("r")).select(*keys, "r.*").select(*stream.columns)
+
+
 def run_batches(stream: DataFrame, label: str, sink, mode: str = "append") -> StreamingQuery:
     """Process everything that is available through ``sink(batch, batch_id)``."""
     root = work_folder(stream.sparkSession, label)
@@ -91,16 +106,6 @@ def approximate_quantiles(events: DataFrame, keys: Sequence[str], ts: str, value
     return out.select(*keys, F.col("w.end").alias("window_end"), *[F.col("__q")[i].alias(n) for i, n in enumerate(quantiles)])
 
 
-def once_per_period(requests: DataFrame, key: Sequence[str], ts: str, period: str = "1 hour", salts: int = 16) -> DataFrame:
-    """First request of each key within ``period``; repeats are served from that result.
-
-    A key is forgotten at the first batch after the watermark has passed its period, so it may be remembered for longer.
-    A busy key is first reduced in salted parts, so that its repeats do not meet in one task.
-    """
-    salted = requests.withWatermark(ts, period).withColumn("__salt", F.pmod(F.xxhash64(ts), F.lit(salts)))
-    return salted.dropDuplicatesWithinWatermark([*key, "__salt"]).drop("__salt").dropDuplicatesWithinWatermark(list(key))
-
-
 def hit_ratio(kept: DataFrame, requests: DataFrame) -> DataFrame:
     """Share of requests answered by an earlier one."""
     n, k = requests.agg(F.count("*").alias("n")).scalar(), F.count("*")

@@ -120,6 +120,39 @@ class Silence(StatefulProcessor):
         pass
 
 
+class OncePerPeriod(StatefulProcessor):
+    """Keeps a row when the last kept one of its key is older than the period; the key is forgotten once no row can hit it."""
+
+    def __init__(self, period_seconds: float, ts: str, order: list[str]) -> None:
+        self.period, self.ts, self.order = pd.Timedelta(seconds=period_seconds), ts, order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.memory = handle.getValueState("memory", "kept timestamp")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        kept = pd.Timestamp(self.memory.get()[0]) if self.memory.exists() else None
+        table = pd.concat(list(rows)).sort_values([self.ts, *self.order], kind="stable").reset_index(drop=True)
+        take = []
+        for i, at in enumerate(table[self.ts]):
+            if kept is None or at - kept > self.period:
+                take.append(i)
+                kept = at
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(_millis(kept + self.period) + 1)
+        self.memory.update((kept.to_pydatetime(),))
+        if take:
+            yield table.iloc[take]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.memory.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
 def _millis(t: pd.Timestamp) -> int:
     """Event time of a timer; rounded up, so that it cannot expire early."""
     return -(-t.tz_localize(None).value // 1_000_000) if t.tzinfo else -(-t.value // 1_000_000)
@@ -145,3 +178,16 @@ def silence_alerts(samples: DataFrame, series: Column, ts: str, limit_seconds: i
         "series", F.window_time("window").alias("event_time"), "first", "last")
     return ticks.groupBy("series").transformWithStateInPandas(
         Silence(limit_seconds), outputStructType=EVENTS, outputMode="Append", timeMode="EventTime")
+
+
+def once_per_period(requests: DataFrame, key: list[str], ts: str, period_seconds: float = 3600, order: list[str] | None = None,
+                    delay: str = METRIC_DELAY) -> DataFrame:
+    """Requests that a result kept for ``period_seconds`` does not answer: the first of each key, and then each that is
+    more than the period later than the last one kept.
+
+    Rows of a key are taken in event-time order, ties by ``order``; the result does not depend on how they fall into
+    batches, as long as they are no later than ``delay``. The state is one time per key seen within the period.
+    """
+    use_rocksdb(requests.sparkSession)
+    return requests.withWatermark(ts, delay).groupBy(*key).transformWithStateInPandas(
+        OncePerPeriod(period_seconds, ts, order or []), outputStructType=requests.schema, outputMode="Append", timeMode="EventTime")
