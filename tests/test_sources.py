@@ -65,6 +65,19 @@ def test_ticker_files(spark, tmp_path):
     assert row["source"] == "yfinance" and isinstance(row["date"], date) and row["adj_close"] == row["close"]
 
 
+def test_headers_of_different_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Date,Open,High,Low,Close,Volume\n2024-01-02,1,4,0.5,2,10\n")
+    (tmp_path / "b.csv").write_text("Date,Close,Volume,Low,High,Open\n2024-01-02,2,10,0.5,4,1\n")
+    (tmp_path / "c.csv").write_text(",X,Y\n2024-01-02,7,8\n")
+    (tmp_path / "empty.csv").write_text("")
+    rows = readers.read_bar_csv(spark, str(tmp_path)).orderBy("source_file", "ticker").collect()
+    assert [(r["open"], r["high"], r["low"], r["close"], r["volume"]) for r in rows[:2]] == [("1", "4", "0.5", "2", "10")] * 2
+    assert [(r["ticker"], r["close"], r["volume"]) for r in rows[2:]] == [("X", "7", "0"), ("Y", "8", "0")]
+    files = readers.read_ticker_files(spark, str(tmp_path), ["a", "b", "zz"]).collect()
+    assert {(r["ticker"], r["open"], r["close"]) for r in files} == {("A", 1.0, 2.0), ("B", 1.0, 2.0)}
+    assert [r["ticker"] for r in readers.absent_tickers(spark, str(tmp_path), ["a", "b", "zz", "empty"]).orderBy("ticker").collect()] == ["EMPTY", "ZZ"]
+
+
 def test_small_readers(spark, bars):
     listed = spark.createDataFrame([('["AAPL", "TSLA"]',)], "c string").select(F.explode(readers.ticker_list(F.col("c"))).alias("ticker"))
     assert {r[0] for r in readers.only_tickers(bars, listed).select("ticker").distinct().collect()} == {"AAPL"}

@@ -28,9 +28,8 @@ class ProcessConfig:
 
 def clean_bars(raw: DataFrame, ticker: str | None = None) -> tuple[DataFrame, bool]:
     """Bars ready for indicators, and whether the input held closes only (its volume is then meaningless)."""
-    normal = readers.normalize_header(raw)
-    long = readers.wide_closes_to_long(normal)
-    close_only = long is not normal
+    long = readers.wide_closes_to_long(raw)
+    close_only = long is not raw
     named = readers.assign_ticker(readers.require_columns(long), ticker)
     keep = ["ticker", *readers.REQUIRED, *[c for c in ("sector", "source", "adj_close") if c in named.columns]]
     return clean.keep_first(clean.coerce_bars(named.select(*keep))), close_only
