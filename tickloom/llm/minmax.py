@@ -2,9 +2,9 @@
 
 Under each permutation of the shingle hashes both the least and the greatest value are kept, so half as many hashes are
 evaluated for a signature. Bands of the signature are bucket keys. In each bucket a document that is near none before it (by
-its signature) becomes a pivot, and all near it are compared with it on full shingle sets: a group of copies costs a star
-and not all its pairs. A second pass takes the buckets that still hold several components, and compares across these
-what the stars have left open.
+its signature) becomes a pivot, and what is near it and no earlier one is compared with it on full shingle sets: a group of
+copies costs a star and not all its pairs. Further passes take the buckets that still hold several components, and compare
+each document with its nearest ones in every other component, with more of them in each pass, until none is left out.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ BAND_VALUES = 5
 PERCENT = 80
 MEMBERS_PER_RUN = 1000
 BLOCK = 2500
+FIRST_PARTNERS = 2
 #: Least share of equal values in two signatures of 200 for a comparison: at Jaccard 0.8 the share is 0.8 +- 0.028.
 ALIKE = 0.68
 CACHED_WORDS = 400_000
@@ -151,38 +152,59 @@ def links_percent(percent: int) -> Column:
     return 100 * F.col("common") >= percent * (F.col("id_size") + F.col("pivot_size") - F.col("common"))
 
 
-def alike(signatures: np.ndarray, one: np.ndarray) -> np.ndarray:
-    return (signatures == one).sum(axis=1) >= ALIKE * signatures.shape[1]
+def shares(signatures: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Share of equal values in each signature and one."""
+    return (signatures == one).mean(axis=1)
 
 
-def stars(ids: np.ndarray, components: np.ndarray, signatures: np.ndarray) -> list[tuple[int, int]]:
-    """(id, pivot): in the order of the rows, what is near no pivot yet becomes one and takes all that is near it."""
+def stars(ids: np.ndarray, components: np.ndarray, signatures: np.ndarray) -> list[tuple[int, int, bool]]:
+    """(id, pivot, False): in the order of the rows, what is near no pivot yet becomes one and takes what is near it and not taken.
+
+    A pivot whose near ones are all taken is paired with the nearest of them: whatever is near anything is in a pair.
+    """
     out, taken = [], np.zeros(len(ids), bool)
     for i in range(len(ids)):
         if not taken[i]:
-            near = alike(signatures, signatures[i])
-            near[i] = False
-            out += [(int(j), int(ids[i])) for j in ids[near] if j != ids[i]]
+            share = shares(signatures, signatures[i])
+            share[ids == ids[i]] = 0
+            near = share >= ALIKE
+            fresh = near & ~taken
+            fresh[:i] = False
+            if near.any() and not fresh.any():
+                fresh[np.argmax(share)] = True
+            out += [(int(j), int(ids[i]), False) for j in ids[fresh]]
             taken |= near
     return out
 
 
-def crossings(ids: np.ndarray, components: np.ndarray, signatures: np.ndarray) -> list[tuple[int, int]]:
-    """(id, pivot) of what is near and not in one component."""
-    out = []
-    for i in range(len(ids)):
-        rest = np.flatnonzero(components[i + 1 :] != components[i]) + i + 1
-        if len(rest):
-            out += [(max(int(j), int(ids[i])), min(int(j), int(ids[i]))) for j in ids[rest[alike(signatures[rest], signatures[i])]]]
-    return out
+def crossings(most: int):
+    """(id, pivot, more): for each row and each other component, the ``most`` nearest of what is near; ``more`` if there are others."""
+
+    def pick(ids: np.ndarray, components: np.ndarray, signatures: np.ndarray) -> list[tuple[int, int, bool]]:
+        out = []
+        for i in range(len(ids)):
+            rest = np.flatnonzero(components != components[i])
+            if not len(rest):
+                continue
+            share = shares(signatures[rest], signatures[i])
+            near = np.flatnonzero(share >= ALIKE)
+            near = near[np.lexsort((-share[near], components[rest[near]]))]
+            own = components[rest[near]]
+            place = np.arange(len(own)) - np.searchsorted(own, own)
+            for j, k in zip(rest[near[place < most]], place[place < most]):
+                out.append((max(int(ids[j]), int(ids[i])), min(int(ids[j]), int(ids[i])), False))
+            out += [(int(ids[i]), int(ids[i]), True)] * bool((place >= most).any())
+        return out
+
+    return pick
 
 
 def pairs_in_runs(rows: DataFrame, reps: DataFrame, pick) -> DataFrame:
-    """Distinct (id, pivot) that ``pick`` finds in the runs of ``rows`` (run, id, component), whose signatures are joined in."""
+    """Distinct (id, pivot, more) that ``pick`` finds in the runs of ``rows`` (run, id, component), whose signatures are joined in."""
     signed_rows = rows.join(reps.select(F.col("doc_id").alias("id"), "signature"), "id").select("run", "id", "component", "signature")
     ordered = signed_rows.repartition("run").sortWithinPartitions("run", F.xxhash64("id"), "id")
 
-    def found(held: list[tuple]) -> list[tuple[int, int]]:
+    def found(held: list[tuple]) -> list[tuple[int, int, bool]]:
         if len(held) < 2:
             return []
         ids, components, values = zip(*held)
@@ -191,7 +213,7 @@ def pairs_in_runs(rows: DataFrame, reps: DataFrame, pick) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, mark = [], None
         for batch in batches:
-            out: list[tuple[int, int]] = []
+            out: list[tuple[int, int, bool]] = []
             for key, *row in zip(*[c.to_pylist() for c in batch.columns]):
                 if key != mark:
                     out += found(held)
@@ -200,12 +222,13 @@ def pairs_in_runs(rows: DataFrame, reps: DataFrame, pick) -> DataFrame:
             yield pair_rows(out)
         yield pair_rows(found(held))
 
-    return ordered.mapInArrow(run, "id long, pivot long").distinct()
+    return ordered.mapInArrow(run, "id long, pivot long, more boolean").distinct()
 
 
-def pair_rows(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+def pair_rows(pairs: list[tuple[int, int, bool]]) -> pa.RecordBatch:
     own = sorted(set(pairs))
-    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in own], pa.int64()) for k in range(2)], ["id", "pivot"])
+    kinds = (pa.int64(), pa.int64(), pa.bool_())
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in own], kind) for k, kind in enumerate(kinds)], ["id", "pivot", "more"])
 
 
 def near_links(texts: DataFrame, reps: DataFrame, words: int, percent: int, count: int) -> DataFrame:
@@ -222,22 +245,31 @@ def near_links(texts: DataFrame, reps: DataFrame, words: int, percent: int, coun
     buckets = written(bands.join(filled.select("key", "blocks"), "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "band-buckets")
     heads = filled.where("blocks > 1").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("first.id").alias("id"))
     runs = buckets.select("key", "block", "id").union(heads).distinct()
-    starred = written(pairs_in_runs(runs.select(F.xxhash64("key", "block").alias("run"), "id", F.col("id").alias("component")), reps, stars), "star-pairs")
+    starred = written(pairs_in_runs(runs.select(F.xxhash64("key", "block").alias("run"), "id", F.col("id").alias("component")), reps, stars).select("id", "pivot"), "star-pairs")
     ids = written(starred.select(F.explode(F.array("id", "pivot")).alias("doc_id")).distinct(), "star-members")
     sets = written(shingle_sets(texts, ids, words), "shingle-sets")
     tested = written(compared(sets, starred), "star-compared")
     links = tested.where(links_percent(percent)).select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
 
-    now = written(components(links), "star-components")
-    members = buckets.join(ids.withColumnRenamed("doc_id", "id"), "id").join(now, "id", "left").select("key", "id", "block", "blocks", F.coalesce("component_id", "id").alias("component"))
-    members = written(members, "open-members")
-    open_keys = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    spread = members.join(open_keys, "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = spread.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("run"), "id", "component")
-    crossing = pairs_in_runs(cells, reps, crossings)
-    known = starred.select(F.greatest("id", "pivot").alias("id"), F.least("id", "pivot").alias("pivot")).distinct()
-    more = written(compared(sets, written(crossing.join(known, ["id", "pivot"], "left_anti"), "crossing-pairs")), "crossing-compared")
-    return links.union(more.where(links_percent(percent)).select(F.col("id").alias("a"), F.col("pivot").alias("b")))
+    most = FIRST_PARTNERS
+    known = starred.select(F.greatest("id", "pivot").alias("id"), F.least("id", "pivot").alias("pivot"))
+    at_home = written(buckets.join(ids.withColumnRenamed("doc_id", "id"), "id"), "star-buckets")
+    while True:
+        now = components(links)
+        members = at_home.join(now, "id", "left").select("key", "id", "block", "blocks", F.coalesce("component_id", "id").alias("component"))
+        members = written(members, "open-members")
+        open_keys = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
+        spread = members.join(open_keys, "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        cells = spread.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("run"), "id", "component")
+        crossing = written(pairs_in_runs(cells, reps, crossings(most)), "crossings")
+        fresh = written(crossing.where("id <> pivot").select("id", "pivot").join(known, ["id", "pivot"], "left_anti"), "crossing-pairs")
+        if not fresh.isEmpty():
+            more = written(compared(sets, fresh), "crossing-compared")
+            links = links.union(more.where(links_percent(percent)).select(F.col("id").alias("a"), F.col("pivot").alias("b")))
+            known = known.union(fresh)
+        if crossing.where("more").isEmpty():
+            return links
+        most *= 4
 
 
 def near_documents(docs: DataFrame, words: int = 5, percent: int = PERCENT, count: int = PERMUTATIONS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
