@@ -80,6 +80,7 @@ def pairs_of(text: str) -> list[tuple[str, str | None, str, tuple[int, int]]]:
             floor = end
         elif bare := BARE.match(text, sep.end()):
             out.append((name, bare[1], bare[1], bare.span(1)))
+            floor = bare.end()  # a separator inside a value is part of it
     return out
 
 
