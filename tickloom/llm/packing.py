@@ -30,7 +30,7 @@ from tickloom.llm.common import texts_of, written
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
 END_ID = 0
-CACHED_CHUNKS = 500_000
+CACHED_CHUNKS = 700_000
 CACHED_WORDS = 500_000
 #: Python parts a text at these, the tokenizer doesn't.
 UNUSUAL = "\x1c\x1d\x1e\x1f"
@@ -96,7 +96,8 @@ class Tokens:
         return out
 
     def learned(self, chunks: set[str]) -> dict[str, bytes]:
-        split = {}
+        """Ids of chunks; a chunk whose words are all known is put together at once."""
+        out, open_chunks, known = {}, {}, self.word_cache.young.get
         for chunk in chunks:
             if chunk.isascii():
                 low = chunk.lower()
@@ -104,33 +105,54 @@ class Tokens:
                 whole = chunk if unicodedata.is_normalized("NFC", chunk) else unicodedata.normalize("NFC", chunk)
                 low = whole.lower() if "\u03a3" not in whole else "".join(c.lower() for c in whole)  # the last sigma of a word
             if low.isalpha():
-                split[chunk] = (low,)
-            elif low[-1] in ".,!?;:" and low[:-1].isalpha():
-                split[chunk] = (low[:-1], low[-1])
+                if (ids := known(low)) is not None:
+                    out[chunk] = ids
+                else:
+                    open_chunks[chunk] = (low,)
             else:
-                split[chunk] = PIECES.findall(low)
-        needed = set(chain.from_iterable(split.values()))
+                words = (low[:-1], low[-1]) if low[-1] in ".,!?;:" and low[:-1].isalpha() else PIECES.findall(low)
+                parts = list(map(known, words))
+                if None in parts:
+                    open_chunks[chunk] = words
+                else:
+                    out[chunk] = b"".join(parts)
+        needed = set(chain.from_iterable(open_chunks.values()))
         fresh, found = list(self.word_cache.missing(needed)), {}
         for i in range(0, len(fresh), 20_000):
             found |= self.merged(fresh[i : i + 20_000])
         self.word_cache.learn(found, needed)
         get = self.word_cache.young.__getitem__
-        return {c: b"".join(map(get, words)) for c, words in split.items()}
+        out.update((c, b"".join(map(get, words))) for c, words in open_chunks.items())
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if any(c in t for c in UNUSUAL) else t.split() for t in texts]
         get = self.chunk_cache.young.get
         known = [None if s is None else list(map(get, s)) for s in split]
-        unknown = {c for s, k in zip(split, known) if k is not None and None in k for c, i in zip(s, k) if i is None}
+        gaps = [() if k is None else gaps_of(k) for k in known]
+        unknown = {s[i] for s, g in zip(split, gaps) for i in g}
         if unknown:
             fresh = self.chunk_cache.missing(unknown)
             found = self.learned(fresh)
-            found |= {c: self.chunk_cache.young[c] for c in unknown - fresh}
+            found.update((c, self.chunk_cache.young[c]) for c in unknown - fresh)
             self.chunk_cache.learn(found, unknown)
-            known = [k if k is None or None not in k else [found[c] if i is None else i for c, i in zip(s, k)] for s, k in zip(split, known)]
+            for s, k, g in zip(split, known, gaps):
+                for i in g:
+                    k[i] = found[s[i]]
         return [self.directly(t) if k is None else b"".join(k) for t, k in zip(texts, known)]
 
 
+def gaps_of(values: list) -> list[int]:
+    """Places of None."""
+    out, i = [], -1
+    try:
+        while True:
+            i = values.index(None, i + 1)
+            out.append(i)
+    except ValueError:
+        return out
+
+
 @lru_cache(2)
 def tokens(path: str | None) -> Tokens:
     if path is None:
