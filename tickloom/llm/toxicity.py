@@ -36,7 +36,7 @@ SECOND_PERSON = frozenset("you your yours yourself du dich dir dein deine ihr eu
 LOOKALIKES = str.maketrans("013457@$!|*", "oieastasiix")
 
 WORD = re.compile(r"[^\W\d_]+")
-OBFUSCATED = re.compile(r"[^\W\d_]++[0-9@$!|*]++[^\W\d_]++|[^\W\d_](?:[.\-*_][^\W\d_]){3,}+")
+OBFUSCATED = re.compile(r"(?<![^\W\d_])[^\W\d_]++[0-9@$!|*]++[^\W\d_]++|[^\W\d_](?:[.\-*_][^\W\d_]){3,}+")
 STRETCHED = re.compile(r"([^\W\d_])\1{2,}")
 N_FEATURES = 18
 
