@@ -83,6 +83,43 @@ def test_chunks_return_after_an_insertion():
     assert len(a & b) >= len(a) - 3 and all(e - s >= 2 for s, e, _ in linechunks.chunks_of("\n".join(lines)))
 
 
+def without_passages(texts, words=linechunks.WORDS):
+    """Lines left after removing every run of over so many words that an earlier place has, by trying all runs."""
+    split = {d: t.split("\n") for d, t in texts}
+    runs = [(d, a, b) for d, x in split.items() for a in range(len(x)) for b in range(a + 1, len(x) + 1) if len(" ".join(x[a:b]).split()) > words]
+    first, gone = {}, set()
+    for d, a, b in sorted(runs):
+        body = tuple(split[d][a:b])
+        if first.setdefault(body, (d, a)) != (d, a):
+            gone.update((d, i) for i in range(a, b) if any(split[d][k].strip() for k in range(a, i + 1)) and any(split[d][k].strip() for k in range(i, b)))
+    return {d: [y for i, y in enumerate(x) if (d, i) not in gone] for d, x in split.items()}
+
+
+def test_passages_shared_by_different_documents(spark, monkeypatch):
+    """One to six shared lines in the midst of other lines, of 60 words and of 45; chunks alone leave nearly all of them."""
+    new = lambda k, n: " ".join(f"w{k}_{i}" for i in range(n))
+    texts, shared = [], {}
+    for n in range(1, 7):
+        shared[n] = [new(f"s{n}_{k}", 60 // n) for k in range(n)]
+        short = [new(f"t{n}_{k}", 45 // n) for k in range(n)]
+        for copy in range(2):
+            own = [new(f"o{n}_{copy}_{k}", 9) for k in range(6)]
+            texts.append((10 * n + copy, "\n".join([*own[:2], *shared[n], own[2], "", *short, *own[3:]])))
+    texts += [(900, "\n".join(["x " * 20] * 7 + ["", "", "y"])), (901, "\n".join(["a"] * 30 + ["", " "] + ["b"] * 30)), (902, "\n".join(["a"] * 30 + ["", ""] + ["b"] * 30))]
+    monkeypatch.setattr(linechunks, "repeated_chunks", lambda *a: spark.createDataFrame([], "doc_id long, chunks array<int>"))
+    rows = {r[0]: r[1] for r in linechunks.without_repeats(table(spark, texts)).collect()}
+    for d, lines in without_passages(texts).items():
+        assert rows[d] == "\n".join(lines), d
+    assert all(x not in rows[10 * n + 1].split("\n") and x in rows[10 * n].split("\n") for n in shared for x in shared[n])
+
+
+def test_passages_and_chunks_together(spark):
+    texts = prose(5, 40)
+    before = {r[0]: r[-1] for r in linechunks.deduplicated(table(spark, texts)).collect()}
+    after = {r[0]: (r[1], r[-1]) for r in linechunks.deduplicated(table(spark, texts), passages=True).collect()}
+    assert all(after[d][1] >= n for d, n in before.items()) and sum(n for _, n in after.values()) > sum(before.values())
+
+
 @pytest.mark.parametrize("words", [2, 5])
 def test_near_documents(spark, words):
     texts = prose(words, 90)

@@ -4,6 +4,11 @@ A rolling hash over each two neighbouring line hashes is taken at every line; wh
 neighbours, a chunk ends. Boundaries depend on a few lines around them only, so they return after an insertion, and a
 chunk has two lines at least. Chunks with equal bytes that occur more than once in the whole table are kept where they
 occur first, by (doc_id, place), and removed everywhere else.
+
+Chunks alone miss most passages that two documents share, as a boundary beside the passage changes the chunk around it.
+``without_repeats`` therefore also removes every run of whole lines with over ``WORDS`` words that occurs at an earlier
+(doc_id, line): from each line the shortest run of over ``WORDS`` words that begins there and the shortest that ends
+there are compared. Both depend on their own lines only, and together they cover any longer run.
 """
 
 from __future__ import annotations
@@ -17,6 +22,9 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import numbered, picked, place_of
 
+# Fixed value: a passage has more words than this.
+WORDS = 50
+
 
 def chunk_starts(lines: list[str]) -> list[int]:
     """Places of the lines that begin a chunk, and the end."""
@@ -35,11 +43,43 @@ def chunks_of(text: str) -> list[tuple[int, int, str]]:
     return [(a, b, "\n".join(lines[a:b])) for a, b in zip(cuts, cuts[1:])]
 
 
-def without_chunks(text: str, chunks: list[int]) -> tuple[str, int]:
-    """Text without the numbered chunks, and the count of lines removed."""
+def passages_of(text: str) -> list[tuple[int, int, bytes]]:
+    """(first line, end, key) of the shortest runs of over ``WORDS`` words from and up to each line, each run once.
+
+    A run begins and ends with a line that has a word, so it has at most ``WORDS`` + 1 of these; the key is a 128-bit
+    BLAKE2 hash of the hashes of its lines and of the blank lines between them.
+    """
     lines = text.split("\n")
-    cuts = chunk_starts(lines)
-    gone = {i for c in chunks for i in range(cuts[c], cuts[c + 1])}
+    words = [len(x.split()) for x in lines]
+    full = [i for i, n in enumerate(words) if n]
+    parts, total = [], [0]
+    for i, last in zip(full, [-1, *full]):
+        blank = "\n".join(lines[last + 1 : i])
+        parts += [_key(f"{i - last} {blank}".encode()), _key(lines[i].encode())]
+        total.append(total[-1] + words[i])
+    data, runs, a = b"".join(parts), set(), 0
+    for b in range(len(full)):
+        while total[b + 1] - total[a] > WORDS:  # each line that leaves here has its shortest run up to b
+            runs.add((a, b))
+            a += 1
+        if a and total[b + 1] - total[a - 1] > WORDS:
+            runs.add((a - 1, b))
+    return [(full[a], full[b] + 1, _key(data[32 * a + 16 : 32 * (b + 1)])) for a, b in sorted(runs)]
+
+
+def _key(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
+def without_lines(text: str, chunks: list[int], runs: list[dict[str, int]] = ()) -> tuple[str, int]:
+    """Text without the numbered chunks and the runs of lines, and the count of lines removed."""
+    lines = text.split("\n")
+    cuts = chunk_starts(lines) if chunks else []
+    spans = [(cuts[c], cuts[c + 1]) for c in chunks] + sorted((r["start"], r["end"]) for r in runs)
+    gone, done = set(), 0
+    for a, b in sorted(spans):
+        gone.update(range(max(a, done), b))
+        done = max(done, b)
     return "\n".join(x for i, x in enumerate(lines) if i not in gone), len(gone)
 
 
@@ -64,14 +104,43 @@ def chunk_table(texts: DataFrame, with_bytes: bool) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
+def passage_table(texts: DataFrame) -> DataFrame:
+    """(doc_id, start, end, key) of the runs of lines of a table of (doc_id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if found := passages_of(text):
+                    starts, ends, keys = zip(*found)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([doc] * len(found), pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(keys, pa.binary())],
+                        ["doc_id", "start", "end", "key"])
+
+    return texts.mapInArrow(run, "doc_id long, start int, end int, key binary")
+
+
+def identified(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(doc_id, text) of the rows that have both."""
+    texts = picked(docs, id_column, text_column).toDF("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    return texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
+def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc_id, runs): the runs of lines to remove, (start, end), from each document that has any."""
+    place = F.struct("doc_id", "start")
+    runs = passage_table(identified(docs, id_column, text_column))
+    repeated = runs.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("uses")).where("uses > 1")
+    found = runs.join(repeated.select("key", "first"), "key").where(~place.eqNullSafe(F.col("first")))
+    return found.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("runs"))
+
+
 def repeated_chunks(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, chunks): the numbers of the chunks to remove from each document that has any.
 
     Rows are grouped by the bytes themselves, combined before the shuffle, so equality is that of the bytes. The short
     keys only carry the answer back; two different chunks of one key would both be left alone.
     """
-    texts = picked(docs, id_column, text_column).toDF("doc_id", "text").where(F.col("doc_id").isNotNull() & (F.instr("text", "\n") > 0))
-    texts = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = identified(docs, id_column, text_column).where(F.instr("text", "\n") > 0)
     place = F.struct("doc_id", "chunk")
     by_bytes = chunk_table(texts, True).groupBy("bytes").agg(F.min(place).alias("first"), F.count("*").alias("uses"), F.first("key").alias("key"))
     repeated = by_bytes.where("uses > 1").groupBy("key").agg(F.first("first").alias("first"), F.count("*").alias("texts")).where("texts = 1")
@@ -79,23 +148,28 @@ def repeated_chunks(docs: DataFrame, id_column: str = "doc_id", text_column: str
     return found.groupBy("doc_id").agg(F.collect_set("chunk").alias("chunks"))
 
 
-def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """All columns and rows of ``docs`` with repeated chunks removed from the text, and counts of lines.
+def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", passages: bool = False) -> DataFrame:
+    """All columns and rows of ``docs`` with repeated chunks, and ``passages`` if asked, removed from the text, and counts of lines.
 
     Adds ``n_lines`` and ``n_removed``. A null text stays null and has no lines; an empty text has one line. Rows that
     share a doc_id count as one document read once per row: a chunk is kept at its smallest place, in every such row.
     Rows with a null id lose nothing and make no other row lose a chunk. An empty table gives an empty one. Other columns stay as they are, whatever their names.
     """
-    removed = repeated_chunks(docs, id_column, text_column).toDF("gone_id", "gone")
+    removed = repeated_chunks(docs, id_column, text_column)
+    if passages:
+        both = removed.unionByName(repeated_passages(docs, id_column, text_column), allowMissingColumns=True)
+        removed = both.groupBy("doc_id").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("chunks", "runs")])
+    names = removed.columns[1:]
+    removed = removed.toDF("gone_id", *[f"gone_{c}" for c in names])
     plain = numbered(docs)
     joined = plain.join(removed, F.col(f"c{place_of(docs, id_column)}").cast("long") == F.col("gone_id"), "left").drop("gone_id")
-    schema = joined.drop("gone").withColumns({"n_lines": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long")}).schema
+    schema = joined.drop(*[f"gone_{c}" for c in names]).withColumns({"n_lines": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long")}).schema
     at, gone_at = place_of(docs, text_column), len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, gone = batch.column(at).to_pylist(), batch.column(gone_at).to_pylist()
-            made = [(t, 0) if t is None or not c else without_chunks(t, c) for t, c in zip(texts, gone)]
+            texts, *gone = [batch.column(k).to_pylist() for k in (at, *range(gone_at, gone_at + len(names)))]
+            made = [(t, 0) if t is None or not any(c) else without_lines(t, *[x or [] for x in c]) for t, *c in zip(texts, *gone)]
             columns = list(batch.columns[:gone_at])
             columns[at] = pa.array([t for t, _ in made], columns[at].type)
             lines = [0 if t is None else t.count("\n") + 1 for t in texts]
@@ -106,16 +180,25 @@ def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """The same rows and columns with repeated chunks removed, and ``n_chars`` counted anew."""
-    plain = numbered(deduplicated(docs))
+    """The same rows and columns with repeated chunks and passages removed, and ``n_chars`` counted anew."""
+    plain = numbered(deduplicated(docs, passages=True))
     text = F.col(f"c{place_of(docs, 'text')}")
     counts = {f"c{i}": F.length(text).cast(docs.schema[i].dataType) for i, c in enumerate(docs.columns) if c.lower() == "n_chars"}
     return plain.withColumns(counts).select(*[f"c{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
 
 
+def _kept(docs: DataFrame, passages: bool) -> DataFrame:
+    return deduplicated(docs.select("doc_id", "text"), passages=passages).select(
+        "doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_kept"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return deduplicated(docs).select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_kept"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+    return _kept(spark.read.parquet(f"{sf_dir}/documents.parquet"), False)
+
+
+def op8_line_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line_dedup stage of the pipeline: chunks and passages."""
+    return _kept(spark.read.parquet(f"{sf_dir}/documents.parquet"), True)
 
 
 OP8_SQL = r"""

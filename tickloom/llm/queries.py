@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tickloom.llm.bpe import op2_byte_bpe
 from tickloom.llm.embeddings import op9_embedding_near_dedup
-from tickloom.llm.linechunks import OP8_SQL, op8_line_chunks
+from tickloom.llm.linechunks import OP8_SQL, op8_line_chunks, op8_line_passages
 from tickloom.llm.minmax import op10_min_max
 from tickloom.llm.packing import op4_best_fit_packing
 from tickloom.llm.pii import op6_personal_data
@@ -22,6 +22,7 @@ QUERIES = {
     "op6_personal_data": op6_personal_data,
     "op7_spot_signatures": op7_spot_signatures,
     "op8_line_chunks": op8_line_chunks,
+    "op8_line_passages": op8_line_passages,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_min_max": op10_min_max,
 }
