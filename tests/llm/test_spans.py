@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 from array import array
 
 import public_tokenizers
@@ -65,6 +66,27 @@ def test_assignments_are_followed():
     assert spans == ['k9Xz" + "77qLmT2p', "hunter2-9x"]
 
 
+@pytest.mark.parametrize("text", ["https://host/p?access_key=Ab12Cd34Ef56", "env: DB_PWD=Xk93jfQ2z", "run: passphrase: Xk93jfQ2z", "a:b=c:private_key=Xk93jfQ2z"])
+def test_assignments_nested_in_values(text):
+    assert [text[a:b] for a, b in secrets.named_spans(text)] == [re.split("[=: ]+", text)[-1]]
+
+
+def test_nested_values_score_as_alone():
+    rng = random.Random(0)
+    for _ in range(300):
+        text = "".join(rng.choices(["pwd=", "credential:", "x", "aB3", "k9", "/", ":", "==", "é", "zq"], k=rng.randint(3, 25)))
+        begins = [m.end() for m in re.finditer("[=:]", text) if m.end() < len(text)]
+        for (a, b), score in secrets.tail_scores(text, begins, len(text)).items():
+            assert abs(score - secrets.literal_score(text[a:b])) < 1e-8
+
+
+def test_nested_runs_are_linear():
+    for t in ("pwd=" * 100_000, "pwd=x1:" * 100_000 + "Xk93jfQ2z", "pwd: " * 100_000, "passphrase=='" * 50_000):
+        start = time.monotonic()
+        secrets.find_secrets(t)
+        assert time.monotonic() - start < 20
+
+
 def test_added_personal_kinds_and_mask():
     text = "IBAN: GB82 WEST 1234 5698 7654 32, SSN 123-45-6789, https://me:pw@host.example/x, a.b@c.de!"
     found = pii.find_personal(text)

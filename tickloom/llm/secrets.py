@@ -26,6 +26,7 @@ SENSITIVE = {
     "private_key": 1.0, "access_key": 1.0, "auth_key": 0.9, "signing_key": 0.9, "encryption_key": 0.9, "credential": 0.9, "credentials": 0.9, "bearer": 0.8,
 }
 PLACEHOLDERS = frozenset("changeme password secret token none null true false example your_password your_token redacted".split())
+PREFIXES = ("${", "{{", "<", "%(", "//", "/")  # of templates and paths
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
@@ -61,14 +62,18 @@ def name_before(text: str, at: int, floor: int) -> str:
     return text[start:end]
 
 
-def pairs_of(text: str) -> list[tuple[str, str | None, str, tuple[int, int]]]:
-    """(name, reference or None, literal, span) of each assignment, in order."""
-    out, floor = [], 0
+def pairs_of(text: str) -> list[tuple[str, str | None, str | None, tuple[int, int]]]:
+    """(name, reference or None, literal, span) of each assignment, in order, those nested in a bare value included.
+
+    The end of a bare token is found once for all separators in it. A value that holds further separators is given by
+    its span alone, its literal None: it can't be a reference, and slices of it would add up to the square of its length.
+    """
+    out, floor, stop, last = [], 0, 0, 0
     for sep in SEPARATOR.finditer(text):
         if sep[0] in ("==", "!=", "<=", ">=") or sep.start() < floor:
             continue
         name = name_before(text, sep.start(), floor)
-        floor = sep.end()
+        floor = begin = sep.end()
         if not name:
             continue
         if first := QUOTED.match(text, sep.end()):
@@ -78,9 +83,14 @@ def pairs_of(text: str) -> list[tuple[str, str | None, str, tuple[int, int]]]:
                 span, end = (span[0], more.end(2)), more.end()
             out.append((name, None, "".join(parts), span))
             floor = end
-        elif bare := BARE.match(text, sep.end()):
-            out.append((name, bare[1], bare[1], bare.span(1)))
-            floor = bare.end()  # a separator inside a value is part of it
+            continue
+        if begin >= stop:
+            if not (bare := BARE.match(text, begin)):
+                continue
+            begin, stop = bare.span(1)
+            last = max(text.rfind(":", begin, stop), text.rfind("=", begin, stop))
+        value = None if begin <= last else text[begin:stop]
+        out.append((name, value, value, (begin, stop)))
     return out
 
 
@@ -94,19 +104,48 @@ def name_score(name: str) -> float:
 def literal_score(value: str) -> float:
     """How much a value looks like a secret: its length and the entropy of its characters, 0 for placeholders."""
     low = value.lower()
-    if len(value) < 6 or " " in value or low in PLACEHOLDERS or value.startswith(("${", "{{", "<", "%(", "//", "/")) or len(set(value)) < 4:
+    if len(value) < 6 or " " in value or low in PLACEHOLDERS or value.startswith(PREFIXES) or len(set(value)) < 4:
         return 0.0
     bits = -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
     return min(1.0, bits / 3.0) * (1.0 if any(c.isdigit() or not c.isalnum() for c in value) else 0.6)
 
 
+def tail_scores(text: str, begins: list[int], stop: int) -> dict[tuple[int, int], float]:
+    """``literal_score`` of the values that begin at ``begins``, in order, and all end at ``stop``: one pass from the end."""
+    out, counts, total, mixed, at = {}, Counter(), 0.0, False, stop
+    weigh = lambda n: n * math.log2(n) if n else 0.0
+    for begin in reversed(begins):
+        for c in reversed(text[begin:at]):
+            counts[c] += 1
+            total += weigh(counts[c]) - weigh(counts[c] - 1)
+            mixed = mixed or c.isdigit() or not c.isalnum()
+        at, size = begin, stop - begin
+        if size < 6 or text.startswith(PREFIXES, begin) or len(counts) < 4:
+            out[begin, stop] = 0.0
+        else:
+            out[begin, stop] = min(1.0, round(math.log2(size) - total / size, 9) / 3.0) * (1.0 if mixed else 0.6)
+    return out
+
+
 def named_spans(text: str, least: float = 0.6) -> list[tuple[int, int]]:
     """Literals that reach a sensitive name, directly or through constants; each literal once."""
     if "=" not in text and ":" not in text:
         return []
     constants: dict[str, tuple[str, tuple[int, int]]] = {}
     found: set[tuple[int, int]] = set()
-    for name, reference, literal, span in pairs_of(text):
+    pairs = pairs_of(text)
+    nested: dict[int, list[int]] = {}
+    for name, _, literal, (begin, stop) in pairs:
+        if literal is None and name_score(name) > 0:
+            nested.setdefault(stop, []).append(begin)
+    scores: dict[tuple[int, int], float] = {}
+    for stop, begins in nested.items():
+        scores |= tail_scores(text, begins, stop)
+    for name, reference, literal, span in pairs:
+        if literal is None:
+            if name_score(name) * scores.get(span, 0.0) >= least:
+                found.add(span)
+            continue
         value, place = (literal, span) if reference is None else constants.get(reference, (literal, span))
         if name_score(name) * literal_score(value) >= least:
             found.add(place)
