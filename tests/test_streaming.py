@@ -1,4 +1,5 @@
 import os
+import random
 from datetime import datetime, timedelta
 
 import pandas as pd
@@ -72,6 +73,54 @@ def test_once_per_period(spark, batches, cut):
     assert abs(jobs.hit_ratio(kept, spark.range(len(rows))).first()["hit_ratio"] - (1 - len(expected) / len(rows))) < 1e-12
 
 
+class Handle:
+    """State of one key in memory."""
+
+    def __init__(self):
+        self.value = None
+
+    def getValueState(self, *_):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def listTimers(self):
+        return []
+
+    def registerTimer(self, _):
+        pass
+
+
+def test_a_hot_key_is_not_held_at_once(monkeypatch):
+    """Chunks of a key in any order are never put together beyond a run, and ties are broken across runs."""
+    monkeypatch.setattr(stateful, "RUN_ROWS", 100, raising=False)
+    largest, concat = [], pd.concat
+    monkeypatch.setattr(stateful.pd, "concat", lambda parts: largest.append(sum(map(len, parts := list(parts)))) or concat(parts))
+    rng = random.Random(4)
+    for period in (5, 400):
+        rows = [(i, START + timedelta(seconds=rng.randrange(9000))) for i in rng.sample(range(10_000), 3000)]
+        keeper = stateful.OncePerPeriod(period, "ts", ["id"])
+        keeper.init(Handle())
+        got, half = [], START + timedelta(seconds=4500)
+        for batch in ([r for r in rows if r[1] < half], [r for r in rows if r[1] >= half]):
+            chunks = (pd.DataFrame(batch[k : k + 30], columns=["id", "ts"]) for k in range(0, len(batch), 30))
+            got += [i for table in keeper.handleInputRows(("k",), chunks, None) for i in table["id"]]
+        expected, last = [], None
+        for i, at in sorted(rows, key=lambda r: (r[1], r[0])):
+            if last is None or (at - last).total_seconds() > period:
+                expected.append(i)
+                last = at
+        assert sorted(got) == sorted(expected)
+    assert max(largest) < 200
+
+
 def test_push_ignores_older_rows(batches, tmp_path):
     rows = batches([(0, "a", 100, 1), (1, "b", 10, 1)], [(2, "a", 50, 2), (3, "b", 20, 3)]).drop("id")
     table = jobs.push_latest(rows, ["key"], "ts", f"{tmp_path}/out/latest")

@@ -6,8 +6,13 @@ series follows the clock and not its number of samples.
 
 from __future__ import annotations
 
+import heapq
+import itertools
+import pickle
+import tempfile
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +22,8 @@ from tickloom.streaming.jobs import METRIC_DELAY
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Rows of a key that are held and sorted at once; more are sorted in runs on disk.
+RUN_ROWS = 200_000
 EVENTS = "series string, state string, since timestamp, at timestamp"
 
 
@@ -120,6 +127,43 @@ class Silence(StatefulProcessor):
         pass
 
 
+class _Run:
+    """Sorted rows of a key."""
+
+    def __init__(self, table: pd.DataFrame, ts: str) -> None:
+        self.table, self.times = table, table[ts].to_numpy().astype("datetime64[us]").astype("int64")
+
+    def rank(self, k: int) -> tuple:
+        return ()
+
+    def rows(self, places: list[int]) -> pd.DataFrame:
+        return self.table.iloc[places]
+
+
+class _StoredRun(_Run):
+    """One of several runs, in local files; the times and the places of what breaks ties are mapped, not held."""
+
+    def __init__(self, path: str, table: pd.DataFrame, ts: str, order: list[str]) -> None:
+        super().__init__(table, ts)
+        self.path, starts = path, np.zeros(len(table), np.int64)
+        table.to_pickle(f"{path}.rows")
+        with open(f"{path}.ranks", "wb") as out:
+            for k, values in enumerate(zip(*[table[c] for c in order]) if order else [()] * len(table)):
+                starts[k] = out.tell()
+                pickle.dump(tuple((bool(pd.isna(v)), None if pd.isna(v) else v) for v in values), out)
+        np.save(f"{path}.times.npy", self.times)
+        np.save(f"{path}.starts.npy", starts)
+        self.table, self.times, self.starts = None, *[np.load(f"{path}.{x}.npy", mmap_mode="r") for x in ("times", "starts")]
+
+    def rank(self, k: int) -> tuple:
+        with open(f"{self.path}.ranks", "rb") as f:
+            f.seek(self.starts[k])
+            return pickle.load(f)
+
+    def rows(self, places: list[int]) -> pd.DataFrame:
+        return pd.read_pickle(f"{self.path}.rows").iloc[places]
+
+
 class OncePerPeriod(StatefulProcessor):
     """Keeps a row when the last kept one of its key is older than the period; the key is forgotten once no row can hit it."""
 
@@ -132,18 +176,61 @@ class OncePerPeriod(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         kept = pd.Timestamp(self.memory.get()[0]) if self.memory.exists() else None
-        table = pd.concat(list(rows)).sort_values([self.ts, *self.order], kind="stable").reset_index(drop=True)
-        take = []
-        for i, at in enumerate(table[self.ts]):
-            if kept is None or at - kept > self.period:
-                take.append(i)
-                kept = at
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(_millis(kept + self.period) + 1)
-        self.memory.update((kept.to_pydatetime(),))
-        if take:
-            yield table.iloc[take]
+        tables = self._sorted(rows, kept)
+        begun = list(itertools.islice(tables, 2))
+        if len(begun) < 2:
+            runs = [_Run(table, self.ts) for table in begun]
+            places, newest = self._first_of_periods(runs)
+            yield from (run.rows(taken) for run, taken in zip(runs, places))
+        else:
+            with tempfile.TemporaryDirectory() as folder:
+                runs = [_StoredRun(f"{folder}/{i}", table, self.ts, self.order) for i, table in enumerate(itertools.chain(begun, tables))]
+                places, newest = self._first_of_periods(runs)
+                yield from (run.rows(taken) for run, taken in zip(runs, places) if taken)
+        if newest is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(_millis(newest + self.period) + 1)
+            self.memory.update((newest.to_pydatetime(),))
+
+    def _sorted(self, rows: Iterator[pd.DataFrame], kept: pd.Timestamp | None) -> Iterator[pd.DataFrame]:
+        """Sorted runs of at most about ``RUN_ROWS`` rows; answered rows and all but the first of a time are left out."""
+        held, size = [], 0
+
+        def run() -> pd.DataFrame:
+            return pd.concat(held).sort_values([self.ts, *self.order], kind="stable").drop_duplicates(self.ts).reset_index(drop=True)
+
+        for table in rows:
+            table = table[table[self.ts].notna() if kept is None else table[self.ts] - kept > self.period]
+            if len(table):
+                held.append(table)
+                size += len(table)
+            if size >= RUN_ROWS:
+                held = [run()]
+                size = len(held[0])
+                if size >= RUN_ROWS // 2:
+                    yield held.pop()
+                    size = 0
+        if held:
+            yield run()
+
+    def _first_of_periods(self, runs: list[_Run]) -> tuple[list[list[int]], pd.Timestamp | None]:
+        """Places in each run of the rows to keep, by a merge that skips what a kept row answers, and the newest kept time."""
+        places: list[list[int]] = [[] for _ in runs]
+        period, until, newest = self.period.value // 1000, None, None
+        heads = [(run.times[0], run.rank(0), i, 0) for i, run in enumerate(runs)]
+        heapq.heapify(heads)
+        while heads:
+            at, _, i, k = heads[0]
+            if until is None or at > until:
+                places[i].append(k)
+                until, newest = at + period, at
+            k = int(np.searchsorted(runs[i].times, until, "right"))
+            if k < len(runs[i].times):
+                heapq.heapreplace(heads, (runs[i].times[k], runs[i].rank(k), i, k))
+            else:
+                heapq.heappop(heads)
+        return places, None if newest is None else pd.Timestamp(int(newest), unit="us")
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.memory.clear()
@@ -185,8 +272,10 @@ def once_per_period(requests: DataFrame, key: list[str], ts: str, period_seconds
     """Requests that a result kept for ``period_seconds`` does not answer: the first of each key, and then each that is
     more than the period later than the last one kept.
 
-    Rows of a key are taken in event-time order, ties by ``order``; the result does not depend on how they fall into
-    batches, as long as they are no later than ``delay``. The state is one time per key seen within the period.
+    Rows of a key in a batch are taken in event-time order, ties by ``order``; beyond ``RUN_ROWS`` they are sorted in runs
+    on local disk. Kept rows leave at once, so a row counts as answered when it comes in a later batch than a newer kept row
+    of its key: the result does not depend on how rows fall into batches as long as each key's batches are in order.
+    The state is one time per key seen within the period.
     """
     use_rocksdb(requests.sparkSession)
     return requests.withWatermark(ts, delay).groupBy(*key).transformWithStateInPandas(
