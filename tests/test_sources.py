@@ -117,6 +117,20 @@ def test_upsert_rewrites_only_touched_months(spark, tmp_path):
     assert before == february() and len(before) == 1
 
 
+def test_values_beyond_the_stored_type(spark, tmp_path):
+    """They go to quarantine with their row, and are counted; nothing becomes null unseen. NaN is missing."""
+    path, at = f"{tmp_path}/features", datetime(2024, 1, 6)
+    names = "ticker string, date date, macd_line double, price_range_pct double, computed_at timestamp_ntz"
+    rows = [("A", date(2024, 1, 5), 1.5, 2.0, at), ("B", date(2024, 1, 5), 250.0, 1200.0, at), ("C", date(2024, 1, 5), float("nan"), None, at)]
+    for _ in range(2):
+        assert sinks.upsert(spark, spark.createDataFrame(rows, names), path, schemas.TECHNICAL) == 1
+    table = {r["ticker"]: r["macd_line"] for r in sinks.read_table(spark, path, schemas.TECHNICAL).collect()}
+    assert table == {"A": 1.5, "C": None}
+    kept = spark.read.parquet(f"{path}_quarantine").collect()
+    assert [(r["ticker"], r["macd_line"], r["price_range_pct"]) for r in kept] == [("B", 250.0, 1200.0)]
+    assert kept[0]["validation_error"] == "Value outside the stored type: macd_line, price_range_pct"
+
+
 def test_retention(spark, bars, tmp_path):
     months = sinks.archive_expired(bars, f"{tmp_path}/old", date(2020, 9, 1), 120)
     assert months == ["2020-01", "2020-02", "2020-03", "2020-04"]

@@ -36,10 +36,12 @@ def ingest(spark: SparkSession, config: DailyConfig, landed: DataFrame, tickers:
     picked = landed if tickers is None else landed.where(F.col("ticker").isin(list(tickers)))
     checked = stored(validate.validate_bars(fill_defaults(picked), config.limits), "checked")
     bad = F.col("validation_error").isNotNull()
-    inserted = sinks.append_if_absent(spark, checked.where(~bad).drop("validation_error"), config.table("raw_market_data"))
+    table = config.table("raw_market_data")
+    good, rejected = sinks.storable(spark, checked.where(~bad).drop("validation_error"), table, schemas.RAW_BARS, ("ingested_at", "updated_at"))
+    inserted = sinks.append_if_absent(spark, good, table)
     sinks.append_new_rows(spark, checked.where(bad), config.table("quarantine"))
     stats = validate.ingestion_stats(checked).first().asDict()
-    return {**stats, "inserted_records": inserted}
+    return {**stats, "inserted_records": inserted, "rejected_bars": rejected}
 
 
 def judge(spark: SparkSession, config: DailyConfig, day: date, inserted: int | None = None) -> float:
@@ -52,11 +54,12 @@ def judge(spark: SparkSession, config: DailyConfig, day: date, inserted: int | N
     return validate.quality_gate(validate.quality_summary(quality), inserted, config.quality_threshold)
 
 
-def indicators(spark: SparkSession, config: DailyConfig, day: date) -> DataFrame:
+def indicators(spark: SparkSession, config: DailyConfig, day: date, stats: dict | None = None) -> DataFrame:
     """Indicators of the bars after the stored ones into the feature table.
 
     Stored rows stay as they are. The bars read go back ``warm_up_days`` before the first new date, so that the longest
-    window is full and the exponential averages have forgotten where they began.
+    window is full and the exponential averages have forgotten where they began. ``stats`` gets ``rejected_features``, the
+    count of rows with a value that the table cannot hold.
     """
     raw = sinks.read_table(spark, config.table("raw_market_data"), schemas.RAW_BARS)
     kept = sinks.read_table(spark, config.table("feature_technical_indicators"), schemas.TECHNICAL)
@@ -64,7 +67,9 @@ def indicators(spark: SparkSession, config: DailyConfig, day: date) -> DataFrame
     bars = validate.newest_wins(raw.limit(0).drop(sinks.MONTH), readers.recent(raw, day, span).drop(sinks.MONTH), ("ticker", "date"), "source")
     rows = readers.recent(technical_features(bars), day, config.lookback_days).join(kept.select("ticker", "date"), ["ticker", "date"], "left_anti")
     stamped = rows.withColumns({"computed_at": F.current_timestamp().cast("timestamp_ntz"), "feature_version": F.lit(1)})
-    sinks.upsert(spark, stamped, config.table("feature_technical_indicators"), schemas.TECHNICAL)
+    rejected = sinks.upsert(spark, stamped, config.table("feature_technical_indicators"), schemas.TECHNICAL)
+    if stats is not None:
+        stats["rejected_features"] = rejected
     return sinks.read_table(spark, config.table("feature_technical_indicators"), schemas.TECHNICAL)
 
 
@@ -83,7 +88,7 @@ def run_daily(spark: SparkSession, config: DailyConfig, landed: DataFrame, day:
     try:
         stats = ingest(spark, config, landed, tickers)
         stats["avg_quality_score"] = judge(spark, config, day, stats["inserted_records"])
-        indicators(spark, config, day)
+        indicators(spark, config, day, stats)
         describe(spark, config, features)
         return stats
     except Exception as e:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,3 +80,16 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[
         (F.col(f.name) if f.name in df.columns else F.lit(None)).try_cast(f.dataType).alias(f.name) for f in schema
     ])
+
+
+def lost(df: DataFrame, schema: T.StructType) -> Column:
+    """Names of the columns whose value ``conform`` would turn into null; NaN counts as missing already."""
+
+    def name(f: T.StructField) -> Column:
+        given = F.col(f.name).isNotNull()
+        if isinstance(df.schema[f.name].dataType, (T.DoubleType, T.FloatType)):
+            given &= ~F.isnan(f.name)
+        return F.when(given & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+
+    names = [name(f) for f in schema if f.name in df.columns and df.schema[f.name].dataType != f.dataType]
+    return F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.operators.validate import insert_candidates, newest_wins
-from tickloom.session import work_folder
+from tickloom.session import stored, work_folder
 from tickloom.sources import schemas
 
 MONTH = "month"
@@ -62,9 +62,26 @@ def observed(seen: Observation, name: str) -> int:
         return 0
 
 
+def storable(spark: SparkSession, new: DataFrame, path: str, schema: T.StructType, ignored: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+    """The rows whose values all fit the schema, and the count of the others; these go to ``<path>_quarantine`` as they are.
+
+    ``ignored`` columns, such as the time of the run, are left out there, so that a repeated run adds nothing.
+    """
+    checked = stored(new.withColumn("__lost", schemas.lost(new, schema)), "storable")
+    bad = checked.where(F.size("__lost") > 0)
+    if count := bad.count():
+        error = F.concat(F.lit("Value outside the stored type: "), F.array_join("__lost", ", "))
+        append_new_rows(spark, bad.withColumn("validation_error", error).drop("__lost", *ignored), f"{path.rstrip('/')}_quarantine")
+    return checked.where(F.size("__lost") == 0).drop("__lost"), count
+
+
 def append_if_absent(spark: SparkSession, new: DataFrame, path: str, schema: T.StructType = schemas.RAW_BARS,
                      keys: tuple[str, ...] = BAR_KEY) -> int:
-    """Insert rows whose key is not stored; returns how many were inserted. A second run inserts none."""
+    """Insert rows whose key is not stored; returns how many were inserted. A second run inserts none.
+
+    Rows with a value that the schema cannot hold go to ``<path>_quarantine``.
+    """
+    new, _ = storable(spark, new, path, schema, ("ingested_at", "updated_at"))
     months = _touched_months(new, "date")
     existing = read_table(spark, path, schema).where(F.col(MONTH).isin(months))
     seen = Observation("inserted")
@@ -87,17 +104,21 @@ def append_new_rows(spark: SparkSession, new: DataFrame, path: str) -> None:
 
 
 def upsert(spark: SparkSession, new: DataFrame, path: str, schema: T.StructType, keys: tuple[str, ...] = ("ticker", "date"),
-           version: str = "computed_at") -> None:
+           version: str = "computed_at") -> int:
     """Insert or replace by key, the greatest ``version`` winning. Only the months of the batch are rewritten.
 
+    Rows with a value that the schema cannot hold go to ``<path>_quarantine``; returns how many.
+
     The merged months are written to the shared work folder first, because a table cannot be read and replaced in
     one job; a run that fails before the second write leaves the table as it was.
     """
+    new, rejected = storable(spark, new, path, schema, (version,))
     months = _touched_months(new, "date")
     existing = read_table(spark, path, schema).where(F.col(MONTH).isin(months)).drop(MONTH)
     staged = work_folder(spark, "upsert")
     newest_wins(existing, schemas.conform(new, schema), keys, version).write.parquet(staged)
     write_by_month(spark.read.schema(schema).parquet(staged), path, "overwrite")
+    return rejected
 
 
 def write_splits(df: DataFrame, path: str, fmt: str = "csv") -> None:
