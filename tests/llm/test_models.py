@@ -170,7 +170,7 @@ def test_stages(spark, tmp_path):
     import corpus_pipeline
 
     texts, labels = labelled(400)
-    twin = [(1000, texts[1][1] + " more"), (1001, "call +1 (234) 555-6789 now " + texts[2][1])]
+    twin = [(1000, texts[1][1] + " more"), (1001, "call +1 (234) 555-6789 now or write to nobody about the green boat that left this harbour at noon")]
     rows = [(d, t, "en", "s", len(t)) for d, t in texts + twin] + [(2000, None, None, None, None), (2001, "", "en", "s", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
@@ -183,8 +183,8 @@ def test_stages(spark, tmp_path):
             assert docs.columns == before.columns
     toxic = {d for d, _, t in labels if t}
     ids = lambda n: {r.doc_id for r in seen[n].select("doc_id").collect()}
-    assert len(ids("toxicity") & toxic) <= 2 and {1, 2, 1000, 2000, 2001} <= ids("toxicity")
-    assert ids("line_dedup") == ids("toxicity") and 1000 not in ids("near_dedup") and {1, 2000, 2001} <= ids("near_dedup")
+    assert len(ids("toxicity") & toxic) <= 2 and {1, 2, 1000, 1001, 2000, 2001} <= ids("toxicity")
+    assert ids("line_dedup") == ids("toxicity") and 1000 not in ids("near_dedup") and {1, 1001, 2000, 2001} <= ids("near_dedup")
     masked = {r.doc_id: r for r in seen["pii"].collect()}
     assert masked[1001].text.startswith("call [PHONE] now") and masked[1001].n_chars == len(masked[1001].text) and masked[2000].text is None
     assert ids("packing") == ids("near_dedup") and corpus_pipeline.run(spark, str(tmp_path)).count() == seen["packing"].count()
