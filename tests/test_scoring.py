@@ -32,7 +32,7 @@ def test_batch(spark):
     rng = np.random.RandomState(1)
     good = rng.randn(20, 30) * 3
     rows = [(f"T{i}", v.tolist()) for i, v in enumerate(good)] + [("bad", [1.0]), ("nan", [float("nan")] * 30), ("huge", [1e9] + [0.0] * 29), ("flat", [0.001] * 30)]
-    layers = rule_layers()
+    layers = rule_layers((30, 64, 32, 1))
     got = {r["ticker"]: r for r in scoring.score_batch(spark.createDataFrame(rows, SCHEMA).repartition(3), layers).collect()}
     for i, p in enumerate(scoring.forward(good, layers)):
         assert abs(got[f"T{i}"]["predicted_price"] - p) < 1e-9 and got[f"T{i}"]["confidence"] == 0.85

@@ -47,7 +47,7 @@ def ingest(spark: SparkSession, config: DailyConfig, landed: DataFrame, tickers:
 def judge(spark: SparkSession, config: DailyConfig, day: date, inserted: int | None = None) -> float:
     """Quality rows of a day into the quality table, then the gate on their mean score."""
     raw = sinks.read_table(spark, config.table("raw_market_data"), schemas.RAW_BARS)
-    recent = readers.recent(raw, day, config.lookback_days)
+    recent = readers.recent(raw, day, config.lookback_days, until=day)
     quality = stored(validate.quality_metrics(recent, config.limits).where(F.col("date") == F.lit(day)), "quality")
     sinks.upsert(spark, quality.withColumn("validated_at", F.current_timestamp().cast("timestamp_ntz")), config.table("data_quality_metrics"),
                  schemas.QUALITY, version="validated_at")
@@ -64,8 +64,8 @@ def indicators(spark: SparkSession, config: DailyConfig, day: date, stats: dict
     raw = sinks.read_table(spark, config.table("raw_market_data"), schemas.RAW_BARS)
     kept = sinks.read_table(spark, config.table("feature_technical_indicators"), schemas.TECHNICAL)
     span = config.lookback_days + config.warm_up_days
-    bars = validate.newest_wins(raw.limit(0).drop(sinks.MONTH), readers.recent(raw, day, span).drop(sinks.MONTH), ("ticker", "date"), "source")
-    rows = readers.recent(technical_features(bars), day, config.lookback_days).join(kept.select("ticker", "date"), ["ticker", "date"], "left_anti")
+    bars = validate.newest_wins(raw.limit(0).drop(sinks.MONTH), readers.recent(raw, day, span, until=day).drop(sinks.MONTH), ("ticker", "date"), "source")
+    rows = readers.recent(technical_features(bars), day, config.lookback_days, until=day).join(kept.select("ticker", "date"), ["ticker", "date"], "left_anti")
     stamped = rows.withColumns({"computed_at": F.current_timestamp().cast("timestamp_ntz"), "feature_version": F.lit(1)})
     rejected = sinks.upsert(spark, stamped, config.table("feature_technical_indicators"), schemas.TECHNICAL)
     if stats is not None:

@@ -151,6 +151,14 @@ def recent_bars(spark, folder):
     return readers.recent(datasets.bars(spark, folder), AS_OF, 200).select("ticker", "date", "close", "volume", "high", "low")
 
 
+@query("recent_bars_until", f"""{BARS} SELECT {KEY}, close, volume, high, low FROM bars
+  WHERE bars.date BETWEEN DATE '1998-06-01' - 200 AND DATE '1998-06-01'""")
+def recent_bars_until(spark, folder):
+    """The same for a run of an earlier day."""
+    day = date(1998, 6, 1)
+    return readers.recent(datasets.bars(spark, folder), day, 200, until=day).select("ticker", "date", "close", "volume", "high", "low")
+
+
 @query("bars_by_parameter", f"""{BARS} SELECT {KEY}, sector, open, high, low, close, volume FROM bars
   WHERE ticker = 'NATION_3' AND bars.date = DATE '1998-06-01'""")
 def bars_by_parameter(spark, folder):

@@ -155,13 +155,16 @@ def absent_tickers(spark: SparkSession, folder: str, tickers: Sequence[str]) ->
     return asked.join(there, "ticker", "left_anti").withColumn("reason", F.lit("no file, or an empty one"))
 
 
-def recent(df: DataFrame, as_of: date, days: int = 200, date_column: str = "date", month_column: str = "month") -> DataFrame:
-    """Rows of the last ``days`` days up to ``as_of``. In a table stored by month, months outside are not read."""
+def recent(df: DataFrame, as_of: date, days: int = 200, until: date | None = None, date_column: str = "date", month_column: str = "month") -> DataFrame:
+    """Rows from ``days`` days before ``as_of`` on, up to ``until`` if that is given. In a table stored by month, months outside are not read."""
     first = as_of - timedelta(days=days)
-    rows = df.where((F.col(date_column) >= F.lit(first)) & (F.col(date_column) <= F.lit(as_of)))
-    if month_column not in df.columns:
+    by_month = month_column in df.columns
+    rows = df.where(F.col(date_column) >= F.lit(first))
+    rows = rows.where(F.col(month_column) >= f"{first:%Y-%m}") if by_month else rows
+    if until is None:
         return rows
-    return rows.where((F.col(month_column) >= f"{first:%Y-%m}") & (F.col(month_column) <= f"{as_of:%Y-%m}"))
+    rows = rows.where(F.col(date_column) <= F.lit(until))
+    return rows.where(F.col(month_column) <= f"{until:%Y-%m}") if by_month else rows
 
 
 def for_ticker_date(spark: SparkSession, table: DataFrame, ticker: str, day: date) -> DataFrame:
