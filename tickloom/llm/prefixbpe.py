@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickloom.llm.common import each_text, texts_of
 
 VOCABULARY = "word_bpe_49k.json"
-CACHED_BYTES = 48_000_000
+CACHED_BYTES = 120_000_000
 CACHED_PAIRS = 400_000
 #: Longer chunks and words are not kept.
 CACHED_LENGTH = 64
@@ -47,25 +47,40 @@ def byte_characters() -> list[str]:
     return [chr(spare.get(b, b)) for b in range(256)]
 
 
+def gaps_of(values: list) -> list[int]:
+    """Places of None."""
+    out, i = [], -1
+    for _ in range(values.count(None)):
+        i = values.index(None, i + 1)
+        out.append(i)
+    return out
+
+
 class BoundedCache:
     """A mapping of two generations, bounded by bytes; what is looked up again moves to the younger one."""
 
     def __init__(self, limit: int = CACHED_BYTES):
         self.half, self.size, self.young, self.old = limit // 2, 0, {}, {}
 
-    def get(self, key: str) -> bytes | None:
-        value = self.young.get(key)
-        if value is None and (value := self.old.get(key)) is not None:
-            self.put(key, value)
-        return value
-
-    def put(self, key: str, value: bytes) -> None:
-        if len(key) > CACHED_LENGTH:
-            return
-        self.size += ENTRY_BYTES + 2 * len(key) + len(value)
-        if self.size > self.half:
+    def find(self, keys: list[str]) -> list[bytes | None]:
+        """The value of each key, None where it is not known."""
+        found = [*map(self.young.get, keys)]
+        if self.old and None in found:
+            moved = {}
+            for i in gaps_of(found):
+                if (value := self.old.get(keys[i])) is not None:
+                    found[i] = moved[keys[i]] = value
+            self.put(moved)
+        return found
+
+    def put(self, entries: dict[str, bytes]) -> None:
+        kept = {k: v for k, v in entries.items() if len(k) <= CACHED_LENGTH}
+        size = ENTRY_BYTES * len(kept) + 2 * sum(map(len, kept)) + sum(map(len, kept.values()))
+        if self.size + size > self.half:
             self.old, self.young, self.size = self.young, {}, 0
-        self.young[key] = value
+        if size <= self.half:
+            self.young.update(kept)
+            self.size += size
 
 
 class NumberTable:
@@ -319,67 +334,62 @@ class PrefixBpe:
             out[i] = ids[a:b]
         return out
 
-    def _learn(self, chunks: list[str], found: dict[str, bytes]) -> None:
-        """Ids of chunks, into ``found``."""
-        split = [PIECES.findall(self._lowered(c)) for c in chunks]
-        words = dict.fromkeys(chain.from_iterable(split))
-        fresh = []
-        for word in words:
-            words[word] = self.words.get(word)
-            if words[word] is None:
-                if len(word) > CACHED_LENGTH:
-                    words[word] = self._word(word)
-                else:
-                    fresh.append(word)
-        for i in range(0, len(fresh), WORDS_AT_ONCE):
-            some = fresh[i : i + WORDS_AT_ONCE]
-            for word, ids in zip(some, self._words_at_once(some)):
-                words[word] = ids
-                self.words.put(word, ids)
-        for chunk, parts in zip(chunks, split):
-            found[chunk] = ids = b"".join(map(words.__getitem__, parts))
-            self.chunks.put(chunk, ids)
+    def _split(self, chunk: str) -> tuple[str, ...] | list[str]:
+        """Words of a chunk: letters are one word, also before a mark; the pattern cuts the rest."""
+        low = self._lowered(chunk)
+        if low.isalpha():
+            return (low,)
+        if low[-1] in ".,!?;:" and low[:-1].isalpha():
+            return low[:-1], low[-1]
+        return PIECES.findall(low)
+
+    def _learned(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of chunks."""
+        split = [*map(self._split, chunks)]
+        names = [*dict.fromkeys(chain.from_iterable(split))]
+        words = dict(zip(names, self.words.find(names)))
+        fresh = [w for w, ids in words.items() if ids is None]
+        long, some, new = [w for w in fresh if len(w) > CACHED_LENGTH], [w for w in fresh if len(w) <= CACHED_LENGTH], {}
+        for i in range(0, len(some), WORDS_AT_ONCE):
+            part = some[i : i + WORDS_AT_ONCE]
+            new.update(zip(part, self._words_at_once(part)))
+        self.words.put(new)
+        words.update(new)
+        words.update((w, self._word(w)) for w in long)
+        found = {c: words[parts[0]] if len(parts) == 1 else b"".join(map(words.__getitem__, parts)) for c, parts in zip(chunks, split)}
+        self.chunks.put(found)
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers. The strings of added tokens are these tokens."""
-        out: list[list] = []
-        holes: dict[str, bytes | None] = {}
+        known: list[list] = []
+        open_: list[tuple[list, list[str], list[int]]] = []
         for text in texts:
             own: list = []
-            parts = self.special.split(text) if self.special and "<" in text else [text]
-            for part in parts:
+            for part in self.special.split(text) if self.special and "<" in text else (text,):
                 if part in self.added:
-                    own.append([self.added[part]])
-                elif UNUSUAL.search(part):
-                    holes[part] = None
-                    own.append([part])
-                else:
-                    chunks = part.split()
-                    known = [*map(self.chunks.young.get, chunks)]
-                    if None in known:
-                        for i in gaps_of(known):
-                            known[i] = chunks[i]
-                            holes[chunks[i]] = None
-                    own.append(known)
-            out.append(own)
-        unknown = []
-        for chunk in holes:
-            holes[chunk] = self.chunks.get(chunk)
-            if holes[chunk] is None:
-                unknown.append(chunk)
-        self._learn(unknown, holes)
-        return [b"".join([x if x.__class__ is bytes else holes[x] for part in own for x in part]) for own in out]
+                    own.append(self.added[part])
+                    continue
+                chunks = [part] if UNUSUAL.search(part) else part.split()
+                found = [*map(self.chunks.young.get, chunks)]
+                if None in found:
+                    open_.append((found, chunks, gaps_of(found)))
+                own.append(found)
+            known.append(own)
+        if open_:
+            asked = [*dict.fromkeys([chunks[i] for _, chunks, gaps in open_ for i in gaps])]
+            values = dict(zip(asked, self.chunks.find(asked)))
+            values.update(self._learned([c for c, ids in values.items() if ids is None]))
+            for found, chunks, gaps in open_:
+                for i in gaps:
+                    found[i] = values[chunks[i]]
+        return [b"".join([x if isinstance(x, bytes) else b"".join(x) for x in own]) for own in known]
 
     def decode(self, ids: bytes) -> bytes:
         """The tokens of the ids, separated by spaces, as a vocabulary without a decoder has them."""
         return b" ".join(map(self.text.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def gaps_of(values: list) -> list[int]:
-    """Places of None."""
-    return [i for i, v in enumerate(values) if v is None]
-
-
 @lru_cache(2)
 def prefix_bpe(path: str | None) -> PrefixBpe:
     if path is None:
