@@ -44,10 +44,11 @@ def later_copies(texts: DataFrame) -> DataFrame:
     Only rows of a hash that several rows have are compared. The other side of the join is one row per text, with its
     smallest id, so a group of copies of any size costs a row each; Spark splits a skewed left side.
     """
-    shared = texts.groupBy("h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # Both small sides are written: an aggregate right below a join would keep Spark from splitting the other side.
+    shared = written(texts.groupBy("h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "shared-hashes")
     inner = texts.join(shared, "h")
     kept = written(inner.where(F.col("doc_id").isNotNull()), "equal-hashes")
-    firsts = kept.groupBy(F.col("h").alias("own_h"), F.col("text").alias("own_text")).agg(F.min("doc_id").alias("own_first"))
+    firsts = written(kept.groupBy(F.col("h").alias("own_h"), F.col("text").alias("own_text")).agg(F.min("doc_id").alias("own_first")), "first-copies")
     later = kept.where(F.col("doc_id") > F.col("first"))
     return later.join(firsts, (F.col("h") == F.col("own_h")) & (F.col("text") == F.col("own_text")) & (F.col("own_first") < F.col("doc_id")), "left_semi").drop("first")
 
