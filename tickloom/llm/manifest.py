@@ -140,7 +140,7 @@ def manifest(docs: DataFrame, group: str = "lang", fields: Sequence[str] = FIELD
     for part in steps(runs, 1) + steps(top_runs, 0):
         nodes = nodes.union(part)
     paths = jumped(written(nodes, "nodes"), len(runs) + 1 + len(top_runs)).select(*NODE, "segment")
-    named = groups.select(F.col("own").alias("g"), F.col("digest").alias("subroot")).withColumn("top", F.lit(TOP))
+    named = groups.select(F.col("own").alias("g"), F.col("digest").alias("subroot"), F.col("g").alias("top"))
     named = written(named.join(root.select(F.col("g").alias("top"), F.col("digest").alias("root")), "top").drop("top"), "roots")
     known = paths.join(named, "g")
     alone = rows.where("m = 1").join(known.where("level = 0").drop("level", "i"), "g").select("doc_id", "digest", "tampered", "subroot", "root", F.col("segment").alias("proof"))
