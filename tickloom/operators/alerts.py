@@ -2,22 +2,58 @@
 
 Every expression yields (labels, eval_ts, value) on a grid of evaluation times. A series has one row per grid time,
 whatever the number of samples, so the islands of a condition are ordered over the clock and not over the data.
+
+An expression also says what it reads and how the readings combine, so that :mod:`tickloom.streaming.rules` can
+evaluate the same rules on a stream.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.metrics import BUCKETS, counter_increases, label_set, matches, rate, sliding, windowed_quantiles
 
-Expression = Callable[[DataFrame, int], DataFrame]
 STALENESS = 300
 
 
+@dataclass(frozen=True)
+class Reading:
+    """What an expression takes from one metric: series read over a window, perhaps put together by some of their labels.
+
+    ``kind``: last, rate, increase, average or quantile. ``by``: labels that stay, None for a series of its own.
+    """
+
+    metric: str
+    kind: str
+    seconds: int
+    equal: tuple[tuple[str, str], ...] = ()
+    regex: tuple[tuple[str, str], ...] = ()
+    by: tuple[str, ...] | None = None
+    fold: str = "sum"
+    quantile: float = 0.0
+    bounds: tuple[float, ...] = ()
+
+
+@dataclass(frozen=True)
+class Expression:
+    """``run(samples, step)`` gives the values in batch; ``combine(eval_ts, values)`` gives them from those of the readings."""
+
+    run: Callable[[DataFrame, int], DataFrame] = field(repr=False)
+    readings: tuple[Reading, ...]
+    combine: Callable[[Column, Sequence[Column]], Column] = field(default=lambda at, values: values[0], repr=False)
+
+    def __call__(self, samples: DataFrame, step: int) -> DataFrame:
+        return self.run(samples, step)
+
+
+def _pairs(labels: Mapping[str, str] | None) -> tuple[tuple[str, str], ...]:
+    return tuple(sorted((labels or {}).items()))
+
+
 def sample_table(df: DataFrame, ts: str = "ts", metric: str = "metric", labels: str = "labels", value: str = "value") -> DataFrame:
     """Samples with their labels as a sorted array."""
     return df.select(F.col(ts).cast("timestamp").alias("ts"), F.col(metric).alias("metric"),
@@ -28,16 +64,16 @@ def _select(samples: DataFrame, metric: str, equal: Mapping[str, str] | None, re
     return samples.where((F.col("metric") == metric) & matches(F.col("labels"), equal, regex)).drop("metric")
 
 
-def instant(metric: str, equal: Mapping[str, str] | None = None, regex: Mapping[str, str] | None = None) -> Expression:
-    """Last value not older than five minutes."""
+def instant(metric: str, equal: Mapping[str, str] | None = None, regex: Mapping[str, str] | None = None, seconds: int = STALENESS) -> Expression:
+    """Last value not older than ``seconds``."""
 
     def run(samples: DataFrame, step: int) -> DataFrame:
         return sliding(
-            _select(samples, metric, equal, regex), ["labels"], STALENESS, step,
+            _select(samples, metric, equal, regex), ["labels"], seconds, step,
             {"t": F.max("ts"), "v": F.max_by("value", "ts")}, {"value": F.max_by("v", "t")},
         ).select("labels", "eval_ts", "value")
 
-    return run
+    return Expression(run, (Reading(metric, "last", seconds, _pairs(equal), _pairs(regex)),))
 
 
 def _over(metric: str, seconds: int, equal: Mapping[str, str] | None, column: str) -> Expression:
@@ -45,7 +81,7 @@ def _over(metric: str, seconds: int, equal: Mapping[str, str] | None, column: st
         grown = counter_increases(_select(samples, metric, equal, None), ["labels"], ties=["value"])
         return rate(grown, ["labels"], seconds, step).select("labels", "eval_ts", F.col(column).alias("value"))
 
-    return run
+    return Expression(run, (Reading(metric, column, seconds, _pairs(equal)),))
 
 
 def rate_of(metric: str, seconds: int = 300, equal: Mapping[str, str] | None = None) -> Expression:
@@ -63,7 +99,7 @@ def quantile_of(metric: str, q: float, seconds: int = 300, equal: Mapping[str, s
     def run(samples: DataFrame, step: int) -> DataFrame:
         return windowed_quantiles(_select(samples, metric, equal, None), ["labels"], bounds or BUCKETS[metric], {"value": q}, seconds, step)
 
-    return run
+    return Expression(run, (Reading(metric, "quantile", seconds, _pairs(equal), quantile=q, bounds=tuple(bounds or BUCKETS[metric])),))
 
 
 def average_of(metric: str, seconds: int = 300) -> Expression:
@@ -73,7 +109,7 @@ def average_of(metric: str, seconds: int = 300) -> Expression:
         return _by(out.groupBy(F.array().cast("array<struct<key:string,value:string>>").alias("labels"), "eval_ts")
                    .agg(F.try_divide(F.sum("s"), F.sum("n").cast("double")).alias("value")))
 
-    return run
+    return Expression(run, (Reading(metric, "average", seconds, by=(), fold="avg"),))
 
 
 def _by(df: DataFrame) -> DataFrame:
@@ -89,7 +125,10 @@ def grouped(expr: Expression, how: str, by: Sequence[str] = ()) -> Expression:
         kept = F.filter("labels", lambda e: e["key"].isin(*by)) if by else F.filter("labels", lambda e: F.lit(False))
         return _by(out.withColumn("labels", kept).groupBy("labels", "eval_ts").agg(fold("value").alias("value")))
 
-    return run
+    (reading,) = expr.readings
+    if reading.by is not None or reading.kind == "quantile":
+        raise ValueError("only the series of one metric can be grouped, and no quantiles")
+    return Expression(run, (replace(reading, by=tuple(by), fold=how),), expr.combine)
 
 
 def matched(a: Expression, b: Expression, rule: Callable[[Column, Column], Column]) -> Expression:
@@ -100,7 +139,12 @@ def matched(a: Expression, b: Expression, rule: Callable[[Column, Column], Colum
         return a(samples, step).join(right, ["labels", "eval_ts"]).select(
             "labels", "eval_ts", rule(F.col("value"), F.col("other")).alias("value"))
 
-    return run
+    return _of_two(run, a, b, rule)
+
+
+def _of_two(run: Callable[[DataFrame, int], DataFrame], a: Expression, b: Expression, rule: Callable[[Column, Column], Column]) -> Expression:
+    n = len(a.readings)
+    return Expression(run, a.readings + b.readings, lambda at, v: rule(a.combine(at, v[:n]), b.combine(at, v[n:])))
 
 
 def ratio(a: Expression, b: Expression) -> Expression:
@@ -114,23 +158,25 @@ def both(a: Expression, b: Expression, b_holds: Callable[[Column], Column]) -> E
         other = b(samples, step).where(b_holds(F.col("value"))).select("labels", "eval_ts")
         return a(samples, step).join(other, ["labels", "eval_ts"], "left_semi")
 
-    return run
+    return _of_two(run, a, b, lambda x, y: F.when(b_holds(y), x))
 
 
 def mapped(a: Expression, f: Callable[[Column], Column]) -> Expression:
     def run(samples: DataFrame, step: int) -> DataFrame:
         return a(samples, step).withColumn("value", f(F.col("value")))
 
-    return run
+    return Expression(run, a.readings, lambda at, v: f(a.combine(at, v)))
 
 
 def age_of(metric: str) -> Expression:
     """Seconds between the evaluation and a gauge that holds a time."""
 
+    last = instant(metric)
+
     def run(samples: DataFrame, step: int) -> DataFrame:
-        return instant(metric)(samples, step).withColumn("value", F.unix_timestamp("eval_ts") - F.col("value"))
+        return last(samples, step).withColumn("value", F.unix_timestamp("eval_ts") - F.col("value"))
 
-    return run
+    return Expression(run, last.readings, lambda at, v: F.unix_timestamp(at) - v[0])
 
 
 OPERATORS: dict[str, Callable[[Column, float], Column]] = {

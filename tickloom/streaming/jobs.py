@@ -17,6 +17,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from tickloom.operators.metrics import _bucket_counts, bucket_array, bucket_quantile
 from tickloom.operators.validate import BarLimits, newest_wins, split_valid
 from tickloom.session import work_folder
+from tickloom.sources.latest_store import LatestStore
 
 METRIC_DELAY = "10 minutes"
 BAR_DELAY = "2 days"
@@ -164,3 +165,19 @@ def push_latest(rows: DataFrame, keys: Sequence[str], ts: str, path: str) -> Dat
 
     run_batches(rows, "push", sink)
     return spark.read.parquet(f"{path}/version={max(seen)}")
+
+
+def push_to_store(rows: DataFrame, store: LatestStore, fold_every: int = 20) -> StreamingQuery:
+    """Latest values of a stream into a log-structured store: each batch writes its own newest rows and nothing else.
+
+    After every ``fold_every`` batches one share of the buckets is folded, each in turn, so that all are after
+    ``fold_every`` rounds. A repeated batch changes nothing.
+    """
+
+    def sink(batch: DataFrame, number: int) -> None:
+        store.write(batch, number)
+        if number % fold_every == fold_every - 1:
+            turn = number // fold_every % fold_every
+            store.compact(batch.sparkSession, number, range(turn, store.buckets, fold_every))
+
+    return run_batches(rows, "push-store", sink)

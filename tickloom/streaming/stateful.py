@@ -127,6 +127,68 @@ class Silence(StatefulProcessor):
         pass
 
 
+class StaleValue(StatefulProcessor):
+    """PENDING when a value that is a time has become older than ``limit_seconds``, FIRING once that has held, RESOLVED by a newer one.
+
+    Timers are set from the value itself and set anew when it changes, so they need no further input. ``since`` is when
+    the value becomes too old, or when a value came in that already was.
+    """
+
+    def __init__(self, limit_seconds: int, hold_seconds: int) -> None:
+        self.limit, self.hold = limit_seconds * 1_000_000, hold_seconds * 1_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.memory = handle.getValueState("memory", "since long, told int")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        since, told = self.memory.get() if self.memory.exists() else (None, 0)
+        out: list[tuple] = []
+        for at, value in _in_order(rows, "at")[["at", "held"]].itertuples(index=False):
+            told = self._tell(since, told, at, out)
+            due = value + self.limit
+            if due > at:
+                if told == 2:
+                    out.append(("RESOLVED", since, at))
+                since, told = due, 0
+            elif since is None or since > at:
+                since, told = at, 0
+        self._keep(since, told, timerValues)
+        yield from self._events(key, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        since, told = self.memory.get()
+        out: list[tuple] = []
+        told = self._tell(since, told, timerValues.getCurrentWatermarkInMs() * 1000, out)
+        self._keep(since, told, timerValues)
+        yield from self._events(key, out)
+
+    def _tell(self, since: int | None, told: int, now: int, out: list[tuple]) -> int:
+        """States that have been reached by ``now``: 0 none, 1 pending, 2 firing."""
+        if since is not None and told == 0 and since <= now:
+            out.append(("PENDING", since, since))
+            told = 1
+        if told == 1 and since + self.hold <= now:
+            out.append(("FIRING", since, since + self.hold))
+            told = 2
+        return told
+
+    def _keep(self, since: int, told: int, timerValues) -> None:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if told < 2:
+            self.handle.registerTimer(-(-(since + self.hold * told) // 1000))
+        self.memory.update((since, told))
+
+    @staticmethod
+    def _events(key, out: list[tuple]) -> Iterator[pd.DataFrame]:
+        for frame in _events(key[0], out):
+            yield frame.assign(**{c: pd.to_datetime(frame[c], unit="us", utc=True) for c in ("since", "at")})
+
+    def close(self) -> None:
+        pass
+
+
 class _Run:
     """Sorted rows of a key."""
 
@@ -267,6 +329,22 @@ def silence_alerts(samples: DataFrame, series: Column, ts: str, limit_seconds: i
         Silence(limit_seconds), outputStructType=EVENTS, outputMode="Append", timeMode="EventTime")
 
 
+def stale_value_alerts(samples: DataFrame, series: Column, ts: str, value_time: Column, limit_seconds: int, hold_seconds: int,
+                       step_seconds: int = 60, delay: str = METRIC_DELAY) -> DataFrame:
+    """Changes of state of a gauge that holds a time, such as that of the newest model version: too old, for long, renewed.
+
+    The last value of each step counts. A series that stays silent still fires, by a timer set from its last value; a value that
+    goes back to an old time is too old from its sample on. Samples without a value are left out.
+    """
+    use_rocksdb(samples.sparkSession)
+    rows = samples.withColumn("held", F.unix_micros(value_time.cast("timestamp"))).where("held IS NOT NULL")
+    steps = rows.withWatermark(ts, delay).groupBy(F.window(ts, f"{step_seconds} seconds").alias("window"), series.alias("series"))
+    ticks = steps.agg(F.unix_micros(F.max(ts)).alias("at"), F.max_by("held", ts).alias("held")).select(
+        "series", F.window_time("window").alias("event_time"), "at", "held")
+    return ticks.groupBy("series").transformWithStateInPandas(
+        StaleValue(limit_seconds, hold_seconds), outputStructType=EVENTS, outputMode="Append", timeMode="EventTime")
+
+
 def once_per_period(requests: DataFrame, key: list[str], ts: str, period_seconds: float = 3600, order: list[str] | None = None,
                     delay: str = METRIC_DELAY) -> DataFrame:
     """Requests that a result kept for ``period_seconds`` does not answer: the first of each key, and then each that is
