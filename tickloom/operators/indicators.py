@@ -112,15 +112,15 @@ def engineer_features(bars: DataFrame) -> DataFrame:
     return with_volatility(out)
 
 
-def technical_features(bars: DataFrame) -> DataFrame:
-    """The 19 columns of the technical feature table, keyed by (ticker, date)."""
+def technical_features(bars: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """The 19 columns of the technical feature table, keyed by (ticker, date), and columns that are only passed on."""
     out = with_sma(bars, (20, 50, 200))
     out = with_macd(out).withColumnRenamed("macd", "macd_line")
     out = with_atr(with_rsi(out, mode="zero_first"))
     out = with_bollinger(out, names=("bollinger_middle", "bollinger_upper", "bollinger_lower"))
     out = with_obv(with_volume_features(out)).withColumn("volume_sma", F.col("volume_sma").cast("bigint"))
     out = with_candle_shape(out, percent=True)
-    return out.select("ticker", "date", *TECHNICAL_COLUMNS)
+    return out.select("ticker", "date", *TECHNICAL_COLUMNS, *carry)
 
 
 # Names of the technical feature table.

@@ -8,10 +8,10 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickloom.operators import modeling, splits, validate
+from tickloom.operators import modeling, recurrence, splits, validate
 from tickloom.operators.clean import fill_defaults
-from tickloom.operators.indicators import technical_features
 from tickloom.session import stored
 from tickloom.sources import readers, schemas, sinks
 
@@ -24,7 +24,6 @@ class DailyConfig:
     pipeline: str = "daily_bars"
     quality_threshold: float = 0.85
     lookback_days: int = 200
-    warm_up_days: int = 500
     limits: validate.BarLimits = validate.BarLimits()
 
     def table(self, name: str) -> str:
@@ -54,23 +53,37 @@ def judge(spark: SparkSession, config: DailyConfig, day: date, inserted: int | N
     return validate.quality_gate(validate.quality_summary(quality), inserted, config.quality_threshold)
 
 
-def indicators(spark: SparkSession, config: DailyConfig, day: date, stats: dict | None = None) -> DataFrame:
-    """Indicators of the bars after the stored ones into the feature table.
+def indicators(spark: SparkSession, config: DailyConfig, day: date, stats: dict | None = None, months: Sequence[str] | None = None) -> DataFrame:
+    """Indicators up to ``day`` in the feature table, brought up to date from the first changed bar of each ticker on.
 
-    Stored rows stay as they are. The bars read go back ``warm_up_days`` before the first new date, so that the longest
-    window is full and the exponential averages have forgotten where they began. ``stats`` gets ``rejected_features``, the
-    count of rows with a value that the table cannot hold.
+    Bars are compared with the stored memory of their months (all of them, or ``months`` and those after the last stored
+    one), so late, corrected and re-sourced bars reach every later row; earlier rows and other tickers stay as they are. The memory
+    is written last: a run that fails finds the same changes again. ``stats`` gets ``changed_tickers``, ``replayed_rows`` and
+    ``rejected_features``, the count of rows with a value that the table cannot hold.
     """
-    raw = sinks.read_table(spark, config.table("raw_market_data"), schemas.RAW_BARS)
-    kept = sinks.read_table(spark, config.table("feature_technical_indicators"), schemas.TECHNICAL)
-    span = config.lookback_days + config.warm_up_days
-    bars = validate.newest_wins(raw.limit(0).drop(sinks.MONTH), readers.recent(raw, day, span, until=day).drop(sinks.MONTH), ("ticker", "date"), "source")
-    rows = readers.recent(technical_features(bars), day, config.lookback_days, until=day).join(kept.select("ticker", "date"), ["ticker", "date"], "left_anti")
-    stamped = rows.withColumns({"computed_at": F.current_timestamp().cast("timestamp_ntz"), "feature_version": F.lit(1)})
-    rejected = sinks.upsert(spark, stamped, config.table("feature_technical_indicators"), schemas.TECHNICAL)
+    path, features = config.table("feature_memory"), config.table("feature_technical_indicators")
+    raw = sinks.read_table(spark, config.table("raw_market_data"), schemas.RAW_BARS).where(F.col("date") <= F.lit(day))
+    one_source = lambda rows: validate.newest_wins(raw.limit(0).drop(sinks.MONTH), rows.drop(sinks.MONTH), ("ticker", "date"), "source")
+    memory = sinks.read_table(spark, path, T.StructType([f for f in recurrence.BLOCK_SCHEMA if f.name != sinks.MONTH]))
+    wanted = None
+    if months is not None:
+        last = memory.agg(F.max(sinks.MONTH)).first()[0]
+        wanted = F.col(sinks.MONTH).isin(list(months)) | F.lit(last is None) | (F.col(sinks.MONTH) >= F.lit(last))
+    now = stored(recurrence.month_blocks(one_source(raw if wanted is None else raw.where(wanted))), "months")
+    changes = stored(recurrence.first_changes(memory if wanted is None else memory.where(wanted), now), "changes")
+    seeded = stored(recurrence.seeds(recurrence.merged_blocks(memory, now), changes), "seeds")
+    first = seeded.agg(F.min("seed.month")).first()[0]
+    counts = {"changed_tickers": seeded.count(), "replayed_rows": 0, "rejected_features": 0}
+    if first is not None:
+        bars = one_source(raw.where(F.col(sinks.MONTH) >= first).join(seeded.select("ticker"), "ticker", "left_semi"))
+        rows = stored(recurrence.replayed(bars, seeded), "replayed")
+        stamped = rows.withColumns({"computed_at": F.current_timestamp().cast("timestamp_ntz"), "feature_version": F.lit(1)})
+        counts |= {"replayed_rows": rows.count(), "rejected_features": sinks.upsert(spark, stamped, features, schemas.TECHNICAL)}
+        changed = now.join(seeded.select("ticker"), "ticker", "left_semi")
+        sinks.replace_months(spark, recurrence.merged_blocks(memory.where(F.col(sinks.MONTH).isin(sinks.months_of(changed))), changed), path)
     if stats is not None:
-        stats["rejected_features"] = rejected
-    return sinks.read_table(spark, config.table("feature_technical_indicators"), schemas.TECHNICAL)
+        stats |= counts
+    return sinks.read_table(spark, features, schemas.TECHNICAL)
 
 
 def describe(spark: SparkSession, config: DailyConfig, features: Sequence[str], name: str = "daily_training_dataset") -> DataFrame:
@@ -88,7 +101,7 @@ def run_daily(spark: SparkSession, config: DailyConfig, landed: DataFrame, day:
     try:
         stats = ingest(spark, config, landed, tickers)
         stats["avg_quality_score"] = judge(spark, config, day, stats["inserted_records"])
-        indicators(spark, config, day, stats)
+        indicators(spark, config, day, stats, sinks.months_of(sinks.with_month(landed)))
         describe(spark, config, features)
         return stats
     except Exception as e:

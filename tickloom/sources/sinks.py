@@ -121,6 +121,17 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, schema: T.StructType,
     return rejected
 
 
+def months_of(df: DataFrame) -> list[str]:
+    """Months of a table that has them as a column; bounded by the calendar."""
+    return [r[0] for r in df.select(MONTH).where(F.col(MONTH).isNotNull()).distinct().collect()]
+
+
+def replace_months(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    """Write whole months in place of those of the table; ``rows`` may be read from it, so they are staged first."""
+    staged = stored(rows, "months")
+    staged.hint("rebalance", F.col(MONTH)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+
+
 def write_splits(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """One subfolder per value of ``split``."""
     writer = df.write.mode("overwrite").partitionBy("split")
