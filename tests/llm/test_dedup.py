@@ -138,6 +138,32 @@ def test_near_documents_in_a_chain(spark):
     assert {r.doc_id: r.component_id for r in rows} == near_components(texts, 2)
 
 
+@pytest.mark.parametrize("block, bands", [(60, 40), (60, 0), (400, 8), (250_000, 0)])
+def test_near_documents_in_blocks(spark, monkeypatch, block, bands):
+    """Documents with one long passage in common, near and not: no link is lost where buckets are cut, or left to the second wave."""
+    monkeypatch.setattr(minmax, "BLOCK_SHINGLES", block)
+    monkeypatch.setattr(minmax, "FIRST_BANDS", bands)
+    rng = np.random.default_rng(5)
+    passage = [f"p{k}" for k in range(40)]
+    texts = [(int(i), " ".join(passage + [f"w{i % 9}_{k}" for k in range(rng.integers(0, 16))] + [f"x{i}"])) for i in range(70)]
+    rows = minmax.near_documents(table(spark, texts), 2).collect()
+    assert {r.doc_id: r.component_id for r in rows} == near_components(texts, 2)
+
+
+def test_joined_sets():
+    sets = [np.array(s, np.uint64) for s in ([1, 2, 3, 4, 5], [1, 2, 3, 4, 5, 6], [2, 3, 4, 5, 6], [], [9, 10], [9, 10, 11])]
+    assert minmax.joined(np.array([1, 2, 3, 4, 5, 6]), np.zeros(6), sets, 80).tolist() == [0, 0, 0, 3, 4, 5]
+    assert minmax.joined(np.array([1, 2, 3, 4, 5, 5]), np.array([0, 0, 1, 1, 0, 1]), sets, 80).tolist() == [0, 1, 1, 3, 4, 4]
+
+
+def test_filter_keeps_what_it_was_made_of(spark, monkeypatch):
+    monkeypatch.setattr(minmax, "FILTER_BITS", 1 << 12)
+    bits = minmax.filter_of(spark.range(0, 900, 3))
+    kept = {r.id for r in minmax.likely(spark.range(3000), "id", bits).collect()}
+    assert set(range(0, 900, 3)) <= kept and len(kept) < 900
+    assert minmax.likely(spark.range(50), "id", minmax.filter_of(spark.range(0))).count() == 0
+
+
 def test_near_documents_odd(spark):
     rows = minmax.near_documents(table(spark, odd_texts()), 2).collect()
     by = {r.doc_id: r for r in rows}

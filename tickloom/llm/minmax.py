@@ -1,10 +1,11 @@
 """Near-duplicate documents by min-max hashing.
 
 Under each permutation of the shingle hashes both the least and the greatest value are kept, so half as many hashes are
-evaluated for a signature. Bands of the signature are bucket keys. In each bucket a document that is near none before it (by
-its signature) becomes a pivot, and what is near it and no earlier one is compared with it on full shingle sets: a group of
-copies costs a star and not all its pairs. Further passes take the buckets that still hold several components, and compare
-each document with its nearest ones in every other component, with more of them in each pass, until none is left out.
+evaluated for a signature. Bands of the signature are bucket keys; buckets with the same members are one. A bucket is cut into
+blocks of bounded size, and a task that has a block with its full shingle sets counts common shingles through an inverted
+list, joins what is alike, and gives out one row per joined member, never a pair. A first wave takes single blocks of the
+first bands, which joins groups of copies; a second one takes every other bucket that still holds several components, all
+pairs of its blocks among them, so that no pair that shares a band is left out.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import numbered, picked, place_of, written
@@ -24,11 +25,12 @@ from tickloom.llm.components import components
 PERMUTATIONS = 100
 BAND_VALUES = 5
 PERCENT = 80
-MEMBERS_PER_RUN = 1000
-BLOCK = 2500
-FIRST_PARTNERS = 2
-#: Least share of equal values in two signatures of 200 for a comparison: at Jaccard 0.8 the share is 0.8 +- 0.028.
-ALIKE = 0.68
+#: Shingles of a block; a single larger set is a block of its own.
+BLOCK_SHINGLES = 250_000
+#: Bands of the first wave: a pair at Jaccard 0.8 shares one of them in 95 of 100 cases, closer ones more surely.
+FIRST_BANDS = 8
+#: Size of a filter that leaves out most rows without a partner before they are shuffled; a full one lets all rows pass.
+FILTER_BITS = 1 << 26
 CACHED_WORDS = 400_000
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -109,175 +111,155 @@ def signed(texts: DataFrame, words: int, count: int) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, n long, digest binary, signature binary")
 
 
-def shingle_sets(texts: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """(doc_id, shingles) of the documents in ``ids`` (doc_id, distinct)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [shingle_set(t.as_py() or "", words).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["doc_id", "shingles"])
-
-    return texts.join(ids, "doc_id").select("doc_id", "text").mapInArrow(run, "doc_id long, shingles binary")
+def filter_of(keys: DataFrame) -> np.ndarray:
+    """A bit for the hash of each value of the only column: at most 8 MB on the driver, however many values there are."""
+    (name,) = keys.columns
+    bit = F.pmod(F.xxhash64(name), F.lit(FILTER_BITS))
+    words = keys.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(xxhash64({name}), {FILTER_BITS}) % 64 AS INT))")).alias("bits"))
+    found = words.toArrow()
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    return out
 
 
-def compared(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(id, pivot, common, id_size, pivot_size) of ``pairs`` (id, pivot), counted on the full sets.
+def likely(rows: DataFrame, key: str, bits: np.ndarray) -> DataFrame:
+    """Rows whose ``key`` may be among those of the filter; other rows are left out, apart from a few."""
+    names = rows.columns
+    marked = rows.withColumn("bit", F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)))
 
-    Each member's set goes to its pivot; a pivot with many members is repeated for each thousand of them.
-    """
-    counts = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / MEMBERS_PER_RUN).cast("int").alias("runs"))
-    salt = F.pmod(F.xxhash64("id"), F.col("runs")).cast("int")
-    members = pairs.join(counts, "pivot").select(F.col("id").alias("doc_id"), "pivot", salt.alias("run"), F.lit(1).alias("role"))
-    pivots = counts.select(F.col("pivot").alias("doc_id"), "pivot", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("run"), F.lit(0).alias("role"))
-    placed = sets.join(members.union(pivots), "doc_id").select("pivot", "run", "role", "doc_id", "shingles").repartition("pivot", "run").sortWithinPartitions("pivot", "run", "role")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centre = np.empty(0, np.uint64)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for pivot, role, doc, data in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4)):
-                own = np.frombuffer(data.as_py(), np.uint64)
-                if role == 0:
-                    centre = own
-                    continue
-                at = np.searchsorted(centre, own)
-                common = int((centre[np.minimum(at, len(centre) - 1)] == own).sum()) if len(centre) else 0
-                rows.append((doc, pivot, common, len(own), len(centre)))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(5)], ["id", "pivot", "common", "id_size", "pivot_size"])
+            place = batch.column(batch.num_columns - 1).to_numpy()
+            keep = bits[place >> 6].view(np.uint64) >> (place & 63).astype(np.uint64) & np.uint64(1)
+            yield batch.filter(pa.array(keep.astype(bool))).select(names)
 
-    return placed.mapInArrow(compare, "id long, pivot long, common long, id_size long, pivot_size long")
+    return marked.mapInArrow(run, rows.schema)
 
 
-def links_percent(percent: int) -> Column:
-    return 100 * F.col("common") >= percent * (F.col("id_size") + F.col("pivot_size") - F.col("common"))
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """(id, shingles) of each text."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [shingle_set(t.as_py() or "", words).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["id", "shingles"])
 
-def shares(signatures: np.ndarray, one: np.ndarray) -> np.ndarray:
-    """Share of equal values in each signature and one."""
-    return (signatures == one).mean(axis=1)
-
+    return texts.mapInArrow(run, "id long, shingles binary")
 
-def stars(ids: np.ndarray, components: np.ndarray, signatures: np.ndarray) -> list[tuple[int, int, bool]]:
-    """(id, pivot, False): in the order of the rows, what is near no pivot yet becomes one and takes what is near it and not taken.
 
-    A pivot whose near ones are all taken is paired with the nearest of them: whatever is near anything is in a pair.
+def buckets_of(reps: DataFrame, count: int) -> DataFrame:
+    """(key, band, id, block, blocks) of each bucket of several members; of buckets with the same members, that of the first band."""
+    width = 2 * BAND_VALUES
+    keys = F.array(*[F.xxhash64(F.lit(b), F.substring("signature", b * width + 1, width)) for b in range(2 * count // BAND_VALUES)])
+    bands = reps.select(F.col("doc_id").alias("id"), "n", F.posexplode(keys).alias("band", "key"))
+    head = F.min(F.struct(F.xxhash64("id").alias("h"), "id"))["id"]
+    filled = bands.groupBy("key").agg(
+        F.min("band").alias("band"), F.count("*").alias("members"), F.sum("n").alias("size"), head.alias("head"),
+        F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y")).where("members > 1")
+    single = filled.groupBy("members", "x", "y").agg(F.min(F.struct("band", "key", "size", "head")).alias("b"))
+    chosen = written(single.select("b.key", F.ceil(F.col("b.size") / BLOCK_SHINGLES).cast("int").alias("blocks"), "b.head"), "band-buckets")
+    held = likely(bands.select("key", "band", "id"), "key", filter_of(chosen.select("key"))).join(chosen, "key")
+    return held.select("key", "band", "id", F.pmod(F.xxhash64("id", F.lit(2)), F.col("blocks")).cast("int").alias("block"), "blocks", "head")
+
+
+def joined(ids: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Component of each row, as the place of one of them, by links of at least so much Jaccard on the full sets.
+
+    Rows of one id are one. With several blocks only pairs across them count. Common shingles of a row with all others
+    come from the lists of rows that have each shingle; a row whose others are all joined to it is passed over.
     """
-    out, taken = [], np.zeros(len(ids), bool)
-    for i in range(len(ids)):
-        if not taken[i]:
-            share = shares(signatures, signatures[i])
-            share[ids == ids[i]] = 0
-            near = share >= ALIKE
-            fresh = near & ~taken
-            fresh[:i] = False
-            if near.any() and not fresh.any():
-                fresh[np.argmax(share)] = True
-            out += [(int(j), int(ids[i]), False) for j in ids[fresh]]
-            taken |= near
-    return out
-
-
-def crossings(most: int):
-    """(id, pivot, more): for each row and each other component, the ``most`` nearest of what is near; ``more`` if there are others."""
-
-    def pick(ids: np.ndarray, components: np.ndarray, signatures: np.ndarray) -> list[tuple[int, int, bool]]:
-        out = []
-        for i in range(len(ids)):
-            rest = np.flatnonzero(components != components[i])
-            if not len(rest):
-                continue
-            share = shares(signatures[rest], signatures[i])
-            near = np.flatnonzero(share >= ALIKE)
-            near = near[np.lexsort((-share[near], components[rest[near]]))]
-            own = components[rest[near]]
-            place = np.arange(len(own)) - np.searchsorted(own, own)
-            for j, k in zip(rest[near[place < most]], place[place < most]):
-                out.append((max(int(ids[j]), int(ids[i])), min(int(ids[j]), int(ids[i])), False))
-            out += [(int(ids[i]), int(ids[i]), True)] * bool((place >= most).any())
-        return out
-
-    return pick
-
-
-def pairs_in_runs(rows: DataFrame, reps: DataFrame, pick) -> DataFrame:
-    """Distinct (id, pivot, more) that ``pick`` finds in the runs of ``rows`` (run, id, component), whose signatures are joined in."""
-    signed_rows = rows.join(reps.select(F.col("doc_id").alias("id"), "signature"), "id").select("run", "id", "component", "signature")
-    ordered = signed_rows.repartition("run").sortWithinPartitions("run", F.xxhash64("id"), "id")
-
-    def found(held: list[tuple]) -> list[tuple[int, int, bool]]:
-        if len(held) < 2:
-            return []
-        ids, components, values = zip(*held)
-        return pick(np.array(ids), np.array(components), np.frombuffer(b"".join(values), "<u2").reshape(len(ids), -1))
+    n, sizes = len(ids), np.fromiter(map(len, sets), np.int64, len(sets))
+    whole = np.concatenate(sets)
+    order = np.argsort(whole, kind="stable")
+    fresh = np.ones(len(whole), bool)
+    fresh[1:] = whole[order[1:]] != whole[order[:-1]]
+    number = np.empty(len(whole), np.int64)
+    number[order] = np.cumsum(fresh) - 1
+    first = np.flatnonzero(fresh)
+    often = np.diff(np.append(first, len(whole)))
+    having = np.repeat(np.arange(n), sizes)[order]
+    starts = np.cumsum(sizes) - sizes
+    _, component = np.unique(ids, return_inverse=True)
+    several, left = (blocks != blocks[0]).any(), len(np.unique(component))
+    for i in range(n):
+        if left == 1:
+            break
+        others = (component != component[i]) & (100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i])) & (sizes > 0)
+        others[:i] = False
+        if several:
+            others &= blocks != blocks[i]
+        if not others.any():
+            continue
+        own = number[starts[i] : starts[i] + sizes[i]]
+        own = own[often[own] > 1]
+        lengths = often[own]
+        places = np.repeat(first[own] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        common = np.bincount(having[places], minlength=n)
+        hit = others & (100 * common >= percent * (sizes + sizes[i] - common))
+        for other in np.unique(component[hit]):
+            component[component == other] = component[i]
+            left -= 1
+    return component
+
+
+def links_in_cells(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): in each cell of ``cells`` (cell, id, block) each joined row with the least id of its component."""
+    placed = cells.join(sets, "id").select("cell", "block", "id", "shingles").repartition("cell").sortWithinPartitions("cell", "id")
+
+    def found(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        blocks, ids = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+        component = joined(ids, blocks, [np.frombuffer(r[2], np.uint64) for r in rows], percent)
+        root = np.full(component.max() + 1, np.iinfo(np.int64).max)
+        np.minimum.at(root, component, ids)
+        moved = root[component] != ids
+        return ids[moved], root[component][moved]
+
+    def batch_of(out: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        a, b = (np.concatenate([o[k] for o in out]) if out else np.empty(0, np.int64) for k in range(2))
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, mark = [], None
+        rows: list[tuple] = []
+        mark = None
         for batch in batches:
-            out: list[tuple[int, int, bool]] = []
-            for key, *row in zip(*[c.to_pylist() for c in batch.columns]):
-                if key != mark:
-                    out += found(held)
-                    held, mark = [], key
-                held.append(row)
-            yield pair_rows(out)
-        yield pair_rows(found(held))
-
-    return ordered.mapInArrow(run, "id long, pivot long, more boolean").distinct()
+            out = []
+            for cell, *row in zip(*[batch.column(c).to_pylist() for c in range(3)], batch.column(3)):
+                if cell != mark:
+                    if len(rows) > 1:
+                        out.append(found(rows))
+                    rows, mark = [], cell
+                rows.append((row[0], row[1], row[2].as_py()))
+            yield batch_of(out)
+        if len(rows) > 1:
+            yield batch_of([found(rows)])
 
-
-def pair_rows(pairs: list[tuple[int, int, bool]]) -> pa.RecordBatch:
-    own = sorted(set(pairs))
-    kinds = (pa.int64(), pa.int64(), pa.bool_())
-    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in own], kind) for k, kind in enumerate(kinds)], ["id", "pivot", "more"])
+    return placed.mapInArrow(run, "a long, b long").distinct()
 
 
 def near_links(texts: DataFrame, reps: DataFrame, words: int, percent: int, count: int) -> DataFrame:
-    """(a, b) links between the representatives ``reps`` (doc_id, n, signature), enough to give every component.
-
-    Large buckets are cut into blocks. In the first pass each block also gets the bucket's first pivot, in the second one
-    each pair of blocks of an open bucket is a run.
-    """
-    width = 2 * BAND_VALUES
-    keys = F.array(*[F.xxhash64(F.lit(b), F.substring("signature", b * width + 1, width)) for b in range(2 * count // BAND_VALUES)])
-    bands = reps.select(F.col("doc_id").alias("id"), F.explode(keys).alias("key"))
-    first = F.min(F.struct(F.xxhash64("id").alias("h"), "id"))
-    filled = bands.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.count("*").alias("members"), first.alias("first")).where("members > 1")
-    buckets = written(bands.join(filled.select("key", "blocks"), "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "band-buckets")
-    heads = filled.where("blocks > 1").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("first.id").alias("id"))
-    runs = buckets.select("key", "block", "id").union(heads).distinct()
-    starred = written(pairs_in_runs(runs.select(F.xxhash64("key", "block").alias("run"), "id", F.col("id").alias("component")), reps, stars).select("id", "pivot"), "star-pairs")
-    ids = written(starred.select(F.explode(F.array("id", "pivot")).alias("doc_id")).distinct(), "star-members")
-    sets = written(shingle_sets(texts, ids, words), "shingle-sets")
-    tested = written(compared(sets, starred), "star-compared")
-    links = tested.where(links_percent(percent)).select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-
-    most = FIRST_PARTNERS
-    known = starred.select(F.greatest("id", "pivot").alias("id"), F.least("id", "pivot").alias("pivot"))
-    at_home = written(buckets.join(ids.withColumnRenamed("doc_id", "id"), "id"), "star-buckets")
-    while True:
-        now = components(links)
-        members = at_home.join(now, "id", "left").select("key", "id", "block", "blocks", F.coalesce("component_id", "id").alias("component"))
-        members = written(members, "open-members")
-        open_keys = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-        spread = members.join(open_keys, "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        cells = spread.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("run"), "id", "component")
-        crossing = written(pairs_in_runs(cells, reps, crossings(most)), "crossings")
-        fresh = written(crossing.where("id <> pivot").select("id", "pivot").join(known, ["id", "pivot"], "left_anti"), "crossing-pairs")
-        if not fresh.isEmpty():
-            more = written(compared(sets, fresh), "crossing-compared")
-            links = links.union(more.where(links_percent(percent)).select(F.col("id").alias("a"), F.col("pivot").alias("b")))
-            known = known.union(fresh)
-        if crossing.where("more").isEmpty():
-            return links
-        most *= 4
+    """(a, b) links between the representatives ``reps`` (doc_id, n, signature), enough to give every component."""
+    buckets = written(buckets_of(reps, count), "bucket-members")
+    members = buckets.select("id").distinct()
+    sets = written(shingle_sets(likely(texts.select(F.col("doc_id").alias("id"), "text").where("id IS NOT NULL"), "id", filter_of(members)), words), "shingle-sets")
+    early = buckets.where(F.col("band") < FIRST_BANDS)
+    heads = early.where("blocks > 1").select("key", "block", F.col("head").alias("id")).distinct()
+    first = early.select("key", "block", "id").union(heads).distinct()
+    links = written(links_in_cells(first.select(F.xxhash64("key", "block").alias("cell"), "id", F.lit(0).alias("block")), sets, percent), "first-links")
+
+    now = components(links)
+    held = buckets.where((F.col("band") >= FIRST_BANDS) | (F.col("blocks") > 1)).join(now, "id", "left")
+    held = written(held.select("key", "id", "block", "blocks", F.coalesce("component_id", "id").alias("component")), "open-members")
+    open_keys = held.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
+    spread = held.join(open_keys, "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cell = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
+    return links.union(written(links_in_cells(spread.select(cell.alias("cell"), "id", "block"), sets, percent), "second-links"))
 
 
 def near_documents(docs: DataFrame, words: int = 5, percent: int = PERCENT, count: int = PERMUTATIONS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each document.
 
     Documents with equal sets are one class with one representative. A pair of Jaccard 0.8 shares one of the 40
-    bands but for one case in ten million, and its signatures look unlike but for one in a hundred thousand; a closer
-    pair is found more surely still. A null text is an empty one; documents without words link with
+    bands but for one case in ten million, a closer pair more surely still. A null text is an empty one; documents without words link with
     nothing, as do rows with a null id, which are kept. Rows that share an id are one vertex. An empty table gives an
     empty one; other columns are left out.
     """
