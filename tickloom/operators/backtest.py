@@ -182,37 +182,38 @@ DRAW_MODULUS = 2147483647
 DRAW_MULTIPLIER = 48271
 
 
-def with_draw(df: DataFrame, name: str, seed: int) -> DataFrame:
-    """Index in 0..n-1 drawn for step ``i`` of simulation ``sim``: a fixed function, so a lost task redraws the same.
+#: Simulations are dealt out in so many shares of each ticker.
+SIM_BLOCKS = 32
+
+
+def drawn(sim: Column, steps: Column, seed: int) -> Column:
+    """A number for each step (array of bigint) of a simulation: a fixed function, so a lost task draws the same again."""
+    sim, m = sim.cast("bigint"), F.lit(DRAW_MODULUS).cast("bigint")
+    out = F.transform(steps, lambda i: (sim * DRAW_MULTIPLIER + i * 69621 + seed) % m)
+
+    def mixed(k: int) -> Column:
+        return F.zip_with(out, steps, lambda h, i: (h * h + h * k + i + sim) % m)
 
-    The steps are separate columns because each uses the one before it twice.
-    """
-    sim, i, m = F.col("sim").cast("bigint"), F.col("i").cast("bigint"), F.lit(DRAW_MODULUS).cast("bigint")
-    out = df.withColumn("__h", (sim * DRAW_MULTIPLIER + i * 69621 + seed) % m)
-    h = F.col("__h")
     for k in (40692, 16807, 39373):
-        out = out.withColumn("__h", (h * h + h * k + i + sim) % m)
-    return out.withColumn(name, F.coalesce(h % F.col("n"), F.lit(0).cast("bigint"))).drop("__h")
+        out = mixed(k)
+    return out
 
 
 def bootstrap_returns(curve: DataFrame, sims: int = 1000, seed: int = 42) -> DataFrame:
     """Compounded return of each (ticker, sim): as many draws with replacement as there are returns.
 
-    Draws meet the drawn returns in an equi-join on (ticker, row number) and are multiplied with map-side combination,
-    so neither a series nor a simulation has to fit in one task. How the two sides meet is left to Spark's own size
-    checks and to adaptive execution. Give a stored table, as it is read more than once.
+    A ticker's returns are one array, bounded by the calendar. It is dealt out with a share of the simulations, which
+    draw from it in place: what is shuffled are arrays, not draws.
     """
-    r = curve.where(F.col("equity_return").isNotNull()).select(
-        "ticker", (F.row_number().over(bars_window()) - 1).cast("bigint").alias("i"), F.col("equity_return").alias("r"),
-        F.count(F.lit(1)).over(Window.partitionBy("ticker")).alias("n"),
-    )
-    # Every row becomes ``sims`` rows: the parts are fixed here so that a short series still spreads over all cores.
-    parts = int(curve.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    draws = r.drop("r").repartition(parts, "ticker", "i").withColumn("sim", F.explode(F.sequence(F.lit(0), F.lit(sims - 1))))
-    drawn = with_draw(draws, "drawn", seed).select("ticker", "sim", "drawn")
-    returns = r.select("ticker", F.col("i").alias("drawn"), "r")
-    hit = drawn.join(returns, ["ticker", "drawn"])
-    return hit.groupBy("ticker", "sim").agg((F.product(1 + F.col("r")) - 1).alias("sim_return"))
+    ordered = F.array_sort(F.collect_list(F.struct("date", F.col("equity_return").alias("r"))))
+    series = curve.where(F.col("equity_return").isNotNull()).groupBy("ticker").agg(F.transform(ordered, lambda x: x["r"]).alias("r"))
+    parts, blocks = int(curve.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(SIM_BLOCKS, sims)
+    shares = series.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).repartition(parts, "ticker", "block")
+    steps = F.sequence(F.lit(0).cast("bigint"), (F.size("r") - 1).cast("bigint"))
+    runs = shares.withColumn("steps", steps).withColumn("sim", F.explode(F.sequence(F.col("block"), F.lit(sims - 1), F.lit(blocks))))
+    factor = lambda h: 1 + F.get(F.col("r"), (h % F.size("r")).cast("int"))
+    grown = F.aggregate(drawn(F.col("sim"), F.col("steps"), seed), F.lit(1.0), lambda x, h: x * factor(h))
+    return runs.select("ticker", "sim", (grown - 1).alias("sim_return"))
 
 
 def monte_carlo(curve: DataFrame, sims: int = 1000, confidence: float = 0.95, seed: int = 42) -> DataFrame:
