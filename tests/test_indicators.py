@@ -101,3 +101,24 @@ def test_sequences(spark):
     assert len(s) == 20
     np.testing.assert_allclose(s[0]["x"], pdf[["open", "close"]].to_numpy()[:10])
     assert s[0]["y"] == pdf["close"][10]
+
+
+def test_sql_functions(spark, bars):
+    from datetime import date
+
+    from tickloom.functions import sql
+
+    bars.createOrReplaceTempView("bars_for_sql")
+    spark.createDataFrame([("AAPL", date(2020, 3, 2), 0.25)], "ticker string, date date, quality_score double").createOrReplaceTempView("quality_for_sql")
+    sql.register(spark, "bars_for_sql", "quality_for_sql")
+    rows = spark.sql("SELECT * FROM validate_market_data(DATE '2020-03-02') ORDER BY ticker").collect()
+    assert [(r["ticker"], r["has_missing"], r["has_outliers"], r["quality_score"]) for r in rows] == [("AAPL", False, False, 0.25), ("GOOGL", False, False, 0.5)]
+    assert spark.sql("SELECT * FROM validate_market_data()").count() == 0
+    expected = {(r["ticker"], r["date"]): r["rsi"] for r in indicators.rsi_of(bars, 9).collect()}
+    got = spark.sql("SELECT ticker, date, compute_rsi(ticker, date, 9) AS rsi FROM bars_for_sql").collect()
+    assert len(got) == len(expected)
+    for r in got:
+        want = expected[r["ticker"], r["date"]]
+        assert (r["rsi"] is None) == (want is None) and (want is None or abs(r["rsi"] - want) < 1e-9)
+    one = spark.sql("SELECT compute_rsi('AAPL', DATE '2030-01-01') AS last, compute_rsi('none', DATE '2020-03-02') AS none, compute_rsi('AAPL', DATE '2020-01-03') AS early").first()
+    assert one["last"] is not None and one["none"] is None and one["early"] is None

@@ -154,3 +154,13 @@ def test_approximate_quantiles(batches):
     rows = [(i, "a", i, i) for i in range(300)] + [(999, "a", 9000, 0)]
     got = jobs.run_to_table(jobs.approximate_quantiles(batches(rows), ["key"], "ts", "value", {"p50": 0.5}, "5 minutes", "5 minutes"), "t").first()
     assert abs(got["p50"] - 149.5) < 2
+
+
+def test_ratio_of_two_streams(spark, tmp_path):
+    """Windows that only one side has come out once the slower stream has passed them."""
+    for name, rows in (("hits", [(0, "a", 10, 1), (1, "a", 20, 1), (2, "b", 30, 1), (3, "a", 700, 1), (4, "z", 5000, 1)]), ("misses", [(0, "a", 15, 1), (1, "c", 650, 1), (2, "z", 4000, 1)])):
+        (tmp_path / name).mkdir()
+        write(spark, tmp_path / name, "f", rows, 0)
+    out = jobs.ratio_of_streams(stream(spark, f"{tmp_path}/hits"), stream(spark, f"{tmp_path}/misses"), ["key"], "ts", "10 minutes", "1 minute")
+    got = {(r["key"], (r["window_end"] - START).seconds): (r["top"], r["other"], round(r["ratio"], 3)) for r in jobs.run_to_table(out, "ratio").collect()}
+    assert got == {("a", 600): (2, 1, 0.667), ("b", 600): (1, 0, 1.0), ("a", 1200): (1, 0, 1.0), ("c", 1200): (0, 1, 0.0)}

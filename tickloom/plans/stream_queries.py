@@ -88,6 +88,19 @@ def stream_hit_ratio(spark, folder):
     return rounded(jobs.hit_ratio(_kept(spark, folder), datasets.table(spark, folder, "events")), {"hit_ratio": 9})
 
 
+LOWER_MARK = "(SELECT least(max(ts) FILTER (event_type = 'click'), max(ts) FILTER (event_type = 'view')) FROM events) - INTERVAL 10 MINUTE"
+
+
+@query("stream_ratio_of_two", f"""WITH c AS (SELECT user_id % 10 AS shard, make_timestamp(CAST((floor(epoch_us(ts) / 3600e6) + 1) * 3600 * 1000000 AS BIGINT)) AS tick,
+    count(*) FILTER (event_type = 'click') AS hits, count(*) FILTER (event_type = 'view') AS misses FROM events WHERE event_type IN ('click', 'view') GROUP BY ALL)
+  SELECT shard, {second_sql('tick')} AS window_end, hits AS top, misses AS other, {rsql('hits / (hits + misses)', 8)} AS ratio FROM c WHERE tick <= {LOWER_MARK}""")
+def stream_ratio_of_two(spark, folder):
+    """Clicks among clicks and views by hour, from two streams that are each read by themselves."""
+    shard = (F.col("user_id") % 10).alias("shard")
+    one, two = (_events(spark, folder).where(F.col("event_type") == kind).select(shard, "ts") for kind in ("click", "view"))
+    return rounded(jobs.run_to_table(jobs.ratio_of_streams(one, two, ["shard"], "ts", "1 hour"), "stream-ratio"), {"ratio": 8})
+
+
 @query("stream_counters", f"""SELECT event_type, user_id, count(*) AS samples, {rsql('sum(value)', 4)} AS total, arg_max(value, ts) AS value FROM events GROUP BY event_type, user_id""")
 def stream_counters(spark, folder):
     path = work_folder(spark, "stream-counters")

@@ -107,6 +107,26 @@ def approximate_quantiles(events: DataFrame, keys: Sequence[str], ts: str, value
     return out.select(*keys, F.col("w.end").alias("window_end"), *[F.col("__q")[i].alias(n) for i, n in enumerate(quantiles)])
 
 
+def ratio_of_streams(top: DataFrame, other: DataFrame, keys: Sequence[str], ts: str, window: str = "5 minutes", delay: str = METRIC_DELAY) -> DataFrame:
+    """(keys, window_end, top, other, ratio): share of ``top`` among the rows of two streams in each window and label set.
+
+    Both streams are counted by window first, so the join holds one row per window, label set and side. A window that only one
+    side has comes out when the watermark, the lower one of both streams, has passed it; the other side then counts as zero.
+    """
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        w = rows.withWatermark(ts, delay).groupBy(F.window(ts, window).alias(f"w_{name}"), *[F.col(k).alias(f"{k}_{name}") for k in keys])
+        return w.agg(F.count("*").alias(name))
+
+    a, b = counted(top, "top"), counted(other, "other")
+    met = F.col("w_top") == F.col("w_other")
+    for k in keys:
+        met = met & (F.col(f"{k}_top") == F.col(f"{k}_other"))
+    both = a.join(b, met, "full_outer")
+    n, m = F.coalesce("top", F.lit(0)), F.coalesce("other", F.lit(0))
+    return both.select(*[F.coalesce(f"{k}_top", f"{k}_other").alias(k) for k in keys], F.coalesce(F.col("w_top.end"), F.col("w_other.end")).alias("window_end"),
+                       n.alias("top"), m.alias("other"), (n / (n + m)).alias("ratio"))
+
+
 def hit_ratio(kept: DataFrame, requests: DataFrame) -> DataFrame:
     """Share of requests answered by an earlier one."""
     n, k = requests.agg(F.count("*").alias("n")).scalar(), F.count("*")
