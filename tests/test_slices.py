@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom.functions import slices
 
@@ -56,6 +57,24 @@ def test_order_statistics_with_signs(spark):
     assert [got[f"q{i}"] for i in range(8)] == x
 
 
+@pytest.mark.parametrize("low, width", [(0.0, 1e-4), (1.0, 1e-5), (-2e-9, 4e-9), (5e6, 3.0), (0.0, 0.0)])
+def test_order_statistics_of_values_close_together(spark, low, width):
+    x = low + width * np.random.RandomState(2).rand(20_000)
+    got = slices.order_statistics(spark.createDataFrame(pd.DataFrame({"key": "k", "v": x})), ["key"], "v", {"lo": 0.0, "mid": 0.5, "p99": 0.99, "end": 0.9999}).first()
+    s = np.sort(x)
+    assert [got[c] for c in ("lo", "mid", "p99", "end")] == [s[0], s[10_000], s[19_800], s[19_998]]
+
+
+def test_slices_ascend_with_the_value(spark):
+    rng = np.random.RandomState(3)
+    x = np.concatenate([rng.randn(4000) * 10.0 ** rng.randint(-300, 300, 4000), [0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308]])
+    rows = spark.createDataFrame(pd.DataFrame({"v": np.sort(x)})).select("v", slices.value_slice(F.col("v")).alias("s")).orderBy("v").collect()
+    numbers = [r["s"] for r in rows]
+    assert numbers == sorted(numbers) and len(set(numbers)) > 3000
+    small = spark.range(1000).select(slices.value_slice((F.col("id") + 1) / 1e7).alias("s"))
+    assert small.distinct().count() > 300
+
+
 def test_suggested_width(skewed):
     _, df = skewed
     assert 500 < slices.suggest_slice_seconds(df, ["key"], "ts", 100) * 0.6 * 4000 / 200_000 * 10 < 2000

@@ -115,29 +115,48 @@ def newest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int
     )
 
 
+#: Slices in each doubling of a value, and the parts that a slice with a wanted rank is cut into.
+SLICES_PER_OCTAVE, PARTS = 64, 4096
+
+
+def value_slice(v: Column) -> Column:
+    """Number of the slice that holds a value: about one percent wide anywhere but at zero, ascending with the value."""
+    octave = F.floor(F.log2(F.abs(v)) * SLICES_PER_OCTAVE) + 1100 * SLICES_PER_OCTAVE
+    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("bigint") * octave)
+
+
 def order_statistics(df: DataFrame, keys: Sequence[str], value: str, fractions: Mapping[str, float]) -> DataFrame:
     """For each key the sorted value at index ``floor(n * q)``, without interpolation, for each named q.
 
-    Equal values are counted together first. The distinct values are cut into slices of about one
-    percent relative width; only slices that hold a wanted rank are ordered.
+    Equal values are counted together first. The distinct values are cut into slices of about one percent relative width; the
+    slices that hold a wanted rank are cut again, evenly between their least and greatest value, and only the parts that hold
+    one are ordered: values close together are spread over tasks as well as those over many scales.
     """
     v = F.col(value)
-    counted = df.where(v.isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
-    counted = counted.withColumn(SLICE, F.signum(v) * F.floor(F.log1p(F.abs(v)) * 128))
-    per_slice = counted.groupBy(*keys, SLICE).agg(F.sum("__n").alias("__in"))
+    counted = df.where(v.isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n")).withColumn(SLICE, value_slice(v))
+    per_slice = counted.groupBy(*keys, SLICE).agg(F.sum("__n").alias("__in"), F.min(v).alias("__lo"), F.max(v).alias("__hi"))
     ordered = Window.partitionBy(*keys).orderBy(SLICE)
     per_slice = per_slice.select(
-        *keys, SLICE, "__in",
+        *keys, SLICE, "__in", "__lo", "__hi",
         (F.sum("__in").over(ordered) - F.col("__in")).alias("__before"),
         F.sum("__in").over(Window.partitionBy(*keys)).alias("__total"),
     )
     rank = {n: F.floor(F.col("__total") * F.lit(float(q))) for n, q in fractions.items()}
-    inside = [(r >= F.col("__before")) & (r < F.col("__before") + F.col("__in")) for r in rank.values()]
-    wanted = inside[0]
-    for c in inside[1:]:
-        wanted = wanted | c
-    rows = counted.join(per_slice.where(wanted), [*keys, SLICE])
-    below = F.col("__before") + F.sum("__n").over(in_slice(keys, v)) - F.col("__n")
+
+    def holds_a_rank(count: str) -> Column:
+        wanted = F.lit(False)
+        for r in rank.values():
+            wanted = wanted | ((r >= F.col("__before")) & (r < F.col("__before") + F.col(count)))
+        return wanted
+
+    near = counted.join(per_slice.where(holds_a_rank("__in")).drop("__in"), [*keys, SLICE])
+    share = F.coalesce(F.try_divide(v - F.col("__lo"), F.col("__hi") - F.col("__lo")), F.lit(0.0))
+    near = near.withColumn("__part", F.floor(share * (PARTS - 1))).drop("__lo", "__hi")
+    parts = near.groupBy(*keys, SLICE, "__part", "__before", "__total").agg(F.sum("__n").alias("__in"))
+    earlier = F.sum("__in").over(Window.partitionBy(*keys, SLICE).orderBy("__part")) - F.col("__in")
+    parts = parts.withColumn("__before", F.col("__before") + earlier).where(holds_a_rank("__in"))
+    rows = near.drop("__before", "__total").join(parts.drop("__in"), [*keys, SLICE, "__part"])
+    below = F.col("__before") + F.sum("__n").over(Window.partitionBy(*keys, SLICE, "__part").orderBy(v)) - F.col("__n")
     rows = rows.withColumn("__first", below)
     return rows.groupBy(*keys).agg(
         *[F.max(F.when((r >= F.col("__first")) & (r < F.col("__first") + F.col("__n")), v)).alias(n)
