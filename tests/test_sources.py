@@ -182,3 +182,29 @@ def test_concat(spark, bars):
 
     out = concat([bars.select("ticker", "close").limit(2), bars.select("ticker", "volume").limit(3)])
     assert out.columns == ["ticker", "close", "volume"] and out.where("close is null").count() == 3
+
+
+def test_a_bad_file_does_not_stop_the_others(spark, tmp_path):
+    import gzip
+
+    from tickloom.sources import ticker_files
+
+    good = "Date,Open,High,Low,Close,Adj Close,Volume\n2024-01-02,1,2,0.5,1.5,1.4,100\n\n2024-01-03,1,2,0.5,,1.4,100\n"
+    (tmp_path / "aapl_daily.csv").write_text(good)
+    (tmp_path / "msft.csv").write_text("volume,close,low,high,open,date\n7,1,1,1,1,2024-01-02\n7,x,1,1,1,2024-01-03\n7,1\n")
+    (tmp_path / "ibm.csv.gz").write_bytes(gzip.compress(good.encode()))
+    (tmp_path / "cut.csv.gz").write_bytes(gzip.compress(good.encode() * 50)[:-30])
+    (tmp_path / "noise.csv").write_bytes(b"\xff\xfe\x00\x01" * 9)
+    (tmp_path / "empty.csv").write_bytes(b"")
+    (tmp_path / "header.csv").write_text("date,open,high,low,close,volume\n")
+    (tmp_path / "short.csv").write_text("date,open\n2024-01-02,1\n")
+    bars, report = ticker_files.split_readable(ticker_files.read_apart(spark, str(tmp_path)))
+    got = sorted((r["ticker"], str(r["date"]), r["close"], r["adj_close"], r["volume"]) for r in bars.collect())
+    assert got == [("AAPL", "2024-01-02", 1.5, 1.4, 100), ("AAPL", "2024-01-03", None, 1.4, 100), ("IBM", "2024-01-02", 1.5, 1.4, 100),
+                   ("IBM", "2024-01-03", None, 1.4, 100), ("MSFT", "2024-01-02", 1.0, None, 7)]
+    errors = {}
+    for r in report.collect():
+        errors.setdefault(r["ticker"], []).append(r["error"])
+    assert errors.keys() == {"MSFT", "CUT", "NOISE", "HEADER", "SHORT"} and len(errors["MSFT"]) == 2
+    assert errors["SHORT"] == ["Missing columns: high, low, close, volume"] and errors["HEADER"] == ["No lines"]
+    assert errors["CUT"][0].startswith("EOFError") and errors["NOISE"][0].startswith("UnicodeDecodeError")
