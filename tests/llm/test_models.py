@@ -188,3 +188,15 @@ def test_stages(spark, tmp_path):
     masked = {r.doc_id: r for r in seen["pii"].collect()}
     assert masked[1001].text.startswith("call [PHONE] now") and masked[1001].n_chars == len(masked[1001].text) and masked[2000].text is None
     assert ids("packing") == ids("near_dedup") and corpus_pipeline.run(spark, str(tmp_path)).count() == seen["packing"].count()
+
+
+def test_caches_of_other_operators_are_dropped():
+    from tickloom.llm import common, minmax
+
+    minmax.shingle_set("some words in a text", 2)
+    packing.tokens(None).encode(["some words in a text"])
+    common.keep_cache_of("packing")
+    assert not minmax.HASHES and packing.tokens.cache_info().currsize == 1
+    minmax.shingle_set("some words in a text", 2)
+    common.keep_cache_of("minmax")
+    assert minmax.HASHES and packing.tokens.cache_info().currsize == 0

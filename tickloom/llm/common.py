@@ -10,6 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: What clears the cache of an operator, by its module; only those that a worker has imported are there.
+CACHES: dict[str, Callable[[], None]] = {}
+
+
+def keep_cache_of(module: str) -> None:
+    """Drop what other operators hold in this worker: the stages of a pipeline run in the same ones, and idle caches add up."""
+    for name, clear in CACHES.items():
+        if name != module:
+            clear()
+
+
 def place_of(df: DataFrame, name: str) -> int:
     """Place of the first column of a name, spelled exactly so if there is one, else in any case."""
     return df.columns.index(name) if name in df.columns else [c.lower() for c in df.columns].index(name.lower())
@@ -79,6 +90,7 @@ def with_new_text(docs: DataFrame, change: Callable[[str], str]) -> DataFrame:
     count = place_of(docs, "n_chars") if "n_chars" in [c.lower() for c in docs.columns] else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_cache_of("")
         for batch in batches:
             columns = list(batch.columns)
             new = [None if t is None else change(t) for t in columns[at].to_pylist()]

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import numbered, picked, place_of
+from tickloom.llm.common import keep_cache_of, numbered, picked, place_of
 
 # Fixed value: a passage has more words than this.
 WORDS = 50
@@ -88,6 +88,7 @@ def chunk_table(texts: DataFrame, with_bytes: bool) -> DataFrame:
     schema = "doc_id long, chunk int, key binary" + ", bytes binary" * with_bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_cache_of("")
         for batch in batches:
             ids, places, keys, values = [], [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -108,6 +109,7 @@ def passage_table(texts: DataFrame) -> DataFrame:
     """(doc_id, start, end, key) of the runs of lines of a table of (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_cache_of("")
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if found := passages_of(text):
@@ -167,6 +169,7 @@ def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     at, gone_at = place_of(docs, text_column), len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_cache_of("")
         for batch in batches:
             texts, *gone = [batch.column(k).to_pylist() for k in (at, *range(gone_at, gone_at + len(names)))]
             made = [(t, 0) if t is None or not any(c) else without_lines(t, *[x or [] for x in c]) for t, *c in zip(texts, *gone)]

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import numbered, picked, place_of, written
+from tickloom.llm.common import CACHES, keep_cache_of, numbered, picked, place_of, written
 from tickloom.llm.components import components
 
 PERMUTATIONS = 100
@@ -46,6 +46,7 @@ class WordHashes(dict):
 
 
 HASHES = WordHashes()
+CACHES["minmax"] = HASHES.clear
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -97,6 +98,7 @@ def signed(texts: DataFrame, words: int, count: int) -> DataFrame:
             ["doc_id", "n", "digest", "signature"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_cache_of("minmax")
         for batch in batches:
             ids, sets, size = [], [], 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -140,6 +142,7 @@ def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
     """(id, shingles) of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_cache_of("minmax")
         for batch in batches:
             made = [shingle_set(t.as_py() or "", words).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["id", "shingles"])
@@ -219,6 +222,7 @@ def links_in_cells(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_cache_of("")
         rows: list[tuple] = []
         mark = None
         for batch in batches:

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import texts_of, written
+from tickloom.llm.common import CACHES, keep_cache_of, texts_of, written
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
@@ -162,6 +162,9 @@ def tokens(path: str | None) -> Tokens:
     return Tokens(path)
 
 
+CACHES["packing"] = tokens.cache_clear
+
+
 def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): the ids of each text and the end id, cut only above ``capacity``."""
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
@@ -169,6 +172,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_cache_of("packing")
         for batch in batches:
             keys, column, at = batch.column(0).to_pylist(), batch.column(1), 0
             while at < len(keys):

@@ -21,7 +21,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import numbered, picked, place_of, written
+from tickloom.llm.common import keep_cache_of, numbered, picked, place_of, written
 
 TRAINING_ROWS = 20_000
 LEXICON_TERMS = 400
@@ -137,6 +137,7 @@ def with_features(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> Data
     schema = docs.withColumn("__features", F.array(F.lit(0.0))).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_cache_of("")
         for batch in batches:
             made = [features_of(t or "", lexicon) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.list_(pa.float64()))], schema.names)
