@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 from tests.conftest import price_series
+from tickloom.functions import gram
 from tickloom.functions.stats import pearson_p_value
 from tickloom.operators import leakage
 
@@ -65,3 +66,36 @@ def test_summary_and_report(planted):
 @pytest.mark.parametrize("r, n, p", [(0.5, 10, 0.14111), (0.9, 12, 6.7e-05), (0.1, 1000, 0.001544), (0.0, 50, 1.0)])
 def test_p_values(r, n, p):
     assert abs(pearson_p_value(r, n) - p) / p < 0.02
+
+
+def test_blocks_of_columns(spark, monkeypatch):
+    """Many columns with missing values, a constant and large values, in blocks smaller than their number."""
+    monkeypatch.setattr(gram, "BLOCK", 16)
+    monkeypatch.setattr(gram, "BLOCKS_AT_ONCE", 3)
+    rng = np.random.RandomState(3)
+    data = rng.randn(300, 40) @ rng.randn(40, 40)
+    data[rng.rand(300, 40) < 0.1] = np.nan
+    data[:, 7] = 0.1
+    data[:, 8] = 1e9 + data[:, 9]
+    data[:, 10] = np.nan
+    names = [f"f{k}" for k in range(40)]
+    pdf = pd.DataFrame(data, columns=names)
+    want = pdf.corr().abs()
+    got = leakage.pair_correlations(spark.createDataFrame(pdf).repartition(5), names).collect()
+    assert len(got) == 39 * 38 // 2
+    for r in got:
+        value = r["correlation"]
+        if "f7" in (r["feature1"], r["feature2"]):
+            assert value is None
+        else:
+            assert abs(value - want.loc[r["feature1"], r["feature2"]]) < 1e-6
+    assert leakage.pair_correlations(spark.createDataFrame(pdf).where("1 = 0"), names).isEmpty()
+
+
+def test_a_thousand_columns(spark):
+    rng = np.random.RandomState(4)
+    data = rng.randn(200, 1000)
+    data[:, 999] = data[:, 0] * 2
+    names = [f"f{k}" for k in range(1000)]
+    found = leakage.detect_collinearity(spark.createDataFrame(pd.DataFrame(data, columns=names)), names).collect()
+    assert [r["affected_columns"] for r in found] == [["f0", "f999"]]

@@ -8,11 +8,13 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from itertools import combinations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.functions import gram
 from tickloom.functions.rolling import bars_window
 from tickloom.functions.stats import clean_number, pearson, pearson_p_value
 
@@ -36,27 +38,42 @@ def _among(features: Sequence[str]) -> list[Pair]:
 
 
 def _measure(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
-    """(kind, feature1, feature2, value, pairs): the correlation of every listed pair of columns from one scan.
+    """(kind, feature1, feature2, value, pairs): the correlation of every listed pair of columns.
 
-    A row is unfolded into (pair number, x, y) by a fixed list of column numbers and reduced at once by pair number on the
-    map side: what is shuffled is one short row per pair and task, and the generated code stays small however many
-    features there are. Rows in which either side is missing count for the other pairs only.
+    A list with more pairs than twice its columns, as of all pairs, is taken by blocked matrix products. A shorter one
+    unfolds a row into (pair number, x, y), reduced at once by pair number on the map side. Either way what is shuffled is
+    one short row per pair and task. Rows in which either side is missing count for the other pairs only.
     """
     if not pairs:
         raise ValueError("nothing to measure")
     columns = list(dict.fromkeys(c for p in pairs for c in p[3:]))
-    picks = F.array(*[F.struct(F.lit(columns.index(x)).alias("i"), F.lit(columns.index(y)).alias("j")) for *_, x, y in pairs])
+    number = {c: k for k, c in enumerate(columns)}
+    places = [(number[x], number[y]) for *_, x, y in pairs]
+    found = gram.correlations(df, columns, places) if len(pairs) > 2 * len(columns) else _unfolded(df, columns, places)
+    # Names are found by their number in short lists: a list of pairs as literals would grow with its square.
+    names = list(dict.fromkeys(p[k] for p in pairs for k in (0, 1, 2) if p[k] is not None))
+    at = {n: k for k, n in enumerate(names)}
+    index = np.array([[at.get(p[k], -1) for k in (0, 1, 2)] for p in pairs], dtype="int32")
+
+    @F.pandas_udf("kind int, feature1 int, feature2 int")
+    def numbers(pair: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(index[pair.to_numpy()], columns=["kind", "feature1", "feature2"])
+
+    def name(part: str) -> Column:
+        k = F.col(f"p.{part}")
+        return F.when(k >= 0, F.get(F.array(*[F.lit(n) for n in names]), k)).alias(part)
+
+    named = found.withColumn("p", numbers("at")).select(name("kind"), name("feature1"), name("feature2"), "value", "pairs")
+    return named.withColumn("value", F.when(F.col("kind") == MULTI_COLLINEARITY, F.abs("value")).otherwise(F.col("value")))
+
+
+def _unfolded(df: DataFrame, columns: Sequence[str], places: Sequence[tuple[int, int]]) -> DataFrame:
+    picks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in places])
     values = df.select(F.array(*[clean_number(F.col(c)) for c in columns]).alias("v"))
     rows = values.select(F.posexplode(picks).alias("at", "p"), "v")
     rows = rows.select("at", F.get("v", F.col("p.i")).alias("x"), F.get("v", F.col("p.j")).alias("y"))
     rows = rows.where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    found = rows.groupBy("at").agg(pearson(F.col("x"), F.col("y")).alias("value"), F.count("*").alias("pairs"))
-
-    def name(part: int) -> Column:
-        return F.get(F.array(*[F.lit(p[part]).cast("string") for p in pairs]), F.col("at"))
-
-    value = F.when(F.col("kind") == MULTI_COLLINEARITY, F.abs("value")).otherwise(F.col("value"))
-    return found.select(name(0).alias("kind"), name(1).alias("feature1"), name(2).alias("feature2"), "value", "pairs").withColumn("value", value)
+    return rows.groupBy("at").agg(pearson(F.col("x"), F.col("y")).alias("value"), F.count("*").alias("pairs"))
 
 
 def _led(df: DataFrame, target: str, days: int) -> DataFrame:
