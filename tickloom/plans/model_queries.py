@@ -211,7 +211,33 @@ def leak_summary(spark, folder):
     return leakage.summarize_issues(leakage.all_issues(train, val, "target", LEAK_FEATURES))
 
 
-@query("leak_report")
+def _exact(source: str, y: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{f}' AS f, corr({f}, {y}) AS v FROM {source}" for f in LEAK_FEATURES)
+
+
+def _exact_pairs(source: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, abs(corr({a}, {b})) AS v FROM {source}" for i, a in enumerate(LEAK_FEATURES) for b in LEAK_FEATURES[i + 1:])
+
+
+def _line_sql(severity: str, kind: str, text: str, columns: str, advice: str) -> str:
+    return f"SELECT {severity} AS severity, '] {kind}: ' || {text} || ' | affected: ' || {columns} || ' | action: ' || {advice} AS rest"
+
+
+START_LATER = "'Start validation at least one day after training ends'"
+REPORT_SQL = f"""{BARS}, {LEAK_SQL}, {PERIODS_SQL}, led AS (SELECT *, lead(target) OVER w AS future FROM tr {WINDOW_SQL}),
+  g AS (SELECT CAST((SELECT min(date) FROM va) - (SELECT max(date) FROM tr) AS DOUBLE) AS v),
+  found AS ({_line_sql("'CRITICAL'", leakage.LOOKAHEAD, "format('''{}'' correlates {:.3f} with the target 1 day(s) ahead', f, v)", "f", "format('Remove ''{}'' or lag it by 1 day(s)', f)")}
+      FROM ({_exact('led', 'future')}) WHERE abs(v) > 0.7
+    UNION ALL {_line_sql("CASE WHEN abs(v) > 0.9 THEN 'HIGH' ELSE 'MEDIUM' END", leakage.TARGET_DEPENDENT, "format('''{}'' correlates {:.3f} with the target', f, v)", "f",
+                         "format('Check how ''{}'' is derived from the target', f)")} FROM ({_exact('tr', 'target')}) WHERE abs(v) > 0.8
+    UNION ALL {_line_sql("'CRITICAL'", leakage.TEMPORAL, "format('Validation starts {:.0f} days before training ends', -v)", "'date'", START_LATER)} FROM g WHERE v <= 0
+    UNION ALL {_line_sql("'HIGH'", leakage.TEMPORAL, "format('No gap between training and validation ({:.0f} days)', v)", "'date'", START_LATER)} FROM g WHERE v < 1
+    UNION ALL {_line_sql("'MEDIUM'", leakage.MULTI_COLLINEARITY, "format('''{}'' and ''{}'' correlate {:.3f}', a, b, v)", "a || ', ' || b", "format('Keep one of ''{}'' and ''{}''', a, b)")}
+      FROM ({_exact_pairs('tr')} UNION ALL {_exact_pairs('va')}) WHERE v > 0.95)
+  SELECT CAST(list_position(['CRITICAL', 'HIGH', 'MEDIUM', 'LOW'], severity) AS BIGINT) AS rank, '[' || severity || rest AS line FROM found"""
+
+
+@query("leak_report", REPORT_SQL)
 def leak_report(spark, folder):
     train, val = _periods(spark, folder)
     return leakage.report_lines(leakage.all_issues(train, val, "target", LEAK_FEATURES))
