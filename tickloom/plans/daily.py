@@ -14,6 +14,7 @@ from tickloom.operators import modeling, recurrence, splits, validate
 from tickloom.operators.clean import fill_defaults
 from tickloom.session import stored
 from tickloom.sources import readers, schemas, sinks
+from tickloom.sources.key_filter import KeyFilter
 
 
 @dataclass(frozen=True)
@@ -37,7 +38,7 @@ def ingest(spark: SparkSession, config: DailyConfig, landed: DataFrame, tickers:
     bad = F.col("validation_error").isNotNull()
     table = config.table("raw_market_data")
     good, rejected = sinks.storable(spark, checked.where(~bad).drop("validation_error"), table, schemas.RAW_BARS, ("ingested_at", "updated_at"))
-    inserted = sinks.append_if_absent(spark, good, table)
+    inserted = sinks.append_if_absent(spark, good, table, known=KeyFilter(f"{table}_keys", sinks.BAR_KEY))
     sinks.append_new_rows(spark, checked.where(bad), config.table("quarantine"))
     stats = validate.ingestion_stats(checked).first().asDict()
     return {**stats, "inserted_records": inserted, "rejected_bars": rejected}

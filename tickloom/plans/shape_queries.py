@@ -10,6 +10,7 @@ from tickloom.plans.market_queries import BARS
 from tickloom.plans.registry import WINDOW_SQL, day_sql, query
 from tickloom.session import work_folder
 from tickloom.sources import readers, schemas, sinks
+from tickloom.sources.key_filter import KeyFilter
 
 SPELLED = {"date": "Date", "open": "Open", "high": "High", "low": "Low", "close": "Close", "volume": "Volume"}
 
@@ -108,3 +109,16 @@ def refused_batches(spark, folder):
 
     items = datasets.bars_table(spark, folder).select(F.concat_ws("_", "ticker", F.date_format("date", "yyyy")).alias("batch_id"))
     return within_batch_limit(items, limit=40).groupBy("batch_id", "batch_size", "batch_error").agg(F.count("*").alias("items"))
+
+
+@query("append_filtered", f"""{BARS} SELECT ticker, {day_sql('date')} AS date, round(close, 2) + 0.0 AS close, (date < DATE '1998-01-01') AS batch_one FROM bars""")
+def append_filtered(spark, folder):
+    """Three appends under a filter of stored keys: the first batch, the rest of the bars, and all of them once more; the
+    first version of a key stays."""
+    root = work_folder(spark, "append-filtered")
+    bars = datasets.bars_table(spark, folder).withColumns({c: F.col(c) / 100 for c in ("open", "high", "low", "close")}).withColumn("source", F.lit("own"))
+    known = KeyFilter(f"{root}/bars_keys", sinks.BAR_KEY, buckets=4)
+    for batch, own in ((bars.where("date < DATE'1998-01-01'"), 1), (bars, 0), (bars, -1)):
+        sinks.append_if_absent(spark, clean.fill_defaults(batch).withColumn("adj_close", F.lit(own)), f"{root}/bars", known=known)
+    table = sinks.read_table(spark, f"{root}/bars", schemas.RAW_BARS)
+    return table.select("ticker", "date", F.round(F.col("close").cast("double") * 100, 2).alias("close"), (F.col("adj_close") == 1).alias("batch_one"))

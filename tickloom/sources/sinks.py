@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.operators.clean import keep_first
 from tickloom.operators.validate import insert_candidates, newest_wins
 from tickloom.session import stored, work_folder
 from tickloom.sources import schemas
+from tickloom.sources.key_filter import MAY_HOLD, KeyFilter
 
 MONTH = "month"
 BAR_KEY = ("ticker", "date", "source")
@@ -76,20 +78,41 @@ def storable(spark: SparkSession, new: DataFrame, path: str, schema: T.StructTyp
 
 
 def append_if_absent(spark: SparkSession, new: DataFrame, path: str, schema: T.StructType = schemas.RAW_BARS,
-                     keys: tuple[str, ...] = BAR_KEY) -> int:
+                     keys: tuple[str, ...] = BAR_KEY, known: KeyFilter | None = None) -> int:
     """Insert rows whose key is not stored; returns how many were inserted. A second run inserts none.
 
-    Rows with a value that the schema cannot hold go to ``<path>_quarantine``.
+    Rows with a value that the schema cannot hold go to ``<path>_quarantine``. With ``known``, a filter of the stored keys,
+    only months that may hold a key of the batch are read, and only for the rows in question; the result is the same.
     """
     new, _ = storable(spark, new, path, schema, ("ingested_at", "updated_at"))
-    months = _touched_months(new, "date")
-    existing = read_table(spark, path, schema).where(F.col(MONTH).isin(months))
     seen = Observation("inserted")
-    rows = insert_candidates(schemas.conform(new, schema), existing, keys).observe(seen, F.count(F.lit(1)).alias("n"))
-    write_by_month(rows, path)
+    if known is None:
+        months = _touched_months(new, "date")
+        existing = read_table(spark, path, schema).where(F.col(MONTH).isin(months))
+        rows = insert_candidates(schemas.conform(new, schema), existing, keys)
+    else:
+        rows = _unknown_rows(spark, schemas.conform(new, schema), path, schema, keys, known)
+    write_by_month(rows.observe(seen, F.count(F.lit(1)).alias("n")), path)
     return observed(seen, "n")
 
 
+def _unknown_rows(spark: SparkSession, new: DataFrame, path: str, schema: T.StructType, keys: tuple[str, ...], known: KeyFilter) -> DataFrame:
+    """Rows of ``new`` to insert. Their keys, and all keys of months that the filter did not know, are added to it before
+    the rows are written: after a failure in between the filter tells too much, never too little."""
+    marked = stored(known.mark(keep_first(new, keys)), "marked")
+    months = _touched_months(marked.where(MAY_HOLD), "date")
+    rows = marked.where(~F.col(MAY_HOLD)).drop(MAY_HOLD)
+    if months:
+        existing = read_table(spark, path, schema).where(F.col(MONTH).isin(months))
+        rows = rows.unionByName(marked.where(MAY_HOLD).drop(MAY_HOLD).join(existing.select(*keys), list(keys), "left_anti"))
+        learned = existing.where(~F.col(MONTH).isin(known.months(spark))).select(*keys)
+        rows = stored(rows, "unknown")
+        known.add(rows.select(*keys).unionByName(learned))
+    else:
+        known.add(rows)
+    return rows
+
+
 def append_new_rows(spark: SparkSession, new: DataFrame, path: str) -> None:
     """Append the rows of which no equal one is stored, so that a repeated run adds nothing."""
     digest = F.sha2(F.to_json(F.struct(*sorted(new.columns))), 256)
