@@ -37,20 +37,37 @@ def _among(features: Sequence[str]) -> list[Pair]:
     return [(MULTI_COLLINEARITY, a, b, a, b) for a, b in combinations(features, 2)]
 
 
-def _measure(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
+def _measure(df: DataFrame, pairs: Sequence[Pair], blocked: bool | None = None) -> DataFrame:
     """(kind, feature1, feature2, value, pairs): the correlation of every listed pair of columns.
 
-    A list with more pairs than twice its columns, as of all pairs, is taken by blocked matrix products. A shorter one
-    unfolds a row into (pair number, x, y), reduced at once by pair number on the map side. Either way what is shuffled is
-    one short row per pair and task. Rows in which either side is missing count for the other pairs only.
+    By blocked matrix products where ``blocked``, by default for more than eight pairs a column; otherwise a row is unfolded
+    into (pair number, x, y) and reduced at once by pair number on the map side, which needs no Python. Either way what is
+    shuffled is one short row per pair and task. Rows in which either side is missing count for the other pairs only.
     """
     if not pairs:
         raise ValueError("nothing to measure")
     columns = list(dict.fromkeys(c for p in pairs for c in p[3:]))
     number = {c: k for k, c in enumerate(columns)}
     places = [(number[x], number[y]) for *_, x, y in pairs]
-    found = gram.correlations(df, columns, places) if len(pairs) > 2 * len(columns) else _unfolded(df, columns, places)
-    # Names are found by their number in short lists: a list of pairs as literals would grow with its square.
+    if blocked is None:
+        blocked = len(pairs) > 8 * len(columns)
+    found = gram.correlations(df, columns, places) if blocked else _unfolded(df, columns, places)
+    named = (_named_by_number if blocked else _named)(found, pairs)
+    return named.withColumn("value", F.when(F.col("kind") == MULTI_COLLINEARITY, F.abs("value")).otherwise(F.col("value")))
+
+
+PARTS = ("kind", "feature1", "feature2")
+
+
+def _named(found: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
+    def name(part: int) -> Column:
+        return F.get(F.array(*[F.lit(p[part]).cast("string") for p in pairs]), F.col("at")).alias(PARTS[part])
+
+    return found.select(name(0), name(1), name(2), "value", "pairs")
+
+
+def _named_by_number(found: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
+    """The same for many pairs: names are looked up by number, so that the plan grows with the columns, not the pairs."""
     names = list(dict.fromkeys(p[k] for p in pairs for k in (0, 1, 2) if p[k] is not None))
     at = {n: k for k, n in enumerate(names)}
     index = np.array([[at.get(p[k], -1) for k in (0, 1, 2)] for p in pairs], dtype="int32")
@@ -63,8 +80,7 @@ def _measure(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
         k = F.col(f"p.{part}")
         return F.when(k >= 0, F.get(F.array(*[F.lit(n) for n in names]), k)).alias(part)
 
-    named = found.withColumn("p", numbers("at")).select(name("kind"), name("feature1"), name("feature2"), "value", "pairs")
-    return named.withColumn("value", F.when(F.col("kind") == MULTI_COLLINEARITY, F.abs("value")).otherwise(F.col("value")))
+    return found.withColumn("p", numbers("at")).select(*[name(p) for p in PARTS], "value", "pairs")
 
 
 def _unfolded(df: DataFrame, columns: Sequence[str], places: Sequence[tuple[int, int]]) -> DataFrame:
@@ -95,7 +111,7 @@ def target_correlations(df: DataFrame, target: str, features: Sequence[str]) ->
 
 def pair_correlations(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """(feature1, feature2, absolute correlation) of every pair, feature1 before feature2 in the given order."""
-    return _measure(df, _among(features)).select("feature1", "feature2", F.col("value").alias("correlation"))
+    return _measure(df, _among(features), True).select("feature1", "feature2", F.col("value").alias("correlation"))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -158,7 +174,7 @@ def detect_target_dependence(df: DataFrame, target: str, features: Sequence[str]
 
 
 def detect_collinearity(df: DataFrame, features: Sequence[str], threshold: float = 0.95) -> DataFrame:
-    return _worded(_flagged(_measure(df, _among(features)), collinear=threshold))
+    return _worded(_flagged(_measure(df, _among(features), True), collinear=threshold))
 
 
 def _gap(train: DataFrame, validation: DataFrame, column: str) -> DataFrame:
