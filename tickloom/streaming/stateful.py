@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickloom.streaming.jobs import METRIC_DELAY
@@ -24,6 +25,10 @@ PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Rows of a key that are held and sorted at once; more are sorted in runs on disk.
 RUN_ROWS = 200_000
+#: Groups that keys are dealt to by hash; part of what a checkpoint holds.
+BUCKETS = 1024
+#: Column that numbers the keys of a bucket.
+KEY = "__key"
 EVENTS = "series string, state string, since timestamp, at timestamp"
 
 
@@ -32,6 +37,40 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set(PROVIDER, ROCKSDB)
 
 
+def bucket_of(*names: str, buckets: int = BUCKETS) -> Column:
+    """Bucket of a key."""
+    return F.pmod(F.xxhash64(*names), F.lit(buckets)).cast("int")
+
+
+class Bucketed(StatefulProcessor):
+    """Processor of a bucket of keys: what it remembers of them is one value, read and written once a batch.
+
+    A call, a state access and a timer cost more than the rows of most keys, so they are paid per bucket. A bucket's timer is that
+    of the key that needs it first.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.memory = handle.getValueState("memory", "keys binary")
+
+    def load(self) -> dict:
+        return pickle.loads(self.memory.get()[0]) if self.memory.exists() else {}
+
+    def keep(self, held: dict, wake: int | None) -> None:
+        """Remember ``held`` and set the timer, in milliseconds."""
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if wake is not None:
+            self.handle.registerTimer(wake)
+        if held:
+            self.memory.update((pickle.dumps(held, pickle.HIGHEST_PROTOCOL),))
+        elif self.memory.exists():
+            self.memory.clear()
+
+    def close(self) -> None:
+        pass
+
+
 def _in_order(rows: Iterator[pd.DataFrame], column: str) -> pd.DataFrame:
     return pd.concat(list(rows)).sort_values(column)
 
@@ -190,10 +229,16 @@ class StaleValue(StatefulProcessor):
 
 
 class _Run:
-    """Sorted rows of a key."""
+    """Rows in the order of their key and time. Keys are numbers here."""
 
     def __init__(self, table: pd.DataFrame, ts: str) -> None:
         self.table, self.times = table, table[ts].to_numpy().astype("datetime64[us]").astype("int64")
+        self.keys = table[KEY].to_numpy().astype("int64")
+
+    def after(self, key: int, time: int) -> int:
+        """First place beyond a time of a key."""
+        a, b = np.searchsorted(self.keys, key), np.searchsorted(self.keys, key, "right")
+        return int(a + np.searchsorted(self.times[a:b], time, "right"))
 
     def rank(self, k: int) -> tuple:
         return ()
@@ -203,7 +248,7 @@ class _Run:
 
 
 class _StoredRun(_Run):
-    """One of several runs, in local files; the times and the places of what breaks ties are mapped, not held."""
+    """One of several runs, in local files; keys, times and the places of what breaks ties are mapped, not held."""
 
     def __init__(self, path: str, table: pd.DataFrame, ts: str, order: list[str]) -> None:
         super().__init__(table, ts)
@@ -213,9 +258,9 @@ class _StoredRun(_Run):
             for k, values in enumerate(zip(*[table[c] for c in order]) if order else [()] * len(table)):
                 starts[k] = out.tell()
                 pickle.dump(tuple((bool(pd.isna(v)), None if pd.isna(v) else v) for v in values), out)
-        np.save(f"{path}.times.npy", self.times)
-        np.save(f"{path}.starts.npy", starts)
-        self.table, self.times, self.starts = None, *[np.load(f"{path}.{x}.npy", mmap_mode="r") for x in ("times", "starts")]
+        for name, values in (("keys", self.keys), ("times", self.times), ("starts", starts)):
+            np.save(f"{path}.{name}.npy", values)
+        self.table, self.keys, self.times, self.starts = None, *[np.load(f"{path}.{x}.npy", mmap_mode="r") for x in ("keys", "times", "starts")]
 
     def rank(self, k: int) -> tuple:
         with open(f"{self.path}.ranks", "rb") as f:
@@ -226,80 +271,95 @@ class _StoredRun(_Run):
         return pd.read_pickle(f"{self.path}.rows").iloc[places]
 
 
-class OncePerPeriod(StatefulProcessor):
-    """Keeps a row when the last kept one of its key is older than the period; the key is forgotten once no row can hit it."""
+class OncePerPeriod(Bucketed):
+    """Keeps a row when the last kept one of its key is older than the period; a key is forgotten once no row can hit it.
 
-    def __init__(self, period_seconds: float, ts: str, order: list[str]) -> None:
-        self.period, self.ts, self.order = pd.Timedelta(seconds=period_seconds), ts, order
+    The rows of a bucket of keys come together, their key as text in the column ``key``; without one, all are of one key.
+    What is remembered of a key is its last kept time in microseconds.
+    """
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.memory = handle.getValueState("memory", "kept timestamp")
+    def __init__(self, period_seconds: float, ts: str, order: list[str], key: str | None = None) -> None:
+        self.period, self.ts, self.order, self.key = pd.Timedelta(seconds=period_seconds).value // 1000, ts, order, key
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        kept = pd.Timestamp(self.memory.get()[0]) if self.memory.exists() else None
-        tables = self._sorted(rows, kept)
+        held = self.load()
+        numbers = {k: i for i, k in enumerate(held)}
+        tables = self._sorted(rows, held, numbers)
         begun = list(itertools.islice(tables, 2))
         if len(begun) < 2:
             runs = [_Run(table, self.ts) for table in begun]
             places, newest = self._first_of_periods(runs)
-            yield from (run.rows(taken) for run, taken in zip(runs, places))
+            yield from (self._plain(run.rows(taken)) for run, taken in zip(runs, places) if taken)
         else:
             with tempfile.TemporaryDirectory() as folder:
                 runs = [_StoredRun(f"{folder}/{i}", table, self.ts, self.order) for i, table in enumerate(itertools.chain(begun, tables))]
                 places, newest = self._first_of_periods(runs)
-                yield from (run.rows(taken) for run, taken in zip(runs, places) if taken)
-        if newest is not None:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(_millis(newest + self.period) + 1)
-            self.memory.update((newest.to_pydatetime(),))
-
-    def _sorted(self, rows: Iterator[pd.DataFrame], kept: pd.Timestamp | None) -> Iterator[pd.DataFrame]:
+                yield from (self._plain(run.rows(taken)) for run, taken in zip(runs, places) if taken)
+        if newest:
+            names = list(numbers)
+            self._store(held | {names[k]: at for k, at in newest.items()})
+
+    def _plain(self, table: pd.DataFrame) -> pd.DataFrame:
+        return table.drop(columns=[KEY, *([] if self.key is None else [self.key, f"{self.key}_bucket"])])
+
+    def _sorted(self, rows: Iterator[pd.DataFrame], held: dict[str, int], numbers: dict[str, int]) -> Iterator[pd.DataFrame]:
         """Sorted runs of at most about ``RUN_ROWS`` rows; answered rows and all but the first of a time are left out."""
-        held, size = [], 0
+        parts, size = [], 0
+        until = np.array([at + self.period for at in held.values()], np.int64)
 
         def run() -> pd.DataFrame:
-            return pd.concat(held).sort_values([self.ts, *self.order], kind="stable").drop_duplicates(self.ts).reset_index(drop=True)
+            return pd.concat(parts).sort_values([KEY, self.ts, *self.order], kind="stable").drop_duplicates([KEY, self.ts]).reset_index(drop=True)
 
         for table in rows:
-            table = table[table[self.ts].notna() if kept is None else table[self.ts] - kept > self.period]
+            table = table[table[self.ts].notna()]
+            own = np.array([numbers.setdefault(k, len(numbers)) for k in table[self.key]] if self.key else [numbers.setdefault("", 0)] * len(table), np.int64)
+            table = table.assign(**{KEY: own})
+            known = own < len(until)
+            if known.any():
+                answered = np.zeros(len(own), bool)
+                answered[known] = table[self.ts].to_numpy().astype("datetime64[us]").astype("int64")[known] <= until[own[known]]
+                table = table[~answered]
             if len(table):
-                held.append(table)
+                parts.append(table)
                 size += len(table)
             if size >= RUN_ROWS:
-                held = [run()]
-                size = len(held[0])
+                parts = [run()]
+                size = len(parts[0])
                 if size >= RUN_ROWS // 2:
-                    yield held.pop()
+                    yield parts.pop()
                     size = 0
-        if held:
+        if parts:
             yield run()
 
-    def _first_of_periods(self, runs: list[_Run]) -> tuple[list[list[int]], pd.Timestamp | None]:
-        """Places in each run of the rows to keep, by a merge that skips what a kept row answers, and the newest kept time."""
+    def _first_of_periods(self, runs: list[_Run]) -> tuple[list[list[int]], dict[int, int]]:
+        """Places in each run of the rows to keep, by a merge that skips what a kept row answers, and the newest kept time by key."""
         places: list[list[int]] = [[] for _ in runs]
-        period, until, newest = self.period.value // 1000, None, None
-        heads = [(run.times[0], run.rank(0), i, 0) for i, run in enumerate(runs)]
+        newest: dict[int, int] = {}
+        heads = [(run.keys[0], run.times[0], run.rank(0), i, 0) for i, run in enumerate(runs)]
         heapq.heapify(heads)
         while heads:
-            at, _, i, k = heads[0]
-            if until is None or at > until:
+            key, at, _, i, k = heads[0]
+            if key not in newest or at > newest[key] + self.period:
                 places[i].append(k)
-                until, newest = at + period, at
-            k = int(np.searchsorted(runs[i].times, until, "right"))
+                newest[int(key)] = int(at)
+            k = runs[i].after(key, newest[key] + self.period)
             if k < len(runs[i].times):
-                heapq.heapreplace(heads, (runs[i].times[k], runs[i].rank(k), i, k))
+                heapq.heapreplace(heads, (runs[i].keys[k], runs[i].times[k], runs[i].rank(k), i, k))
             else:
                 heapq.heappop(heads)
-        return places, None if newest is None else pd.Timestamp(int(newest), unit="us")
+        return places, newest
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.memory.clear()
+        now = timerValues.getCurrentWatermarkInMs()
+        self._store({k: at for k, at in self.load().items() if self._due(at) > now})
         yield from ()
 
-    def close(self) -> None:
-        pass
+    def _due(self, kept: int) -> int:
+        """When no row can be answered by a kept one any more; rounded up to milliseconds."""
+        return -(-(kept + self.period) // 1000) + 1
+
+    def _store(self, held: dict[str, int]) -> None:
+        self.keep(held, self._due(min(held.values())) if held else None)
 
 
 def _millis(t: pd.Timestamp) -> int:
@@ -346,15 +406,24 @@ def stale_value_alerts(samples: DataFrame, series: Column, ts: str, value_time:
 
 
 def once_per_period(requests: DataFrame, key: list[str], ts: str, period_seconds: float = 3600, order: list[str] | None = None,
-                    delay: str = METRIC_DELAY) -> DataFrame:
+                    delay: str = METRIC_DELAY, buckets: int = BUCKETS) -> DataFrame:
     """Requests that a result kept for ``period_seconds`` does not answer: the first of each key, and then each that is
     more than the period later than the last one kept.
 
-    Rows of a key in a batch are taken in event-time order, ties by ``order``; beyond ``RUN_ROWS`` they are sorted in runs
-    on local disk. Kept rows leave at once, so a row counts as answered when it comes in a later batch than a newer kept row
+    Keys are dealt to ``buckets``, and rows of a key in a batch are taken in event-time order, ties by ``order``; beyond
+    ``RUN_ROWS`` in a bucket they are sorted in runs on local disk. Kept rows leave at once, so a row counts as answered when it comes in a later batch than a newer kept row
     of its key: the result does not depend on how rows fall into batches as long as each key's batches are in order.
     The state is one time per key seen within the period.
     """
     use_rocksdb(requests.sparkSession)
-    return requests.withWatermark(ts, delay).groupBy(*key).transformWithStateInPandas(
-        OncePerPeriod(period_seconds, ts, order or []), outputStructType=requests.schema, outputMode="Append", timeMode="EventTime")
+    # A key as text: exact for each type, as grouping would take it.
+    floats = {f.name for f in requests.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    own = F.struct(*[(F.col(c) + F.lit(0.0).cast(requests.schema[c].dataType) if c in floats else F.col(c)).alias(f"k{i}") for i, c in enumerate(key)])
+    exact = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    text = F.to_json(own, {"ignoreNullFields": "false", "timestampFormat": f"{exact}XXX", "timestampNTZFormat": exact})
+    name = "key"
+    while {name, f"{name}_bucket"} & {c.lower() for c in requests.columns}:
+        name += "_"
+    dealt = requests.withWatermark(ts, delay).withColumn(name, text).withColumn(f"{name}_bucket", bucket_of(name, buckets=buckets))
+    return dealt.groupBy(f"{name}_bucket").transformWithStateInPandas(
+        OncePerPeriod(period_seconds, ts, order or [], name), outputStructType=requests.schema, outputMode="Append", timeMode="EventTime")
