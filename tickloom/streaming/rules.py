@@ -1,9 +1,10 @@
 """Alert rules as data on live metrics: the rules of :mod:`tickloom.operators.alerts`, all at once, on one stream of samples.
 
 Each sample is read once. Samples become one partial row per series and step; every window of every rule is merged from
-those partials, which a series keeps in a map by step. Readings of a rule are added up before they meet in its state, so a rule
-over all series gets one row per step and reading, whatever the number of series. What a rule remembers is one row
-per label set. Both memories can be loaded from a batch run over the samples before the stream.
+those partials, which a series keeps by step. Readings of a rule are added up before they meet in its state, so a rule
+over all series gets one row per step and reading, whatever the number of series. Rules that read a single series have nothing to
+add up: their readings pass that step as one row per series and batch. What a rule remembers is one row
+per label set. Both memories are kept per bucket of keys and can be loaded from a batch run over the samples before the stream.
 """
 
 from __future__ import annotations
@@ -11,20 +12,17 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 from math import gcd
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
 from tickloom.operators.alerts import OPERATORS, AlertRule, Reading, condition
 from tickloom.operators.metrics import counter_increases, step_end
 from tickloom.streaming.jobs import METRIC_DELAY
-from tickloom.streaming.stateful import use_rocksdb
+from tickloom.streaming.stateful import Bucketed, bucket_of, use_rocksdb
 
-READ = "event_time timestamp, rule string, part int, labels string, total double, members long"
+READ = "event_time timestamp, rule string, part int, labels string, total double, members long, ticks array<long>, totals array<double>"
 EVENTS = "rule string, labels string, state string, since timestamp, at timestamp, value double"
 SERIES_STATE = "metric string, labels string, tick long, increase double, last_at long, value double, total double, n long, counts array<long>, next long"
 RULE_STATE = "rule string, labels string, since long, seen long, firing boolean, value double"
@@ -50,6 +48,11 @@ def read_metrics(rules: Sequence[AlertRule]) -> dict[str, list[tuple[str, int, i
     return out
 
 
+def lone_rules(rules: Sequence[AlertRule]) -> frozenset[str]:
+    """Rules whose value is that of one reading of one series: no other row adds to it."""
+    return frozenset(r.name for r in rules if [(x.by, x.kind == "average") for x in r.expression.readings] == [(None, False)])
+
+
 def bounds_of(rules: Sequence[AlertRule]) -> tuple[float, ...]:
     """All bucket bounds that a rule asks for."""
     return tuple(sorted({float(b) for rule in rules for r in rule.expression.readings for b in r.bounds}))
@@ -86,11 +89,6 @@ def step_partials(samples: DataFrame, rules: Sequence[AlertRule], delay: str | N
         F.array(*[F.col(f"c{i}") for i in range(len(bounds))]).cast("array<long>").alias("counts"))
 
 
-@lru_cache(10_000)
-def _labels(text: str) -> dict[str, str]:
-    return json.loads(text)
-
-
 def text_of(labels: dict[str, str]) -> str:
     return json.dumps(labels, separators=(",", ":"), ensure_ascii=False)
 
@@ -112,73 +110,76 @@ def estimated(counts: Sequence[int], total: int, bounds: Sequence[float], q: flo
     return lower
 
 
-class Windows(StatefulProcessor):
-    """Readings of a series at every grid time at which their window holds a step: (rule, part, group labels, value).
+class Windows(Bucketed):
+    """Readings of the series of a bucket at every grid time at which their window holds a step: (rule, part, group labels, value).
 
-    The map holds the steps of the longest window. A timer evaluates grid times without new samples until the last
-    window is empty; then only the last value stays, from which the next increase counts.
+    A series holds the steps of its longest window. A timer evaluates grid times without new samples until the last
+    window is empty; then only the last value stays, from which the next increase counts. What is remembered of a series:
+    its last value, the next grid time to look at, None when all windows are empty, and its steps.
     """
 
-    def __init__(self, metrics: dict[str, list[tuple[str, int, int, Reading]]], bounds: Sequence[float], base: int) -> None:
-        self.metrics, self.bounds, self.base = metrics, tuple(bounds), base
+    def __init__(self, metrics: dict[str, list[tuple[str, int, int, Reading]]], bounds: Sequence[float], base: int, lone: frozenset[str]) -> None:
+        self.metrics, self.bounds, self.base, self.lone = metrics, tuple(bounds), base, lone
         self.longest = {m: max(r.seconds for *_, r in own) for m, own in metrics.items()}
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.steps = handle.getMapState("steps", "tick long", "increase double, last_at long, value double, total double, n long, counts array<long>")
-        self.memory = handle.getValueState("memory", "value double, next long")
-
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        newest = None
+        held = self.load()
         for row in initialState.sort_values("tick").itertuples(index=False):
-            self.steps.updateValue((int(row.tick),), (row.increase, int(row.last_at), row.value, row.total, int(row.n), [int(c) for c in row.counts]))
-            newest = row
-        if newest is not None:
-            self.memory.update((newest.value, int(newest.next)))
-            self._wake(int(newest.next))
+            *_, ring = held.get((row.metric, row.labels), (None, None, {}))
+            ring[int(row.tick)] = (row.increase, int(row.last_at), row.value, row.total, int(row.n), [int(c) for c in row.counts])
+            newest = ring[max(ring)]
+            held[row.metric, row.labels] = (newest[2], int(row.next), dict(sorted(ring.items())))
+        self._store(held)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        ring, value, following = self._load()
-        stored, out = dict(ring), []
-        for row in pd.concat(list(rows)).sort_values("tick").itertuples(index=False):
-            tick = int(row.tick)
-            following = tick if following is None else self._evaluate(key, ring, following, tick - self.base, out)
-            increase = 0.0 if pd.isna(row.increase) else row.increase
-            if value is not None and not pd.isna(row.first):
-                increase += row.first if row.first < value else row.first - value
-            value = row.value
-            ring[tick] = (increase, int(row.last_at), row.value, row.total, int(row.n), [int(c) for c in row.counts])
-            following = self._evaluate(key, ring, tick if following is None else following, tick, out)
-        yield from self._store(ring, stored, value, following, out)
+        held, out, wanted = self.load(), Found(), {}
+        names = ["metric", "labels", "tick", "increase", "first", "value", "last_at", "total", "n", "counts"]
+        frame = pd.concat(list(rows)).sort_values("tick")
+        for metric, labels, tick, grown, first, new, last_at, total, n, counts in zip(*[frame[c].tolist() for c in names]):
+            series = metric, labels
+            own = wanted.get(series) or wanted.setdefault(series, self._wanted(*series))
+            value, following, ring = held.get(series, (None, None, {}))
+            following = tick if following is None else self._evaluate(metric, own, ring, following, tick - self.base, out)
+            increase = 0.0 if pd.isna(grown) else grown
+            if value is not None and not pd.isna(first):
+                increase += first if first < value else first - value
+            ring[tick] = (increase, last_at, new, total, n, list(counts))
+            held[series] = (new, self._evaluate(metric, own, ring, tick if following is None else following, tick, out), ring)
+        self._store(held)
+        yield from out.frames()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        ring, value, following = self._load()
-        stored, out = dict(ring), []
-        if following is not None:
-            following = self._evaluate(key, ring, following, timerValues.getCurrentWatermarkInMs() // 1000 // self.base * self.base, out)
-        yield from self._store(ring, stored, value, following, out)
-
-    def _load(self) -> tuple[dict[int, tuple], float | None, int | None]:
-        if not self.memory.exists():
-            return {}, None, None
-        value, following = self.memory.get()
-        ring = {int(k[0]): tuple(v) for k, v in self.steps.iterator()} if following is not None else {}
-        return dict(sorted(ring.items())), value, following
-
-    def _evaluate(self, key, ring: dict[int, tuple], tick: int, until: int, out: list[tuple]) -> int | None:
+        held, out = self.load(), Found()
+        until = timerValues.getCurrentWatermarkInMs() // 1000 // self.base * self.base
+        for series, (value, following, ring) in held.items():
+            if following is not None and following <= until:
+                held[series] = (value, self._evaluate(series[0], self._wanted(*series), ring, following, until, out), ring)
+        self._store(held)
+        yield from out.frames()
+
+    def _wanted(self, metric: str, text: str) -> list[tuple[str, int, int, Reading, str]]:
+        """Readings that a series takes part in: (rule, place, step, reading, group labels)."""
+        labels = json.loads(text)
+        return [(rule, part, step, r, text if r.by is None else text_of({k: labels[k] for k in sorted(r.by) if k in labels}))
+                for rule, part, step, r in self.metrics[metric] if holds(r, labels)]
+
+    def _evaluate(self, metric: str, wanted: list[tuple[str, int, int, Reading, str]], ring: dict[int, tuple], tick: int, until: int, out: Found) -> int | None:
         """Readings from ``tick`` to ``until``; returns the next time to look at, None when all windows are empty."""
-        metric, labels = key[0], _labels(key[1])
-        wanted = [(rule, part, step, r, key[1] if r.by is None else text_of({k: labels[k] for k in sorted(r.by) if k in labels}))
-                  for rule, part, step, r in self.metrics[metric] if holds(r, labels)]
+        before: list[tuple] = [([], None)] * len(wanted)  # a window often holds the same steps as at the time before
         while tick <= until:
             for old in [t for t in ring if t <= tick - self.longest[metric]]:
                 del ring[old]
             if not ring:
                 return None
-            for rule, part, step, reading, group in wanted:
+            for i, (rule, part, step, reading, group) in enumerate(wanted):
                 window = [p for t, p in ring.items() if tick - reading.seconds < t <= tick] if tick % step == 0 else []
-                if window and (found := self._value(reading, window)) is not None:
-                    out.append((tick, rule, part, group, *found))
+                if window and window != before[i][0]:
+                    before[i] = (window, self._value(reading, window))
+                if window and (found := before[i][1]) is not None:
+                    if rule in self.lone:
+                        out.alone(rule, group, tick, found[0])
+                    else:
+                        out.rows.append((tick, rule, part, group, *found))
             tick += self.base
         return tick
 
@@ -194,118 +195,115 @@ class Windows(StatefulProcessor):
         increase = sum(p[0] for p in window)
         return (increase / reading.seconds if reading.kind == "rate" else increase), 1
 
-    def _wake(self, tick: int | None) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if tick is not None:
-            self.handle.registerTimer(tick * 1000)
-
-    def _store(self, ring: dict[int, tuple], stored: dict[int, tuple], value: float | None, following: int | None, out: list[tuple]) -> Iterator[pd.DataFrame]:
-        for tick in stored.keys() - ring.keys():
-            self.steps.removeKey((tick,))
-        for tick, step in ring.items():
-            if stored.get(tick) is not step:
-                self.steps.updateValue((tick,), step)
-        self.memory.update((value, following))
-        self._wake(following)
-        if out:
-            frame = pd.DataFrame(out, columns=["tick", "rule", "part", "labels", "total", "members"])
+    def _store(self, held: dict[tuple[str, str], tuple]) -> None:
+        following = [f for _, f, _ in held.values() if f is not None]
+        self.keep(held, min(following) * 1000 if following else None)
+
+
+class Found:
+    """Readings of a call: rows that are added up with others, and those of a lone rule and series, which travel together."""
+
+    def __init__(self) -> None:
+        self.rows: list[tuple] = []
+        self.lone: dict[tuple[str, str], tuple[list[int], list[float]]] = {}
+
+    def alone(self, rule: str, labels: str, tick: int, value: float) -> None:
+        ticks, values = self.lone.setdefault((rule, labels), ([], []))
+        ticks.append(tick)
+        values.append(value)
+
+    def frames(self) -> Iterator[pd.DataFrame]:
+        rows = [(*r, None, None) for r in self.rows] + [(ticks[-1], rule, 0, labels, None, None, ticks, values) for (rule, labels), (ticks, values) in self.lone.items()]
+        if rows:
+            frame = pd.DataFrame(rows, columns=["tick", "rule", "part", "labels", "total", "members", "ticks", "totals"])
+            frame["members"] = frame["members"].astype("Int64")
             frame.insert(0, "event_time", pd.to_datetime(frame.pop("tick") * 1_000_000 - 1, unit="us", utc=True))
             yield frame
 
-    def close(self) -> None:
-        pass
-
 
-class RuleState(StatefulProcessor):
+class RuleState(Bucketed):
     """PENDING when a rule's condition turns true for a label set, FIRING once it has held, RESOLVED when a firing one ends.
 
-    A condition ends with a false grid time or with a missing one, which a timer notices.
+    A condition ends with a grid time at which it doesn't hold or that is missing; such rows need not come, a timer notices. What is
+    remembered of a rule and label set whose condition holds: since when, the last grid time, whether it fires, its value.
     """
 
     def __init__(self, rules: Sequence[AlertRule]) -> None:
         self.times = {r.name: (r.hold_seconds, r.step) for r in rules}
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.memory = handle.getValueState("memory", "since long, seen long, firing boolean, value double")
-
     def handleInitialState(self, key, initialState, timerValues) -> None:
+        held = self.load()
         for row in initialState.itertuples(index=False):
-            self._store((int(row.since), int(row.seen), bool(row.firing), row.value), key)
+            held[row.rule, row.labels] = (int(row.since), int(row.seen), bool(row.firing), row.value)
+        self._store(held)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        state = tuple(self.memory.get()) if self.memory.exists() else None
-        hold, step = self.times[key[0]]
-        out: list[tuple] = []
-        for row in pd.concat(list(rows)).sort_values("tick").itertuples(index=False):
-            tick = int(row.tick)
-            if state is not None and (not row.active or tick - state[1] > step):
-                state = self._ended(state, step, out)
-            if row.active:
-                if state is None:
-                    state = (tick, tick, False, row.value)
-                    out.append(("PENDING", tick, tick, row.value))
-                since, _, firing, _ = state
+        held, out = self.load(), []
+        frame = pd.concat(list(rows)).sort_values("tick")
+        for rule, labels, tick, value, active in zip(*[frame[c].tolist() for c in ("rule", "labels", "tick", "value", "active")]):
+            own, (hold, step) = (rule, labels), self.times[rule]
+            if own in held and (not active or tick - held[own][1] > step):
+                self._ended(own, held.pop(own), out)
+            if active:
+                if own not in held:
+                    held[own] = (tick, tick, False, value)
+                    out.append((*own, "PENDING", tick, tick, value))
+                since, _, firing, _ = held[own]
                 if not firing and tick - since >= hold:
                     firing = True
-                    out.append(("FIRING", since, tick, row.value))
-                state = (since, tick, firing, row.value)
-        self._store(state, key)
-        yield from self._events(key, out)
+                    out.append((*own, "FIRING", since, tick, value))
+                held[own] = (since, tick, firing, value)
+        self._store(held)
+        yield from self._events(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        out: list[tuple] = []
-        if self.memory.exists():
-            state, step = tuple(self.memory.get()), self.times[key[0]][1]
-            # A grid time is known once the watermark has passed it; a later row of this batch has moved ``seen`` on.
-            if timerValues.getCurrentWatermarkInMs() >= (state[1] + step) * 1000:
-                self._store(self._ended(state, step, out), key)
-        yield from self._events(key, out)
+        held, out, now = self.load(), [], timerValues.getCurrentWatermarkInMs()
+        # A grid time is known once the watermark has passed it; a later row of this batch has moved ``seen`` on.
+        for own in [k for k, state in held.items() if now >= self._due(k, state)]:
+            self._ended(own, held.pop(own), out)
+        self._store(held)
+        yield from self._events(out)
 
-    @staticmethod
-    def _ended(state: tuple, step: int, out: list[tuple]) -> None:
+    def _due(self, own: tuple[str, str], state: tuple) -> int:
+        return (state[1] + self.times[own[0]][1]) * 1000
+
+    def _ended(self, own: tuple[str, str], state: tuple, out: list[tuple]) -> None:
         since, seen, firing, value = state
         if firing:
-            out.append(("RESOLVED", since, seen + step, value))
+            out.append((*own, "RESOLVED", since, seen + self.times[own[0]][1], value))
 
-    def _store(self, state: tuple | None, key) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if state is None:
-            self.memory.clear()
-        else:
-            self.memory.update(state)
-            self.handle.registerTimer((state[1] + self.times[key[0]][1]) * 1000)
+    def _store(self, held: dict[tuple[str, str], tuple]) -> None:
+        self.keep(held, min((self._due(k, state) for k, state in held.items()), default=None))
 
     @staticmethod
-    def _events(key, out: list[tuple]) -> Iterator[pd.DataFrame]:
+    def _events(out: list[tuple]) -> Iterator[pd.DataFrame]:
         if out:
-            frame = pd.DataFrame(out, columns=["state", "since", "at", "value"])
+            frame = pd.DataFrame(out, columns=["rule", "labels", "state", "since", "at", "value"])
             for c in ("since", "at"):
                 frame[c] = pd.to_datetime(frame[c], unit="s", utc=True)
-            frame.insert(0, "rule", key[0])
-            frame.insert(1, "labels", key[1])
             yield frame
 
-    def close(self) -> None:
-        pass
-
 
 def rule_values(read: DataFrame, rules: Sequence[AlertRule]) -> DataFrame:
-    """(rule, labels, event_time, tick, value, active): readings put together, a row per rule, label set and grid time."""
+    """(rule, labels, event_time, tick, value, active): readings put together, a row per rule, label set and grid time whose condition holds.
+
+    Readings of lone rules are part of the grouping key: they are added to nothing, and the sums stay in a hash aggregate.
+    """
     most = max(len(r.expression.readings) for r in rules)
     own = [F.when(F.col("part") == i, F.col(c)) for i in range(most) for c in ("total", "members")]
     names = [f"{c}{i}" for i in range(most) for c in ("total", "members")]
-    met = read.groupBy(F.window("event_time", f"{base_step(rules)} seconds").alias("w"), "rule", "labels").agg(*[F.sum(c).alias(n) for n, c in zip(names, own)])
-    met = met.select("rule", "labels", F.window_time("w").alias("event_time"), F.col("w.end").alias("eval_ts"), *names)
+    met = read.groupBy(F.window("event_time", f"{base_step(rules)} seconds").alias("w"), "rule", "labels", "ticks", "totals").agg(*[F.sum(c).alias(n) for n, c in zip(names, own)])
+    together = F.struct(F.unix_timestamp("w.end").alias("tick"), F.col("total0").alias("total"), F.col("members0").alias("members"))
+    alone = F.transform(F.arrays_zip("ticks", "totals"), lambda r: F.struct(r["ticks"].alias("tick"), r["totals"].alias("total"), F.lit(1).cast("long").alias("members")))
+    met = met.select("rule", "labels", F.window_time("w").alias("event_time"), F.explode(F.coalesce(alone, F.array(together))).alias("r"), *names[2:]).select(
+        "rule", "labels", "event_time", F.timestamp_seconds("r.tick").alias("eval_ts"), F.col("r.total").alias("total0"), F.col("r.members").alias("members0"), *names[2:])
     value, active = F.lit(None).cast("double"), F.lit(False)
     for rule in rules:
         parts = [F.col(f"total{i}") / F.col(f"members{i}") if r.fold == "avg" else F.col(f"total{i}") for i, r in enumerate(rule.expression.readings)]
         value = F.when(F.col("rule") == rule.name, rule.expression.combine(F.col("eval_ts"), parts).cast("double")).otherwise(value)
         active = F.when(F.col("rule") == rule.name, OPERATORS[rule.operator](F.col("value"), rule.threshold)).otherwise(active)
     met = met.withColumn("value", value)
-    return met.select("rule", "labels", "event_time", F.unix_timestamp("eval_ts").alias("tick"), "value", F.coalesce(active, F.lit(False)).alias("active"))
+    return met.select("rule", "labels", "event_time", F.unix_timestamp("eval_ts").alias("tick"), "value", active.alias("active")).where("active")
 
 
 def rule_alerts(samples: DataFrame, rules: Sequence[AlertRule], delay: str = METRIC_DELAY, history: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
@@ -319,13 +317,16 @@ def rule_alerts(samples: DataFrame, rules: Sequence[AlertRule], delay: str = MET
         raise ValueError("rules need different names")
     use_rocksdb(samples.sparkSession)
     series, memory = history or (None, None)
-    partials = step_partials(samples, rules, delay)
-    read = partials.groupBy("metric", "labels").transformWithStateInPandas(
-        Windows(read_metrics(rules), bounds_of(rules), base_step(rules)), outputStructType=READ, outputMode="Append", timeMode="EventTime",
-        initialState=None if series is None else series.groupBy("metric", "labels"), eventTimeColumnName="event_time")
-    return rule_values(read, rules).groupBy("rule", "labels").transformWithStateInPandas(
+
+    def dealt(df: DataFrame, *key: str) -> GroupedData:
+        return df.withColumn("bucket", bucket_of(*key)).groupBy("bucket")
+
+    read = dealt(step_partials(samples, rules, delay), "metric", "labels").transformWithStateInPandas(
+        Windows(read_metrics(rules), bounds_of(rules), base_step(rules), lone_rules(rules)), outputStructType=READ, outputMode="Append", timeMode="EventTime",
+        initialState=None if series is None else dealt(series, "metric", "labels"), eventTimeColumnName="event_time")
+    return dealt(rule_values(read, rules), "rule", "labels").transformWithStateInPandas(
         RuleState(rules), outputStructType=EVENTS, outputMode="Append", timeMode="EventTime",
-        initialState=None if memory is None else memory.groupBy("rule", "labels"))
+        initialState=None if memory is None else dealt(memory, "rule", "labels"))
 
 
 def state_before(samples: DataFrame, rules: Sequence[AlertRule], until: Column) -> tuple[DataFrame, DataFrame]:
