@@ -11,6 +11,7 @@ numbered by Spark, and each finds its place from its rank.
 
 from __future__ import annotations
 
+import gc
 import json
 import unicodedata
 import zlib
@@ -47,7 +48,7 @@ class Cache:
     def missing(self, keys: set[str]) -> set[str]:
         """Keys that are not known; what was known in the older generation is moved to the younger."""
         gone = keys.difference(self.young)
-        moved = gone.intersection(self.old)
+        moved = {k for k in gone if k in self.old}  # an intersection with a mapping would go over all of it
         if moved:
             self.young.update((k, self.old[k]) for k in moved)
         return gone - moved
@@ -126,6 +127,16 @@ class Tokens:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text. Many tuples live for a moment and none is part of a cycle, so no cycles are looked for meanwhile."""
+        looks = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if looks:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         split = [None if any(c in t for c in UNUSUAL) else t.split() for t in texts]
         get = self.chunk_cache.young.get
         known = [None if s is None else list(map(get, s)) for s in split]
